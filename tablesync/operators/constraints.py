@@ -90,7 +90,8 @@ def unique_violations_in_order(
     """
     order = [c for c in applied_order(source, key, order_by) if c in (*order_by, *key)]
     position = F.struct(*order)
-    rows = source.where(~any_null(unique)).select(*key, *unique, position.alias("__pos"))
+    columns = list(dict.fromkeys([*key, *unique]))
+    rows = source.where(~any_null(unique)).select(*columns, position.alias("__pos"))
 
     first = rows.groupBy(*unique).agg(F.min("__pos").alias("__first"))
     late = rows.join(first, list(unique), "inner").where(F.col("__pos") > F.col("__first"))
@@ -105,4 +106,4 @@ def unique_violations_in_order(
         .join(moved, [f"__h_{k}" for k in key], "left")
         .where(F.col("__moved").isNull() | (F.col("__moved") > F.col("__pos")))
     )
-    return late.select(*key, *unique).unionByName(blocked.select(*key, *unique)).distinct()
+    return late.select(*columns).unionByName(blocked.select(*columns)).distinct()

@@ -55,7 +55,7 @@ def without_clash(rows: DataFrame, taken: DataFrame, columns: Sequence[str]) ->
     # Always zero, but computed: a literal would be folded out of the join keys.
     zero = F.pmod(F.xxhash64(*columns), F.lit(1))
     right = taken.select(*columns).distinct().withColumn("__salt", zero)
-    return left.join(right, [*columns, "__salt"], "left_anti").drop("__salt")
+    return left.join(right, [*columns, "__salt"], "left_anti").select(*rows.columns)
 
 
 def _hashable(df: DataFrame) -> list[str]:

@@ -20,4 +20,5 @@ def prune_keys(target: DataFrame, source: DataFrame, key: Sequence[str]) -> Data
 
 def prune_keep(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows that stay."""
-    return target.join(source.select(*key).distinct(), list(key), "left_semi")
+    stays = target.join(source.select(*key).distinct(), list(key), "left_semi")
+    return stays.select(*target.columns)
