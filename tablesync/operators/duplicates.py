@@ -44,8 +44,11 @@ def dedup(
     if not order:
         return df.dropDuplicates(list(key))
     position = F.struct(*order)
-    row = F.struct(*order, *rest)
-    pick = F.max_by(row, position) if keep == "last" else F.min_by(row, position)
+    if rest:  # columns that cannot be compared only travel along
+        row = F.struct(*order, *rest)
+        pick = F.max_by(row, position) if keep == "last" else F.min_by(row, position)
+    else:
+        pick = F.max(position) if keep == "last" else F.min(position)
     picked = df.groupBy(*key).agg(pick.alias("__row"))
     return picked.select(
         *[F.col(c) if c in key else F.col("__row").getField(c).alias(c) for c in df.columns]

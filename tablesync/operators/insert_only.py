@@ -46,7 +46,8 @@ def without_clash(rows: DataFrame, taken: DataFrame, columns: Sequence[str]) ->
     """Rows whose key value is not in ``taken``; rows with a NULL in it stay.
 
     NULL values match nothing but would all hash to one task, so they are spread
-    with a salt that equals zero for every other row.
+    with a salt that equals zero for every other row. ``taken`` is unique by these
+    columns, apart from NULLs, which it does not send.
     """
     salt = F.when(
         any_null(columns), F.lit(1) + F.pmod(F.xxhash64(*_hashable(rows)), F.lit(SALTS))
@@ -54,7 +55,7 @@ def without_clash(rows: DataFrame, taken: DataFrame, columns: Sequence[str]) ->
     left = rows.withColumn("__salt", salt.cast("long"))
     # Always zero, but computed: a literal would be folded out of the join keys.
     zero = F.pmod(F.xxhash64(*columns), F.lit(1))
-    right = taken.select(*columns).distinct().withColumn("__salt", zero)
+    right = taken.where(~any_null(columns)).select(*columns, zero.alias("__salt"))
     return left.join(right, [*columns, "__salt"], "left_anti").select(*rows.columns)
 
 

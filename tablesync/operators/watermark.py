@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.constraints import any_null
+
 
 @dataclass(frozen=True)
 class Watermark:
@@ -67,21 +70,29 @@ def _highest(column: str, bound: Watermark | None) -> Column:
     return F.max(column) if bound is None else F.greatest(F.max(column), bound.literal())
 
 
+@dataclass(frozen=True)
+class ReadSummary:
+    rows: int
+    null_keys: int
+    watermark: Watermark | None
+
+
 def read_summary(
-    source: DataFrame, column: str | None, bound: Watermark | None
-) -> tuple[int, Watermark | None]:
-    """Row count and next watermark of what a run reads.
+    source: DataFrame, key: Sequence[str], column: str | None, bound: Watermark | None
+) -> ReadSummary:
+    """Row count, NULL keys and next watermark of what a run reads, in one scan.
 
     Run this before the rows are read: a row that reaches a live source in between
     is then read again next time instead of being lost below the watermark.
     """
-    if column is None:
-        return source.count(), None
-    kind = source.schema[column].dataType
-    row = source.agg(
+    figures = [
         F.count(F.lit(1)).alias("n"),
-        watermark_text(_highest(column, bound), kind).alias("top"),
-    ).first()
-    if row["top"] is None:
-        return row["n"], None
-    return row["n"], Watermark(column, kind.simpleString(), row["top"])
+        F.count_if(any_null(key)).alias("nulls"),
+    ]
+    kind = source.schema[column].dataType if column else None
+    if column:
+        figures.append(watermark_text(_highest(column, bound), kind).alias("top"))
+    row = source.agg(*figures).first()
+    top = row["top"] if column else None
+    mark = Watermark(column, kind.simpleString(), top) if top is not None else None
+    return ReadSummary(row["n"], row["nulls"], mark)

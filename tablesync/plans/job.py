@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,9 +178,11 @@ class Run:
             part = read_since(part, column, bound)
         if bound is not None or self.partial:
             part = scratch.write(part, "increment")  # read a live source once
-        read_rows, watermark = read_summary(part, column, bound)
+        read = read_summary(part, key, column, bound)
         rows = coerce_to(part, schema)
-        repeated = self._check_keys(rows, scratch)
+        if read.null_keys:
+            self._refuse_null_keys(rows)
+        repeated = self._repeated_keys(rows, scratch)
         order = self._order(rows)
         single = rows
         if repeated is not None and not options.insert_only:
@@ -196,8 +198,8 @@ class Run:
                 self._changes(rows, single, schema, scratch, bound), "changes"
             )
             self._check_unique(changes, single, schema)
-            staged = self.target.stage(self.pointer, schema, changes, self._touched(changes))
-            counts = {r["op"]: r["count"] for r in changes.groupBy("op").count().collect()}
+            counts, touched = self._counted(changes)
+            staged = self.target.stage(self.pointer, schema, changes, touched)
 
         affected = counts.get(INSERT, 0) + counts.get(UPDATE, 0)
         if repeated is not None and not options.insert_only and options.on_duplicate == "last":
@@ -205,15 +207,15 @@ class Run:
         sequences: dict[str, int] = {}
         if options.sync_sequence and self.pointer.identity:
             sequences = high_water_map(self.target.load(staged), self.pointer.identity)
-        version = self._publish(staged, watermark)
+        version = self._publish(staged, read.watermark)
         return replace(
             report,
-            read_rows=read_rows,
+            read_rows=read.rows,
             affected_rows=affected,
             deleted_rows=counts.get(PRUNE, 0),
             sequences=sequences,
             sequence_synced=bool(sequences),
-            watermark=watermark.value if watermark else None,
+            watermark=read.watermark.value if read.watermark else None,
             version=version,
         )
 
@@ -223,12 +225,14 @@ class Run:
             names = [self.options.incremental_col]
         return names
 
-    def _check_keys(self, rows: DataFrame, scratch: Scratch) -> DataFrame | None:
-        """Refuse NULL keys; return repeated keys when the source has any."""
+    def _refuse_null_keys(self, rows: DataFrame) -> None:
+        key = self.pointer.key
+        shown = null_key_rows(rows, key).select(*key).limit(SHOWN_KEYS).collect()
+        raise ConstraintError(self.spec.name, "key not null", [tuple(r) for r in shown])
+
+    def _repeated_keys(self, rows: DataFrame, scratch: Scratch) -> DataFrame | None:
+        """Keys that several source rows have, or None."""
         key = self.pointer.key
-        null_rows = null_key_rows(rows, key).select(*key).limit(SHOWN_KEYS).collect()
-        if null_rows:
-            raise ConstraintError(self.spec.name, "key not null", [tuple(r) for r in null_rows])
         if self.options.source_key_is_unique:
             return None
         repeated = scratch.write(duplicate_keys(rows, key), "repeated_keys")
@@ -270,8 +274,18 @@ class Run:
 
     def _touched(self, rows: DataFrame) -> list[int]:
         """Buckets that hold these keys: at most one small row per bucket."""
-        bucket = bucket_of(self.pointer.key, self.pointer.buckets).alias("bucket")
-        return sorted(r["bucket"] for r in rows.select(bucket).distinct().collect())
+        return sorted(r["bucket"] for r in rows.select(self._bucket()).distinct().collect())
+
+    def _counted(self, changes: DataFrame) -> tuple[dict[str, int], list[int]]:
+        """Rows per op and touched buckets, from at most three small rows per bucket."""
+        counts: dict[str, int] = {}
+        groups = changes.groupBy("op", self._bucket()).count().collect()
+        for row in groups:
+            counts[row["op"]] = counts.get(row["op"], 0) + row["count"]
+        return counts, sorted({row["bucket"] for row in groups})
+
+    def _bucket(self) -> Column:
+        return bucket_of(self.pointer.key, self.pointer.buckets).alias("bucket")
 
     def _check_first_load(self, rows: DataFrame) -> None:
         for unique in self.pointer.unique_keys:

@@ -7,13 +7,16 @@ next pointer file; that single rename publishes rows, added columns, watermark a
 stream batch together. Readers hold the old version until then, a failed run leaves
 it live, and a second writer of the same version fails.
 
-Layout:  <root>/data/v=<version>/bucket=<b>/*.parquet
+Layout:  <root>/data/<version>-<attempt>/bucket=<b>/*.parquet
          <root>/pointer/<version>.json
+
+Every attempt has a folder of its own, so writers never touch each other's files.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +31,7 @@ from tablesync.spec import TableSpec, check_columns
 
 @dataclass(frozen=True)
 class Pointer:
-    """What one version consists of. ``live`` maps a bucket to its version folder."""
+    """What one version consists of. ``live`` maps a bucket to the folder holding it."""
 
     version: int
     schema: T.StructType
@@ -36,7 +39,7 @@ class Pointer:
     unique_keys: tuple[tuple[str, ...], ...]
     identity: tuple[str, ...]
     buckets: int
-    live: dict[int, int]
+    live: dict[int, str]
     watermark: Watermark | None = None
     batch_id: int | None = None
 
@@ -69,7 +72,7 @@ class Pointer:
             unique_keys=tuple(tuple(u) for u in d["unique_keys"]),
             identity=tuple(d["identity"]),
             buckets=d["buckets"],
-            live={int(b): v for b, v in d["live"].items()},
+            live={int(b): folder for b, folder in d["live"].items()},
             watermark=Watermark.from_dict(d["watermark"]),
             batch_id=d["batch_id"],
         )
@@ -120,7 +123,7 @@ class SnapshotTarget:
         if pointer is None:
             raise ValueError(f"target table does not exist: {self.root}")
         wanted = pointer.live if buckets is None else set(buckets) & set(pointer.live)
-        paths = [f"{self.root}/data/v={pointer.live[b]}/bucket={b}" for b in sorted(wanted)]
+        paths = [f"{self.root}/data/{pointer.live[b]}/bucket={b}" for b in sorted(wanted)]
         if not paths:
             return self.spark.createDataFrame([], pointer.schema)
         return self.spark.read.schema(pointer.schema).parquet(*paths)
@@ -163,38 +166,30 @@ class SnapshotTarget:
 
     def _write(
         self, rows: DataFrame, old: Pointer, version: int, touched: list[int]
-    ) -> dict[int, int]:
-        folder = f"data/v={version}"
-        # A failed run may have left files of this version; they were never live.
-        if self.files.exists(folder):
-            self.files.delete(folder)
+    ) -> dict[int, str]:
+        folder = f"{version:012d}-{uuid.uuid4().hex}"
         laid_out = rows.withColumn("bucket", bucket_of(old.key, old.buckets))
-        laid_out.write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
-        written = {
-            int(name.split("=")[1])
-            for name in self.files.names(folder)
-            if name.startswith("bucket=")
-        }
+        laid_out.write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
+        written = [n for n in self.files.names(f"data/{folder}") if n.startswith("bucket=")]
         # A touched bucket without a folder lost its last row.
         gone = set(touched)
-        kept = {b: v for b, v in old.live.items() if b not in gone}
-        return kept | {b: version for b in written}
+        kept = {b: f for b, f in old.live.items() if b not in gone}
+        return kept | {int(name.split("=")[1]): folder for name in written}
 
     def commit(self, pointer: Pointer) -> None:
         self.files.write_text(f"pointer/{pointer.version:012d}.json", pointer.to_json(), False)
 
-    def expire(self, keep: int = 2) -> list[int]:
-        """Delete version folders that none of the last ``keep`` pointers use.
+    def expire(self, keep: int = 2) -> list[str]:
+        """Delete data folders that none of the last ``keep`` versions use.
 
-        Returns the versions deleted. Never run it while a sync is writing.
+        Returns the folders deleted. Never run it while a sync is writing.
         """
         names = sorted(n for n in self.files.names("pointer") if n.endswith(".json"))
         recent = [Pointer.from_json(self.files.read_text(f"pointer/{n}")) for n in names[-keep:]]
-        used = {v for p in recent for v in p.live.values()}
-        stored = {int(n.split("=")[1]) for n in self.files.names("data") if n.startswith("v=")}
-        dropped = sorted(stored - used)
-        for version in dropped:
-            self.files.delete(f"data/v={version}")
+        used = {folder for p in recent for folder in p.live.values()}
+        dropped = sorted(set(self.files.names("data")) - used)
+        for folder in dropped:
+            self.files.delete(f"data/{folder}")
         for name in names[:-keep]:
             self.files.delete(f"pointer/{name}")
         return dropped

@@ -88,7 +88,7 @@ def test_write_layout_needs_no_extra_exchange(large, tmp_path):
 
 def test_repeated_keys_combine_before_the_exchange(large):
     df = duplicates.dedup(table(large, SF01, "lineitem"), ("l_orderkey", "l_linenumber"))
-    assert "partial_max_by" in plan(df) and "Window" not in plan(df)
+    assert "partial_max" in plan(df) and "Window" not in plan(df)
     df = duplicates.duplicate_keys(table(large, SF01, "lineitem"), ("l_orderkey",))
     assert "partial_count" in plan(df)
 

@@ -197,7 +197,7 @@ def test_failure_before_publishing_keeps_everything(spark, new_target, monkeypat
         sync_table(spark, SPEC, df(spark, [(2, "b", 8)]), target, SINCE)
     monkeypatch.undo()
     assert target.pointer() == before and rows_of(target.load()) == rows
-    # The next run writes over the leftovers of the failed one.
+    # The next run is not disturbed by the leftovers of the failed one.
     sync_table(spark, SPEC, df(spark, [(3, "c", 9)]), target, SINCE)
     assert rows_of(target.load()) == [(1, "a", 1), (3, "c", 9)]
 
@@ -210,6 +210,17 @@ def test_two_writers_of_one_version(spark, new_target):
         target.commit(staged)
 
 
+def test_a_losing_writer_does_not_harm_the_winner(spark, new_target):
+    target = filled(spark, new_target(buckets=1), [(1, "a", 1)])
+    slow = target.using(spark)
+    seen = slow.pointer()
+    sync_table(spark, SPEC, df(spark, [(2, "b", 1)]), target)
+    slow.pointer = lambda: seen  # started before the other run published
+    with pytest.raises(Exception, match="exist"):
+        sync_table(spark, SPEC, df(spark, [(3, "c", 1)]), slow)
+    assert rows_of(target.load()) == [(1, "a", 1), (2, "b", 1)]
+
+
 def test_old_version_stays_readable_then_expires(spark, new_target):
     target = filled(spark, new_target(buckets=1), [(1, "a", 1)])
     old = target.pointer()
@@ -217,7 +228,7 @@ def test_old_version_stays_readable_then_expires(spark, new_target):
     for i in range(3):
         sync_table(spark, SPEC, df(spark, [(1, f"v{i}", 1)]), target)
     assert rows_of(reader) == [(1, "a", 1)]
-    assert target.expire(keep=1) == [1, 2, 3]
+    assert [int(folder[:12]) for folder in target.expire(keep=1)] == [1, 2, 3]
     assert rows_of(target.load()) == [(1, "v2", 1)]
 
 
