@@ -10,13 +10,17 @@ from tablesync.plans.job import (
     sync_table,
 )
 from tablesync.plans.report import SyncReport
+from tablesync.sources.relational import RelationalTarget
 from tablesync.sources.snapshot import SnapshotTarget
+from tablesync.sources.state import StateFile
 from tablesync.spec import SyncOptions, TableSpec
 
 __all__ = [
     "ConstraintError",
+    "RelationalTarget",
     "RunResult",
     "SnapshotTarget",
+    "StateFile",
     "SyncOptions",
     "SyncReport",
     "TableJob",

@@ -80,3 +80,13 @@ def spark_type(declared: str | None) -> T.DataType:
     if not 1 <= precision <= 38 or scale > precision:
         raise ValueError(f"no decimal type for {declared!r}")
     return T.DecimalType(precision, scale)
+
+
+def sql_type_name(kind: T.DataType) -> str:
+    """Column type text for a Spark type, for adding a column to a database table."""
+    if isinstance(kind, T.DecimalType):
+        return f"numeric({kind.precision},{kind.scale})"
+    names = {spark_kind: name for name, spark_kind in SPARK_TYPES.items()}
+    if kind in names:
+        return names[kind]
+    return kind.simpleString()

@@ -35,6 +35,7 @@ from tablesync.operators.schema import SchemaDiff, evolved, schema_diff
 from tablesync.operators.watermark import Watermark, applicable, read_since, read_summary
 from tablesync.plans.report import SyncReport, report_rows
 from tablesync.session import Scratch
+from tablesync.sources.relational import RelationalTarget
 from tablesync.sources.snapshot import Pointer, SnapshotTarget, bucket_of
 from tablesync.spec import SyncOptions, TableSpec
 
@@ -42,6 +43,8 @@ log = logging.getLogger(__name__)
 
 SHOWN_KEYS = 20
 
+Target = SnapshotTarget | RelationalTarget
+
 
 class ConstraintError(Exception):
     """A source that breaks a constraint of the target; nothing was published."""
@@ -55,7 +58,7 @@ def sync_table(
     spark: SparkSession,
     spec: TableSpec,
     source: DataFrame,
-    target: SnapshotTarget,
+    target: Target,
     options: SyncOptions | None = None,
 ) -> SyncReport:
     """Make an existing target match a source by key."""
@@ -118,7 +121,7 @@ class Run:
     spark: SparkSession
     spec: TableSpec
     source: DataFrame
-    target: SnapshotTarget
+    target: Target
     options: SyncOptions
     pointer: Pointer
     partial: bool = False
@@ -199,7 +202,7 @@ class Run:
             )
             self._check_unique(changes, single, schema)
             counts, touched = self._counted(changes)
-            staged = self.target.stage(self.pointer, schema, changes, touched)
+            staged = self.target.stage(self.pointer, schema, changes, touched, rows.columns)
 
         affected = counts.get(INSERT, 0) + counts.get(UPDATE, 0)
         if repeated is not None and not options.insert_only and options.on_duplicate == "last":
@@ -256,6 +259,10 @@ class Run:
         bound: Watermark | None,
     ) -> DataFrame:
         key, prune = self.pointer.key, self.options.prune
+        whole = bound is None and not self.partial
+        if not (whole or prune or self.options.insert_only):
+            near = self.target.load(replace(self.pointer, schema=schema), self._touched(single))
+            return change_set(single, near, key, False, all_keys=single)
         everything = self.target.load(replace(self.pointer, schema=schema))
         if self.options.insert_only:
             known = self._whole_keys(schema) if prune else None
@@ -265,12 +272,9 @@ class Run:
             )
             new = _complete(accepted, schema).select(F.lit(INSERT).alias("op"), *schema.names)
             return new.unionByName(pruned_rows(everything, known, key)) if prune else new
-        if bound is None and not self.partial:
+        if whole:
             return change_set(single, everything, key, prune)
-        if prune:
-            return change_set(single, everything, key, True, self._whole_keys(schema))
-        near = self.target.load(replace(self.pointer, schema=schema), self._touched(single))
-        return change_set(single, near, key, False, all_keys=single)
+        return change_set(single, everything, key, True, self._whole_keys(schema))
 
     def _touched(self, rows: DataFrame) -> list[int]:
         """Buckets that hold these keys: at most one small row per bucket."""
@@ -355,7 +359,7 @@ class TableJob:
 
     spec: TableSpec
     open_source: Callable[[], DataFrame]
-    target: SnapshotTarget
+    target: Target
     options: SyncOptions = SyncOptions()
 
 

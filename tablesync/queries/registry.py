@@ -555,6 +555,17 @@ def schema_differences(spark, sf):
     return schema.schema_diff_counts(*_part_diff(spark, sf))
 
 
+@query(
+    "schema_plan",
+    """SELECT 'p_type' AS "column", 'string' AS type, count(p_type) AS filled_rows FROM part
+       UNION ALL SELECT 'p_retailprice', 'double', count(p_retailprice) FROM part""",
+)
+def schema_plan(spark, sf):
+    """Columns a dry run would add, and how many source rows would fill them."""
+    rows = schema.schema_diff_counts(*_part_diff(spark, sf)).where(F.col("action") == schema.ADD)
+    return rows.select("column", "type", F.col("n_values").alias("filled_rows"))
+
+
 @query(
     "add_columns",
     """SELECT p_partkey, p_name, p_brand, p_size, local_note, CAST(NULL AS VARCHAR) AS p_type,

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,9 +143,17 @@ class SnapshotTarget:
         return Pointer(0, nullable, spec.key, spec.unique_keys, spec.identity, self.buckets, {})
 
     def stage(
-        self, old: Pointer, schema: T.StructType, changes: DataFrame, touched: list[int]
+        self,
+        old: Pointer,
+        schema: T.StructType,
+        changes: DataFrame,
+        touched: list[int],
+        columns: Sequence[str],
     ) -> Pointer:
-        """Write the touched buckets with the changes applied; publish nothing yet."""
+        """Write the touched buckets with the changes applied; publish nothing yet.
+
+        A change set holds whole rows, so the columns the source supplies do not matter.
+        """
         version = old.version + 1
         new = replace(old, version=version, schema=schema)
         if not touched:

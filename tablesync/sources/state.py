@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import SparkSession
 
-from tablesync.operators.watermark import Watermark
+from tablesync.operators.watermark import Watermark, applicable
 from tablesync.session import SharedFiles
 
 
@@ -27,9 +27,12 @@ class StateFile:
             return {}
         return state if isinstance(state, dict) else {}
 
+    def saved(self, table: str) -> Watermark | None:
+        return Watermark.from_dict(self.load().get(table))
+
     def get(self, table: str, column: str) -> Watermark | None:
-        saved = Watermark.from_dict(self.load().get(table))
-        return saved if saved is not None and saved.column == column else None
+        """The saved value, if it belongs to this column."""
+        return applicable(self.saved(table), column, full_refresh=False)
 
     def set(self, table: str, watermark: Watermark) -> None:
         state = self.load()

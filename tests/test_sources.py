@@ -9,8 +9,9 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from tablesync import SyncOptions, sync_table
+from tablesync import RelationalTarget, StateFile, SyncOptions, TableSpec, sync_table
 from tablesync.sources.readers import full_scan, jdbc_options, read_files, read_table
+from tablesync.operators.watermark import Watermark
 from tablesync.sources.relational import delete_statement, merge_statement
 from tablesync.sources.sqlite import (
     SqliteReader,
@@ -155,3 +156,78 @@ def test_relational_statements():
     assert rows == [(1, None, "n1"), (3, "c", "n3"), (4, "b", None)]
     key_only = merge_statement("s.t", "s.t__changes", ["k"], ["k"])
     assert "UPDATE" not in key_only and '"s"."t"' in key_only
+
+
+class InProcessTarget(RelationalTarget):
+    """The relational target over an in-process engine instead of JDBC."""
+
+    def __init__(self, spark, spec, db, **more):
+        super().__init__(spark, spec, "none", **more)
+        self.db = db
+
+    def _read(self):
+        info = self.db.execute(f"DESCRIBE {self.table}").fetchall()
+        kinds = {"INTEGER": "int", "VARCHAR": "string", "BIGINT": "bigint", "BOOLEAN": "boolean"}
+        schema = ", ".join(f"{name} {kinds[kind]}" for name, kind, *_ in info)
+        rows = self.db.execute(f"SELECT * FROM {self.table}").fetchall()
+        return self.spark.createDataFrame(rows, schema)
+
+    def _write_staging(self, rows, staging):
+        frame = rows.toPandas()  # noqa: F841 - read by name below
+        self.db.execute(f'CREATE TABLE "{staging}" AS SELECT * FROM frame')
+
+    def _transaction(self, statements):
+        self.db.execute("BEGIN")
+        try:
+            for text in statements:
+                self.db.execute(text)
+            self.db.execute("COMMIT")
+        except Exception:
+            self.db.execute("ROLLBACK")
+            raise
+
+
+def test_runs_against_a_relational_target(spark, tmp_path):
+    db = duckdb.connect()
+    db.execute(
+        "CREATE TABLE t (k INTEGER PRIMARY KEY, v VARCHAR, ts BIGINT, note VARCHAR DEFAULT 'new')"
+    )
+    db.execute("INSERT INTO t VALUES (1, 'a', 1, 'n1'), (2, 'b', 1, 'n2'), (3, 'c', 1, 'n3')")
+    spec = TableSpec("t", "k", unique_keys=(("v",),), identity=("k",))
+    state = StateFile(spark, str(tmp_path / "state.json"))
+    target = InProcessTarget(spark, spec, db, state=state)
+    rows = lambda: sorted(db.execute("SELECT * FROM t").fetchall())
+    schema = "k int, v string, ts bigint"
+
+    # Key 9 takes over the value of key 2, which prune removes first.
+    source = spark.createDataFrame([(1, "A", 2), (3, "c", 1), (9, "b", 5)], schema)
+    options = SyncOptions(
+        prune=True, allow_prune=True, incremental_col="ts", sync_sequence=True
+    )
+    report = sync_table(spark, spec, source, target, options)
+    assert (report.read_rows, report.affected_rows, report.deleted_rows) == (3, 2, 1)
+    assert report.sequences == {"k": 9} and report.target_only == ("note",)
+    assert rows() == [(1, "A", 2, "n1"), (3, "c", 1, "n3"), (9, "b", 5, "new")]
+    assert state.get("t", "ts") == Watermark("ts", "bigint", "5")
+
+    # A clash, found before the database is touched.
+    clash = spark.createDataFrame([(10, "A", 6)], schema)
+    with pytest.raises(Exception, match="unique"):
+        sync_table(spark, spec, clash, target, SyncOptions(incremental_col="ts"))
+    assert len(rows()) == 3 and state.get("t", "ts").value == "5"
+
+    # A new column, and only rows since the watermark.
+    wide = spark.createDataFrame(
+        [(1, "late", 2, True), (11, "x", 5, True)], schema + ", flag boolean"
+    )
+    more = SyncOptions(incremental_col="ts", add_columns=True)
+    report = sync_table(spark, spec, wide, target, more)
+    assert report.affected_rows == 1 and report.added_columns == {"flag": "boolean"}
+    assert rows()[-1] == (11, "x", 5, "new", True) and rows()[0] == (1, "A", 2, "n1", None)
+    assert sync_table(spark, spec, wide, target, more).affected_rows == 0
+    tables = [r[0] for r in db.execute("SHOW TABLES").fetchall()]
+    assert tables == ["t"]
+
+    inserted = spark.createDataFrame([(1, "zz", 9), (12, "x", 9), (13, "y", 9)], schema)
+    report = sync_table(spark, spec, inserted, target, SyncOptions(insert_only=True))
+    assert report.affected_rows == 1 and rows()[-1][0] == 13
