@@ -23,6 +23,23 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return counted.where(F.col("n") > 1)
 
 
+def repeated_keys(df: DataFrame, key: Sequence[str], scratch: Scratch) -> DataFrame | None:
+    """``duplicate_keys`` written to the shared folder, or None when there are none.
+
+    Equal keys have equal hashes, so a wide key is first counted by one long; only
+    rows whose hash repeats are counted by the key itself.
+    """
+    rows = df.select(*key)
+    if len(key) > 1 or not isinstance(df.schema[key[0]].dataType, T.IntegralType):
+        rows = rows.withColumn("__hash", F.xxhash64(*key))
+        suspects = scratch.write(duplicate_keys(rows, ["__hash"]).select("__hash"), "suspects")
+        if suspects.isEmpty():
+            return None
+        rows = rows.join(suspects, "__hash", "left_semi")
+    found = scratch.write(duplicate_keys(rows, key), "repeated_keys")
+    return None if found.isEmpty() else found
+
+
 def applied_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> list[str]:
     """Columns that order source rows: the declared order, then key, then the rest.
 

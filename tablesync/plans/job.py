@@ -26,7 +26,7 @@ from tablesync.operators.constraints import (
     unique_violations,
     unique_violations_in_order,
 )
-from tablesync.operators.duplicates import count_writes, dedup, duplicate_keys
+from tablesync.operators.duplicates import count_writes, dedup, repeated_keys
 from tablesync.operators.insert_only import accepted_rows
 from tablesync.operators.keys import high_water_map
 from tablesync.operators.merge import change_set, pruned_rows
@@ -238,11 +238,11 @@ class Run:
         key = self.pointer.key
         if self.options.source_key_is_unique:
             return None
-        repeated = scratch.write(duplicate_keys(rows, key), "repeated_keys")
-        shown = repeated.select(*key).limit(SHOWN_KEYS).collect()
-        if not shown:
+        repeated = repeated_keys(rows, key, scratch)
+        if repeated is None:
             return None
         if self.options.on_duplicate == "error" and not self.options.insert_only:
+            shown = repeated.select(*key).limit(SHOWN_KEYS).collect()
             raise ConstraintError(self.spec.name, "one row per key", [tuple(r) for r in shown])
         return repeated
 

@@ -178,6 +178,8 @@ class SnapshotTarget:
     ) -> dict[int, str]:
         folder = f"{version:012d}-{uuid.uuid4().hex}"
         laid_out = rows.withColumn("bucket", bucket_of(old.key, old.buckets))
+        # The write sorts by bucket anyway; the key on top keeps files small and skippable.
+        laid_out = laid_out.sortWithinPartitions("bucket", *old.key)
         laid_out.write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
         written = [n for n in self.files.names(f"data/{folder}") if n.startswith("bucket=")]
         # A touched bucket without a folder lost its last row.
