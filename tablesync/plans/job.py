@@ -280,13 +280,14 @@ class Run:
         """Buckets that hold these keys: at most one small row per bucket."""
         return sorted(r["bucket"] for r in rows.select(self._bucket()).distinct().collect())
 
-    def _counted(self, changes: DataFrame) -> tuple[dict[str, int], list[int]]:
-        """Rows per op and touched buckets, from at most three small rows per bucket."""
+    def _counted(self, changes: DataFrame) -> tuple[dict[str, int], dict[int, set[str]]]:
+        """Rows per op and ops per bucket, from at most three small rows per bucket."""
         counts: dict[str, int] = {}
-        groups = changes.groupBy("op", self._bucket()).count().collect()
-        for row in groups:
+        touched: dict[int, set[str]] = {}
+        for row in changes.groupBy("op", self._bucket()).count().collect():
             counts[row["op"]] = counts.get(row["op"], 0) + row["count"]
-        return counts, sorted({row["bucket"] for row in groups})
+            touched.setdefault(row["bucket"], set()).add(row["op"])
+        return counts, touched
 
     def _bucket(self) -> Column:
         return bucket_of(self.pointer.key, self.pointer.buckets).alias("bucket")

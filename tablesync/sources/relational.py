@@ -68,7 +68,7 @@ def merge_statement(table: str, staging: str, key: Sequence[str], columns: Seque
 class Staged:
     """What ``commit`` will send to the database."""
 
-    live: dict[int, str]
+    live: dict[int, tuple[str, ...]]
     changes: DataFrame
     columns: tuple[str, ...]
 
@@ -107,7 +107,7 @@ class RelationalTarget:
             unique_keys=self.spec.unique_keys,
             identity=self.spec.identity,
             buckets=1,
-            live={0: self.table},
+            live={0: (self.table,)},
             watermark=self.state.saved(self.spec.name) if self.state else None,
         )
 
@@ -127,12 +127,12 @@ class RelationalTarget:
         old: Pointer,
         schema: T.StructType,
         changes: DataFrame,
-        touched: list[int],
+        touched: Mapping[int, set[str]],
         columns: Sequence[str],
     ) -> Pointer:
         live = old.live
         if touched:
-            live = {0: f"{self.table}__{uuid.uuid4().hex}"}
+            live = {0: (f"{self.table}__{uuid.uuid4().hex}",)}
             self._staged = Staged(live, changes, tuple(columns))
         return replace(old, version=old.version + 1, schema=schema, live=live)
 
@@ -146,7 +146,7 @@ class RelationalTarget:
             if statements:
                 self._transaction(statements)
         else:
-            staging = staged.live[0]
+            (staging,) = staged.live[0]
             self._write_staging(staged.changes.select("op", *staged.columns), staging)
             try:
                 statements.append(delete_statement(self.table, staging, pointer.key))

@@ -2,9 +2,10 @@
 
 Rows are laid out in ``buckets`` by the hash Spark itself uses to partition by key,
 so the exchange of a merge already puts each task's rows into one bucket. A run
-writes only the buckets it changes into a new version folder and then creates the
-next pointer file; that single rename publishes rows, added columns, watermark and
-stream batch together. Readers hold the old version until then, a failed run leaves
+rewrites only the buckets in which rows changed or went; new rows are appended as a
+further folder of their bucket, until a bucket has ``MAX_FOLDERS`` and is rewritten
+as one. Then the run creates the next pointer file; that single rename publishes rows,
+added columns, watermark and stream batch together. Readers hold the old version until then, a failed run leaves
 it live, and a second writer of the same version fails.
 
 Layout:  <root>/data/<version>-<attempt>/bucket=<b>/*.parquet
@@ -17,22 +18,25 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.operators.classify import INSERT
 from tablesync.operators.merge import apply_changes
 from tablesync.operators.watermark import Watermark
 from tablesync.session import SharedFiles
 from tablesync.spec import TableSpec, check_columns
 
+MAX_FOLDERS = 16
+
 
 @dataclass(frozen=True)
 class Pointer:
-    """What one version consists of. ``live`` maps a bucket to the folder holding it."""
+    """What one version consists of. ``live`` maps a bucket to the folders holding it."""
 
     version: int
     schema: T.StructType
@@ -40,7 +44,7 @@ class Pointer:
     unique_keys: tuple[tuple[str, ...], ...]
     identity: tuple[str, ...]
     buckets: int
-    live: dict[int, str]
+    live: dict[int, tuple[str, ...]]
     watermark: Watermark | None = None
     batch_id: int | None = None
 
@@ -73,7 +77,7 @@ class Pointer:
             unique_keys=tuple(tuple(u) for u in d["unique_keys"]),
             identity=tuple(d["identity"]),
             buckets=d["buckets"],
-            live={int(b): folder for b, folder in d["live"].items()},
+            live={int(b): tuple(folders) for b, folders in d["live"].items()},
             watermark=Watermark.from_dict(d["watermark"]),
             batch_id=d["batch_id"],
         )
@@ -124,7 +128,11 @@ class SnapshotTarget:
         if pointer is None:
             raise ValueError(f"target table does not exist: {self.root}")
         wanted = pointer.live if buckets is None else set(buckets) & set(pointer.live)
-        paths = [f"{self.root}/data/{pointer.live[b]}/bucket={b}" for b in sorted(wanted)]
+        paths = [
+            f"{self.root}/data/{folder}/bucket={b}"
+            for b in sorted(wanted)
+            for folder in pointer.live[b]
+        ]
         if not paths:
             return self.spark.createDataFrame([], pointer.schema)
         return self.spark.read.schema(pointer.schema).parquet(*paths)
@@ -147,45 +155,57 @@ class SnapshotTarget:
         old: Pointer,
         schema: T.StructType,
         changes: DataFrame,
-        touched: list[int],
+        touched: Mapping[int, set[str]],
         columns: Sequence[str],
     ) -> Pointer:
-        """Write the touched buckets with the changes applied; publish nothing yet.
+        """Write what a change set does to its buckets; publish nothing yet.
 
-        A change set holds whole rows, so the columns the source supplies do not matter.
+        ``touched`` names the ops in each bucket. A change set holds whole rows, so
+        the columns the source supplies do not matter here.
         """
-        version = old.version + 1
-        new = replace(old, version=version, schema=schema)
-        if not touched:
-            return new
-        before = self.load(replace(old, schema=schema), touched)
-        rows = apply_changes(before, changes, old.key, self._partitions(old))
-        return replace(new, live=self._write(rows, old, version, touched))
+        appended = [
+            b
+            for b, ops in touched.items()
+            if ops == {INSERT} and len(old.live.get(b, ())) < MAX_FOLDERS
+        ]
+        rewritten = sorted(set(touched) - set(appended))
+        bucket = bucket_of(old.key, old.buckets)
+        version, live = old.version + 1, dict(old.live)
+        if rewritten:
+            before = self.load(replace(old, schema=schema), rewritten)
+            inside = changes.where(bucket.isin(rewritten)) if appended else changes
+            rows = apply_changes(before, inside, old.key, self._partitions(old))
+            written = self._write(rows, old, version)
+            # A rewritten bucket without a folder lost its last row.
+            live = {b: f for b, f in live.items() if b not in set(rewritten)}
+            live |= {b: (folder,) for b, folder in written.items()}
+        if appended:
+            inside = changes.where(bucket.isin(appended)) if rewritten else changes
+            rows = inside.select(*schema.names).repartition(bucket)
+            written = self._write(rows, old, version)
+            live |= {b: (*live.get(b, ()), folder) for b, folder in written.items()}
+        return replace(old, version=version, schema=schema, live=live)
 
     def stage_first(self, old: Pointer, schema: T.StructType, rows: DataFrame) -> Pointer:
         """Fill an empty table: no join, one exchange into the bucket layout."""
         version = old.version + 1
         rows = rows.repartition(self._partitions(old), *old.key)
-        live = self._write(rows, old, version, list(range(old.buckets)))
+        live = {b: (folder,) for b, folder in self._write(rows, old, version).items()}
         return replace(old, version=version, schema=schema, live=live)
 
     def _partitions(self, pointer: Pointer) -> int:
         # A multiple of the bucket count keeps every task inside one bucket.
         return pointer.buckets * self.files_per_bucket
 
-    def _write(
-        self, rows: DataFrame, old: Pointer, version: int, touched: list[int]
-    ) -> dict[int, str]:
-        folder = f"{version:012d}-{uuid.uuid4().hex}"
+    def _write(self, rows: DataFrame, old: Pointer, version: int) -> dict[int, str]:
+        """Write rows into a folder of their own; bucket -> folder for those written."""
+        folder = f"{version:012d}-{uuid.uuid4().hex[:12]}"
         laid_out = rows.withColumn("bucket", bucket_of(old.key, old.buckets))
         # The write sorts by bucket anyway; the key on top keeps files small and skippable.
         laid_out = laid_out.sortWithinPartitions("bucket", *old.key)
         laid_out.write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
-        written = [n for n in self.files.names(f"data/{folder}") if n.startswith("bucket=")]
-        # A touched bucket without a folder lost its last row.
-        gone = set(touched)
-        kept = {b: f for b, f in old.live.items() if b not in gone}
-        return kept | {int(name.split("=")[1]): folder for name in written}
+        names = [n for n in self.files.names(f"data/{folder}") if n.startswith("bucket=")]
+        return {int(name.split("=")[1]): folder for name in names}
 
     def commit(self, pointer: Pointer) -> None:
         self.files.write_text(f"pointer/{pointer.version:012d}.json", pointer.to_json(), False)
@@ -197,7 +217,7 @@ class SnapshotTarget:
         """
         names = sorted(n for n in self.files.names("pointer") if n.endswith(".json"))
         recent = [Pointer.from_json(self.files.read_text(f"pointer/{n}")) for n in names[-keep:]]
-        used = {folder for p in recent for folder in p.live.values()}
+        used = {f for p in recent for folders in p.live.values() for f in folders}
         dropped = sorted(set(self.files.names("data")) - used)
         for folder in dropped:
             self.files.delete(f"data/{folder}")

@@ -243,6 +243,31 @@ def test_only_touched_buckets_are_rewritten(spark, new_target):
     assert Pointer.from_json(after.to_json()) == after
 
 
+def test_new_rows_are_appended_then_compacted(spark, new_target, monkeypatch):
+    from tablesync.sources import snapshot
+
+    monkeypatch.setattr(snapshot, "MAX_FOLDERS", 3)
+    target = filled(spark, new_target(buckets=2), [(i, "a", 1) for i in range(20)])
+    first = target.pointer()
+    for i in range(5):
+        rows = [(100 + i * 20 + j, "new", 1) for j in range(20)] + [(i, "ignored", 1)]
+        report = sync_table(spark, SPEC, df(spark, rows), target, SyncOptions(insert_only=True))
+        assert report.affected_rows == 20
+        folders = target.pointer().live
+        if i < 2:  # the rows that were there are not written again
+            assert all(folders[b][: i + 1][0] == first.live[b][0] for b in folders)
+            assert {len(f) for f in folders.values()} == {i + 2}
+        assert max(len(f) for f in folders.values()) <= 3
+    assert target.load().count() == 120 and target.load().select("k").distinct().count() == 120
+    # Changed and new rows of one run: a bucket with a change is rewritten.
+    old = target.pointer().live
+    mixed = [(0, "changed", 1)] + [(1000 + j, "new", 1) for j in range(20)]
+    assert sync_table(spark, SPEC, df(spark, mixed), target).affected_rows == 21
+    lengths = sorted(len(f) for f in target.pointer().live.values())
+    assert lengths[0] == 1 and old != target.pointer().live
+    assert target.load().count() == 140 and target.load().where("v = 'changed'").count() == 1
+
+
 def test_schema_evolution(spark, new_target):
     target = filled(spark, new_target(), [(1, "a", 1), (2, "b", 1)])
     spec = TableSpec("t", "k", declared_types={"d": "DECIMAL(10,2)", "f": "BOOLEAN"})
