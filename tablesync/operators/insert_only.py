@@ -42,13 +42,22 @@ def all_keys(key: Sequence[str], unique_keys: Sequence[Sequence[str]]) -> list[t
     return list(dict.fromkeys([tuple(key), *(tuple(u) for u in unique_keys)]))
 
 
-def without_clash(rows: DataFrame, taken: DataFrame, columns: Sequence[str]) -> DataFrame:
+def without_clash(
+    rows: DataFrame, taken: DataFrame, columns: Sequence[str], narrow: bool = False
+) -> DataFrame:
     """Rows whose key value is not in ``taken``; rows with a NULL in it stay.
 
     NULL values match nothing but would all hash to one task, so they are spread
     with a salt that equals zero for every other row. ``taken`` is unique by these
     columns, apart from NULLs, which it does not send.
+
+    An anti join cannot broadcast its left side, so a few rows against a large table
+    would shuffle the table. With ``narrow`` the table is first cut to the values
+    the rows have, a join in which the few values can be broadcast at run time.
     """
+    if narrow:
+        values = rows.select(*columns).distinct()
+        taken = taken.select(*columns).join(values, list(columns), "left_semi")
     salt = F.when(
         any_null(columns), F.lit(1) + F.pmod(F.xxhash64(*_hashable(rows)), F.lit(SALTS))
     ).otherwise(F.lit(0))
@@ -64,10 +73,10 @@ def _hashable(df: DataFrame) -> list[str]:
 
 
 def clash_free(
-    source: DataFrame, target: DataFrame, keys: Sequence[Sequence[str]]
+    source: DataFrame, target: DataFrame, keys: Sequence[Sequence[str]], narrow: bool = False
 ) -> DataFrame:
     """Source rows that clash with no target row on any key."""
-    return reduce(lambda rows, k: without_clash(rows, target, k), keys, source)
+    return reduce(lambda rows, k: without_clash(rows, target, k, narrow), keys, source)
 
 
 def accepted_rows(
@@ -78,10 +87,14 @@ def accepted_rows(
     unique_keys: Sequence[Sequence[str]] = (),
     order_by: Sequence[str] = (),
     chunk_rows: int = CHUNK_ROWS,
+    narrow: bool = False,
 ) -> DataFrame:
-    """The source rows an insert-only load inserts."""
+    """The source rows an insert-only load inserts.
+
+    ``narrow`` suits a source that is small beside the target (see ``without_clash``).
+    """
     keys = all_keys(key, unique_keys)
-    candidates = clash_free(source, target, keys)
+    candidates = clash_free(source, target, keys, narrow)
     if len(keys) == 1:
         return dedup(candidates, key, order_by, keep="first")
     candidates = scratch.write(candidates, "candidates")

@@ -260,21 +260,24 @@ class Run:
     ) -> DataFrame:
         key, prune = self.pointer.key, self.options.prune
         whole = bound is None and not self.partial
-        if not (whole or prune or self.options.insert_only):
-            near = self.target.load(replace(self.pointer, schema=schema), self._touched(single))
-            return change_set(single, near, key, False, all_keys=single)
-        everything = self.target.load(replace(self.pointer, schema=schema))
+        # A part of the source only meets the buckets of its keys; prune and unique
+        # keys look at the whole target.
+        by_key = not (prune or (self.options.insert_only and self.pointer.unique_keys))
+        buckets = self._touched(single) if by_key and not whole else None
+        current = self.target.load(replace(self.pointer, schema=schema), buckets)
         if self.options.insert_only:
             known = self._whole_keys(schema) if prune else None
-            stays = prune_keep(everything, known, key) if prune else everything
+            stays = prune_keep(current, known, key) if prune else current
             accepted = accepted_rows(
-                rows, stays, key, scratch, self.pointer.unique_keys, self._order(rows)
+                rows, stays, key, scratch, self.pointer.unique_keys, self._order(rows),
+                narrow=not whole,
             )
             new = _complete(accepted, schema).select(F.lit(INSERT).alias("op"), *schema.names)
-            return new.unionByName(pruned_rows(everything, known, key)) if prune else new
+            return new.unionByName(pruned_rows(current, known, key)) if prune else new
         if whole:
-            return change_set(single, everything, key, prune)
-        return change_set(single, everything, key, True, self._whole_keys(schema))
+            return change_set(single, current, key, prune)
+        known = self._whole_keys(schema) if prune else single
+        return change_set(single, current, key, prune, known)
 
     def _touched(self, rows: DataFrame) -> list[int]:
         """Buckets that hold these keys: at most one small row per bucket."""

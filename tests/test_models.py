@@ -9,6 +9,7 @@ import random
 
 import model
 import pytest
+from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tablesync.operators.constraints import unique_violations, unique_violations_in_order
@@ -55,6 +56,12 @@ def test_insert_only_several_keys(spark, scratch, chunk_rows, cases):
     )
     out = by_case(got.collect(), 4, cases)
     assert {c: sorted(r, key=repr) for c, r in out.items()} == expected
+    if chunk_rows == 100:
+        few = accepted_rows(
+            frame(spark, source, schema + ", pos int"), frame(spark, target, schema), ("c", "k"),
+            scratch, (("c", "u"), ("c", "a", "b")), ("pos",), chunk_rows, narrow=True,
+        )
+        assert rows_of(few) == rows_of(got)
 
 
 def test_insert_only_long_chain(spark, scratch):

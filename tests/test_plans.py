@@ -73,6 +73,17 @@ def test_small_increment_leaves_the_target_in_place(spark):
     assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
 
 
+def test_small_insert_only_source_leaves_the_target_in_place(spark):
+    s, t = table(spark, SF01, "customer_src"), table(spark, SF01, "customer")
+    few = s.where("c_nationkey = 3")
+    df = without_clash(few, t, ("c_name",), narrow=True)
+    expected = without_clash(few, t, ("c_name",))
+    assert rows_of(df) == rows_of(expected)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin [c_name" in final and "LeftSemi, BuildRight" in final
+
+
 def test_write_layout_needs_no_extra_exchange(large, tmp_path):
     """Each task of a merge holds rows of one bucket, so n tasks write n files."""
     t = table(large, SF01, "orders_tgt")
