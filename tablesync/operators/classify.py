@@ -1,6 +1,6 @@
 """Compare a source with a target by key: the join every sync is built on.
 
-``classify`` gives one row per key with an ``op``:
+``classify`` gives one row per key with an op (column ``OP``):
 
 * ``insert``    only in the source
 * ``update``    in both, some compared column differs (NULL-safe)
@@ -28,6 +28,7 @@ INSERT, UPDATE, UNCHANGED, KEEP, PRUNE = "insert", "update", "unchanged", "keep"
 TARGET_PREFIX = "__t_"
 IN_SOURCE = "__in_s"
 IN_TARGET = "__in_t"
+OP = "__op"
 
 
 def shared_columns(source: DataFrame, target: DataFrame) -> list[str]:
@@ -84,7 +85,7 @@ def classify(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFr
     compared = compared_columns(source, target, key)
     left = source_side(source, target)
     right = target_side(target, key, target.columns)
-    return left.join(right, list(key), "full_outer").withColumn("op", op_of(compared))
+    return left.join(right, list(key), "full_outer").withColumn(OP, op_of(compared))
 
 
 def classify_part(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -99,7 +100,7 @@ def classify_part(source: DataFrame, target: DataFrame, key: Sequence[str]) -> D
     matched = target_side(target, key, target.columns).join(
         source.select(*key), list(key), "inner"
     )
-    return left.join(matched, list(key), "left").withColumn("op", op_of(compared))
+    return left.join(matched, list(key), "left").withColumn(OP, op_of(compared))
 
 
 def merged_columns(
@@ -134,12 +135,12 @@ def changed_rows(source: DataFrame, target: DataFrame, key: Sequence[str]) -> Da
 
 
 def op_counts(classified: DataFrame) -> DataFrame:
-    return classified.groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+    return classified.groupBy(F.col(OP).alias("op")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def sync_counts(classified: DataFrame, prune: bool) -> DataFrame:
     """read, affected (inserts and real updates) and deleted rows in one pass."""
-    op = F.col("op")
+    op = F.col(OP)
     deleted = F.sum(F.when(op == KEEP, 1).otherwise(0)) if prune else F.lit(0)
     return classified.agg(
         F.sum(F.when(op != KEEP, 1).otherwise(0)).cast("long").alias("read_rows"),

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.operators.classify import INSERT, UPDATE
+from tablesync.operators.classify import INSERT, OP, UPDATE
 from tablesync.operators.duplicates import applied_order
 
 
@@ -54,7 +54,7 @@ def unique_violations(
     """
     columns = list(dict.fromkeys([*key, *unique]))
     held = ~any_null(unique)
-    written = changes.where(F.col("op").isin(INSERT, UPDATE)).select(*columns).where(held)
+    written = changes.where(F.col(OP).isin(INSERT, UPDATE)).select(*columns).where(held)
     values = written.select(*unique).distinct()
     untouched = (
         target.select(*columns)
@@ -63,15 +63,15 @@ def unique_violations(
         .join(changes.select(*key), list(key), "left_anti")
     )
     after = untouched.unionByName(written)
-    clashing = after.groupBy(*unique).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    clashing = after.groupBy(*unique).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
     return after.join(clashing.select(*unique), list(unique), "left_semi")
 
 
 def repeated_values(rows: DataFrame, unique: Sequence[str]) -> DataFrame:
-    """Unique values held more than once in a whole table, with the holder count."""
+    """Unique values held more than once in a whole table."""
     held = rows.where(~any_null(unique))
-    counted = held.groupBy(*unique).agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") > 1)
+    counted = held.groupBy(*unique).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.where(F.col("__n") > 1).select(*unique)
 
 
 def unique_violations_in_order(

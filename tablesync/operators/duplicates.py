@@ -19,12 +19,17 @@ from tablesync.session import Scratch
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") > 1)
+    """Keys that several rows have, and how many rows (``n``)."""
+    return _counted_repeats(df, key).withColumnRenamed("__n", "n")
+
+
+def _counted_repeats(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.where(F.col("__n") > 1)
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str], scratch: Scratch) -> DataFrame | None:
-    """``duplicate_keys`` written to the shared folder, or None when there are none.
+    """Keys several rows have, written to the shared folder, or None without any.
 
     Equal keys have equal hashes, so a wide key is first counted by one long; only
     rows whose hash repeats are counted by the key itself.
@@ -32,11 +37,11 @@ def repeated_keys(df: DataFrame, key: Sequence[str], scratch: Scratch) -> DataFr
     rows = df.select(*key)
     if len(key) > 1 or not isinstance(df.schema[key[0]].dataType, T.IntegralType):
         rows = rows.withColumn("__hash", F.xxhash64(*key))
-        suspects = scratch.write(duplicate_keys(rows, ["__hash"]).select("__hash"), "suspects")
+        suspects = scratch.write(_counted_repeats(rows, ["__hash"]).select("__hash"), "suspects")
         if suspects.isEmpty():
             return None
         rows = rows.join(suspects, "__hash", "left_semi")
-    found = scratch.write(duplicate_keys(rows, key), "repeated_keys")
+    found = scratch.write(_counted_repeats(rows, key).select(*key), "repeated_keys")
     return None if found.isEmpty() else found
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tablesync.operators.classify import (
     INSERT,
     KEEP,
+    OP,
     PRUNE,
+    TARGET_PREFIX,
     UPDATE,
     classify,
     classify_part,
@@ -29,7 +31,7 @@ def upsert(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFram
 
 def mirror(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Prune and upsert as one result: rows whose key left the source are gone."""
-    rows = classify(source, target, key).where(F.col("op") != KEEP)
+    rows = classify(source, target, key).where(F.col(OP) != KEEP)
     return rows.select(*merged_columns(source, target, key))
 
 
@@ -46,18 +48,18 @@ def change_set(
     prune: bool = False,
     all_keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Only the rows to write: ``op`` plus the full target row.
+    """Only the rows to write: their op (column ``OP``) plus the full target row.
 
     ``source`` is the whole source unless ``all_keys`` is given; then it is a part
     of it and ``all_keys`` holds the keys of the whole source, which prune needs.
     """
     if all_keys is None:
         wanted = (INSERT, UPDATE, KEEP) if prune else (INSERT, UPDATE)
-        rows = classify(source, target, key).where(F.col("op").isin(*wanted))
-        op = F.when(F.col("op") == KEEP, PRUNE).otherwise(F.col("op")).alias("op")
+        rows = classify(source, target, key).where(F.col(OP).isin(*wanted))
+        op = F.when(F.col(OP) == KEEP, PRUNE).otherwise(F.col(OP)).alias(OP)
         return rows.select(op, *merged_columns(source, target, key))
-    rows = classify_part(source, target, key).where(F.col("op").isin(INSERT, UPDATE))
-    changes = rows.select("op", *merged_columns(source, target, key))
+    rows = classify_part(source, target, key).where(F.col(OP).isin(INSERT, UPDATE))
+    changes = rows.select(OP, *merged_columns(source, target, key))
     if prune:
         changes = changes.unionByName(pruned_rows(target, all_keys, key))
     return changes
@@ -67,7 +69,7 @@ def pruned_rows(target: DataFrame, all_keys: DataFrame, key: Sequence[str]) -> D
     """Prune part of a change set; only the key of a removed row matters."""
     removed = prune_keys(target, all_keys, key)
     return removed.select(
-        F.lit(PRUNE).alias("op"),
+        F.lit(PRUNE).alias(OP),
         *[
             F.col(f.name) if f.name in key else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.schema
@@ -89,14 +91,14 @@ def apply_changes(
     if partitions:
         target = target.repartition(partitions, *key)
         changes = changes.repartition(partitions, *key)
-    old = target.select(*key, *[F.col(c).alias(f"__t_{c}") for c in target.columns if c not in key])
+    old = target.select(*key, *[F.col(c).alias(TARGET_PREFIX + c) for c in target.columns if c not in key])
     joined = old.join(changes, list(key), "full_outer")
-    kept = F.col("op").isNull() | (F.col("op") != PRUNE)
+    kept = F.col(OP).isNull() | (F.col(OP) != PRUNE)
     return joined.where(kept).select(
         *[
             F.col(c)
             if c in key
-            else F.when(F.col("op").isNull(), F.col(f"__t_{c}")).otherwise(F.col(c)).alias(c)
+            else F.when(F.col(OP).isNull(), F.col(TARGET_PREFIX + c)).otherwise(F.col(c)).alias(c)
             for c in target.columns
         ]
     )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.coerce import coerce_to, require_ansi
-from tablesync.operators.classify import INSERT, PRUNE, UPDATE
+from tablesync.operators.classify import INSERT, OP, PRUNE, UPDATE
 from tablesync.operators.constraints import (
     any_null,
     null_key_rows,
@@ -158,7 +158,9 @@ class Run:
         column = self.options.incremental_col
         if column and column not in self.source.columns:
             raise ValueError(f"incremental column not in {self.spec.name}: {column}")
-        require_ansi(self.spark)
+        kinds = {f.name: f.dataType for f in self.pointer.schema.fields}
+        if any(kinds.get(f.name, f.dataType) != f.dataType for f in self.source.schema.fields):
+            require_ansi(self.spark)
 
     def _described(self, diff: SchemaDiff) -> SyncReport:
         return SyncReport(
@@ -272,7 +274,7 @@ class Run:
                 rows, stays, key, scratch, self.pointer.unique_keys, self._order(rows),
                 narrow=not whole,
             )
-            new = _complete(accepted, schema).select(F.lit(INSERT).alias("op"), *schema.names)
+            new = _complete(accepted, schema).select(F.lit(INSERT).alias(OP), *schema.names)
             return new.unionByName(pruned_rows(current, known, key)) if prune else new
         if whole:
             return change_set(single, current, key, prune)
@@ -287,9 +289,9 @@ class Run:
         """Rows per op and ops per bucket, from at most three small rows per bucket."""
         counts: dict[str, int] = {}
         touched: dict[int, set[str]] = {}
-        for row in changes.groupBy("op", self._bucket()).count().collect():
-            counts[row["op"]] = counts.get(row["op"], 0) + row["count"]
-            touched.setdefault(row["bucket"], set()).add(row["op"])
+        for row in changes.groupBy(OP, self._bucket()).count().collect():
+            counts[row[OP]] = counts.get(row[OP], 0) + row["count"]
+            touched.setdefault(row["bucket"], set()).add(row[OP])
         return counts, touched
 
     def _bucket(self) -> Column:

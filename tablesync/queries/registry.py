@@ -188,7 +188,9 @@ def upsert_result(spark, sf):
     ("orders_tgt",),
 )
 def change_set(spark, sf):
-    return merge.change_set(*_orders(spark, sf), prune=True).select("op", "o_orderkey")
+    return merge.change_set(*_orders(spark, sf), prune=True).select(
+        F.col(cl.OP).alias("op"), "o_orderkey"
+    )
 
 
 @query(
@@ -203,7 +205,7 @@ def change_set_incremental(spark, sf):
     source, target, key = _orders(spark, sf)
     part = read_since(source, "o_orderdate", SINCE_1999)
     changes = merge.change_set(part, target, key, prune=True, all_keys=source)
-    return changes.select("op", "o_orderkey")
+    return changes.select(F.col(cl.OP).alias("op"), "o_orderkey")
 
 
 @query(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.declared_types import sql_type_name
-from tablesync.operators.classify import PRUNE
+from tablesync.operators.classify import OP, PRUNE
 from tablesync.operators.merge import apply_changes
 from tablesync.sources.snapshot import Pointer
 from tablesync.sources.state import StateFile
@@ -47,7 +47,7 @@ def add_column_statement(table: str, column: T.StructField) -> str:
 def delete_statement(table: str, staging: str, key: Sequence[str]) -> str:
     return (
         f"DELETE FROM {sql_name(table)} AS t WHERE EXISTS "
-        f"(SELECT 1 FROM {sql_name(staging)} AS s WHERE s.op = '{PRUNE}' AND {_on(key)})"
+        f"(SELECT 1 FROM {sql_name(staging)} AS s WHERE s.{sql_name(OP)} = '{PRUNE}' AND {_on(key)})"
     )
 
 
@@ -58,7 +58,7 @@ def merge_statement(table: str, staging: str, key: Sequence[str], columns: Seque
     matched = f" WHEN MATCHED THEN UPDATE SET {', '.join(updates)}" if updates else ""
     return (
         f"MERGE INTO {sql_name(table)} AS t "
-        f"USING (SELECT * FROM {sql_name(staging)} WHERE op <> '{PRUNE}') AS s ON {_on(key)}"
+        f"USING (SELECT * FROM {sql_name(staging)} WHERE {sql_name(OP)} <> '{PRUNE}') AS s ON {_on(key)}"
         f"{matched} WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) "
         f"VALUES ({', '.join('s.' + n for n in names)})"
     )
@@ -147,7 +147,7 @@ class RelationalTarget:
                 self._transaction(statements)
         else:
             (staging,) = staged.live[0]
-            self._write_staging(staged.changes.select("op", *staged.columns), staging)
+            self._write_staging(staged.changes.select(OP, *staged.columns), staging)
             try:
                 statements.append(delete_statement(self.table, staging, pointer.key))
                 statements.append(

@@ -8,7 +8,7 @@ as one. Then the run creates the next pointer file; that single rename publishes
 added columns, watermark and stream batch together. Readers hold the old version until then, a failed run leaves
 it live, and a second writer of the same version fails.
 
-Layout:  <root>/data/<version>-<attempt>/bucket=<b>/*.parquet
+Layout:  <root>/data/<version>-<attempt>/__bucket=<b>/*.parquet
          <root>/pointer/<version>.json
 
 Every attempt has a folder of its own, so writers never touch each other's files.
@@ -32,6 +32,7 @@ from tablesync.session import SharedFiles
 from tablesync.spec import TableSpec, check_columns
 
 MAX_FOLDERS = 16
+BUCKET = "__bucket"
 
 
 @dataclass(frozen=True)
@@ -129,7 +130,7 @@ class SnapshotTarget:
             raise ValueError(f"target table does not exist: {self.root}")
         wanted = pointer.live if buckets is None else set(buckets) & set(pointer.live)
         paths = [
-            f"{self.root}/data/{folder}/bucket={b}"
+            f"{self.root}/data/{folder}/{BUCKET}={b}"
             for b in sorted(wanted)
             for folder in pointer.live[b]
         ]
@@ -200,11 +201,11 @@ class SnapshotTarget:
     def _write(self, rows: DataFrame, old: Pointer, version: int) -> dict[int, str]:
         """Write rows into a folder of their own; bucket -> folder for those written."""
         folder = f"{version:012d}-{uuid.uuid4().hex[:12]}"
-        laid_out = rows.withColumn("bucket", bucket_of(old.key, old.buckets))
+        laid_out = rows.withColumn(BUCKET, bucket_of(old.key, old.buckets))
         # The write sorts by bucket anyway; the key on top keeps files small and skippable.
-        laid_out = laid_out.sortWithinPartitions("bucket", *old.key)
-        laid_out.write.partitionBy("bucket").parquet(f"{self.root}/data/{folder}")
-        names = [n for n in self.files.names(f"data/{folder}") if n.startswith("bucket=")]
+        laid_out = laid_out.sortWithinPartitions(BUCKET, *old.key)
+        laid_out.write.partitionBy(BUCKET).parquet(f"{self.root}/data/{folder}")
+        names = [n for n in self.files.names(f"data/{folder}") if n.startswith(f"{BUCKET}=")]
         return {int(name.split("=")[1]): folder for name in names}
 
     def commit(self, pointer: Pointer) -> None:

@@ -5,9 +5,8 @@
 
 The file must be readable by every executor under the same path. Rows are split by
 rowid range; a table without rowid is split by its first key column. Column types
-follow the declared types (``types="raw"`` in the declaration is not needed: cells
-of another storage class are converted by the rules of the column type, and a cell
-that does not fit fails the read). Comparisons on numbers and texts are pushed into
+follow the declared types; cells of another storage class are converted by the rules
+of the column type, and a cell that does not fit fails the read. Comparisons on numbers and texts are pushed into
 the file when ``spark.sql.python.filterPushdown.enabled`` is on; Spark checks every
 row again, so a pushed filter may only let too many rows pass.
 """

@@ -12,6 +12,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from tablesync.operators.classify import OP
 from tablesync.operators.constraints import unique_violations, unique_violations_in_order
 from tablesync.operators.duplicates import count_writes, dedup
 from tablesync.operators.insert_only import accepted_rows
@@ -116,7 +117,7 @@ def test_upsert_and_mirror(spark, scratch, prune):
     assert sorted((tuple(r) for r in merged.collect()), key=repr) == expected
     for part in (None, s):
         changes = scratch.write(change_set(s, t, key, prune, part), "changes")
-        counts = {r.op: r["count"] for r in changes.groupBy("op").count().collect()}
+        counts = {r[OP]: r["count"] for r in changes.groupBy(OP).count().collect()}
         assert counts.get("insert", 0) + counts.get("update", 0) == writes
         assert counts.get("prune", 0) == deleted
         applied = apply_changes(t, changes, key, 16)

@@ -268,6 +268,25 @@ def test_new_rows_are_appended_then_compacted(spark, new_target, monkeypatch):
     assert target.load().count() == 140 and target.load().where("v = 'changed'").count() == 1
 
 
+def test_columns_with_everyday_names(spark, new_target):
+    """Names the operators could have used themselves: op, n, bucket, count."""
+    spec = TableSpec("t", ("n", "bucket"), unique_keys=(("count",),))
+    schema = "n int, bucket string, op string, count int, row int"
+    rows = [(1, "x", "insert", 1, 1), (1, "y", "keep", 2, 1), (2, "x", "prune", None, 1)]
+    target = filled(spark, new_target(), rows, spec, schema)
+    source = df(spark, [(1, "x", "update", 1, 1), (3, "z", "new", 5, 1)], schema)
+    report = sync_table(spark, spec, source, target, MIRROR)
+    assert (report.affected_rows, report.deleted_rows) == (2, 2)
+    assert rows_of(target.load()) == [(1, "x", "update", 1, 1), (3, "z", "new", 5, 1)]
+    more = df(spark, [(4, "a", "o", 5, 1), (5, "b", "o", 6, 1), (5, "b", "o", 7, 2)], schema)
+    report = sync_table(spark, spec, more, target, SyncOptions(insert_only=True))
+    assert report.affected_rows == 1
+    repeated = df(spark, [(9, "a", "o", 8, 1), (9, "a", "p", 9, 2)], schema)
+    assert sync_table(spark, spec, repeated, target).affected_rows == 2
+    with pytest.raises(ConstraintError):
+        sync_table(spark, spec, df(spark, [(8, "a", "o", 1, 1)], schema), target)
+
+
 def test_schema_evolution(spark, new_target):
     target = filled(spark, new_target(), [(1, "a", 1), (2, "b", 1)])
     spec = TableSpec("t", "k", declared_types={"d": "DECIMAL(10,2)", "f": "BOOLEAN"})

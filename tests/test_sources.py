@@ -146,7 +146,7 @@ def test_relational_statements():
     db = duckdb.connect()
     db.execute("CREATE TABLE t (k INT PRIMARY KEY, v VARCHAR, note VARCHAR)")
     db.execute("INSERT INTO t VALUES (1, 'a', 'n1'), (2, 'b', 'n2'), (3, 'c', 'n3')")
-    db.execute("CREATE TABLE t__changes (op VARCHAR, k INT, v VARCHAR)")
+    db.execute("CREATE TABLE t__changes (__op VARCHAR, k INT, v VARCHAR)")
     db.execute(
         "INSERT INTO t__changes VALUES ('update', 1, NULL), ('prune', 2, NULL), ('insert', 4, 'b')"
     )
