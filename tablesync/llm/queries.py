@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import exact_dedup, pieces, pii, secret_scan
-from tablesync.llm.common import documents
+from tablesync.llm import exact_dedup, pieces, pii, quality_knn, secret_scan, simhash, toxicity
+from tablesync.llm.common import documents, labels
 from tablesync.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,18 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
 WINDOW g AS (PARTITION BY norm)
 """
+
+
+@query
+def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.report(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(documents(spark, sf_dir), Scratch(spark))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(documents(spark, sf_dir), labels(spark, sf_dir))
