@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import exact_dedup, pieces, pii, quality_knn, secret_scan, simhash, toxicity
+from tablesync.llm import exact_dedup, packing, pieces, pii, quality_knn, secret_scan, simhash, toxicity
 from tablesync.llm.common import documents, labels
 from tablesync.session import Scratch
 
@@ -63,3 +63,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(documents(spark, sf_dir), Scratch(spark), vocabulary, keep_ids=False)
