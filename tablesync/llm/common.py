@@ -23,6 +23,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def crc_remainder(key: Column | str, modulus: int) -> Column:
     """crc32 of a key written as text, modulo a number; NULL keys give NULL."""
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")) % modulus

@@ -7,8 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import exact_dedup, packing, pieces, pii, quality_knn, secret_scan, simhash, toxicity
-from tablesync.llm.common import documents, labels
+from tablesync.llm import (
+    exact_dedup,
+    packing,
+    pieces,
+    pii,
+    quality_knn,
+    secret_scan,
+    simhash,
+    spherical,
+    toxicity,
+)
+from tablesync.llm.common import documents, embeddings, labels
 from tablesync.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +79,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.packed(documents(spark, sf_dir), Scratch(spark), vocabulary, keep_ids=False)
+
+
+@query
+def op9_spherical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spherical.similar_vectors(embeddings(spark, sf_dir), Scratch(spark))
