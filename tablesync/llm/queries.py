@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.llm import (
     exact_dedup,
+    licenses,
     packing,
     pieces,
     pii,
@@ -84,3 +86,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_spherical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spherical.similar_vectors(embeddings(spark, sf_dir), Scratch(spark))
+
+
+def file_tree(docs: DataFrame) -> DataFrame:
+    """Documents as files: source/language/number.txt, some of them as licence files.
+
+    Numbers that end in 50 are the licence file of their language's directory, those that
+    end in 00 of their source's. Every document is one file, with its whole text.
+    """
+    ending = F.pmod("doc_id", F.lit(100))
+    name = F.when(ending.isin(0, 50), F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    )
+    place = F.when(ending == 0, F.col("source")).otherwise(F.concat_ws("/", "source", "lang"))
+    return docs.select("doc_id", F.concat_ws("/", place, name).alias("path"), "text")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(file_tree(documents(spark, sf_dir)), Scratch(spark))
