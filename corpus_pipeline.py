@@ -4,30 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import exact_dedup, secret_scan
-from tablesync.llm.common import documents
+from tablesync.llm import exact_dedup, packing, quality_knn, secret_scan, simhash
+from tablesync.llm.common import documents, labels
 from tablesync.session import Scratch, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality_knn.keep_accepted(docs, labels(spark, sf_dir))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
-    return exact_dedup.drop_exact_duplicates(docs, Scratch(spark))
+    """Of equal texts the document with the largest id stays."""
+    return exact_dedup.drop_exact_duplicates(docs, Scratch(spark), keep="largest")
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near duplicates the document with the smallest id stays."""
+    return simhash.keep_one(docs, Scratch(spark))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the text; every document stays."""
+    """Secrets are masked in the texts; every document stays."""
     return secret_scan.mask_secrets(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact), ("secret_scan", secrets)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token windows: one row per piece, with its ids."""
+    return packing.packed(docs, Scratch(spark), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_knn", quality),
+    ("exact_dedup", exact),
+    ("simhash", near),
+    ("secret_scan", secrets),
+    ("packing", pack),
+]
+# Classifier, fingerprints and tokens have no SQL form; tests compare with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each written and read again."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = scratch_path(spark, name)

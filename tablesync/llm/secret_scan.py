@@ -121,8 +121,16 @@ def with_secrets(df: DataFrame, text: str = "text", out: str = "secrets") -> Dat
 
 
 def mask_secrets(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replace every secret by its kind in brackets; overlapping spans by the first one."""
-    return df.withColumn(text, _masked(F.col(text)))
+    """Replace every secret by its kind in brackets; overlapping spans by the first one.
+
+    A column ``n_chars``, if there is one, follows the text.
+    """
+    masked = df.withColumn(text, _masked(F.col(text)))
+    if "n_chars" not in df.columns:
+        return masked
+    kind = df.schema["n_chars"].dataType
+    changed = F.when(F.col(text).isNotNull(), F.char_length(text).cast(kind)).otherwise(F.col("n_chars"))
+    return masked.withColumn("n_chars", changed)
 
 
 def written(spans: Column, *kinds: str) -> Column:
