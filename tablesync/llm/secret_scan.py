@@ -9,10 +9,11 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "github", "npm")
-SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
+SPAN = T.StructType().add("kind", T.StringType()).add("start", T.LongType()).add("end", T.LongType())
 
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # keyword, in lower case -> kind
@@ -80,7 +81,7 @@ def find(text: str, words: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     return found
 
 
-@F.pandas_udf(SPANS)
+@F.pandas_udf(T.ArrayType(SPAN))
 def _spans(texts: pd.Series) -> pd.Series:
     words = automaton()
     return pd.Series(
@@ -91,7 +92,7 @@ def _spans(texts: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _masked(texts: pd.Series) -> pd.Series:
     words = automaton()
 

@@ -18,8 +18,8 @@ COSINE = 0.93
 # CODE_SIZE squared directions. Several codes even out how many filters a vector has.
 CODES = 8
 CODE_SIZE = 256
-# Height of a cap in standard deviations of a random direction's cosine.
-CAP = 3.65
+# The cap's height is such that a random vector exceeds so many filters on average.
+FILTERS = 32
 SEED = 11
 # Members of one filter that are compared at once; larger groups are cut into blocks.
 BLOCK = 1024
@@ -37,8 +37,17 @@ class Code:
         for size in (self.half, dim - self.half):
             words = random.standard_normal((CODE_SIZE, max(size, 1)))
             self.words.append(words / np.linalg.norm(words, axis=1, keepdims=True) / np.sqrt(2))
-        self.cap = CAP / np.sqrt(dim)
         self.first_id = number * CODE_SIZE**2
+        some = random.standard_normal((64, dim))
+        left, right = self.cosines(some / np.linalg.norm(some, axis=1, keepdims=True))
+        sums = (left[:, :, None] + right[:, None, :]).ravel()
+        self.cap = np.partition(sums, -len(some) * FILTERS // CODES)[-len(some) * FILTERS // CODES]
+
+    def cosines(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        turned = units @ self.rotation
+        left = turned[:, : self.half] @ self.words[0].T
+        right = turned[:, self.half :] @ self.words[1].T if units.shape[1] > 1 else np.zeros_like(left)
+        return left, right
 
     def decode(self, units: np.ndarray) -> list[np.ndarray]:
         """Every filter whose direction a vector exceeds the cap with, per vector.
@@ -46,9 +55,7 @@ class Code:
         Words of the first half that cannot reach the cap with the best second word are
         left out; the others need a prefix of the second words in falling order.
         """
-        turned = units @ self.rotation
-        left = turned[:, : self.half] @ self.words[0].T
-        right = turned[:, self.half :] @ self.words[1].T if units.shape[1] > 1 else np.zeros_like(left)
+        left, right = self.cosines(units)
         order = np.argsort(-right, axis=1, kind="stable")
         right = np.take_along_axis(right, order, axis=1)
         found = []
@@ -65,7 +72,7 @@ def decode(units: np.ndarray) -> list[np.ndarray]:
     """The filters of each vector over all codes, ascending."""
     dim = units.shape[1]
     codes = worker_cache(
-        f"codes {SEED} {CODES} {CODE_SIZE} {CAP} {dim}", lambda: [Code(dim, n) for n in range(CODES)]
+        f"codes {SEED} {CODES} {CODE_SIZE} {FILTERS} {dim}", lambda: [Code(dim, n) for n in range(CODES)]
     )
     found = []
     for at in range(0, len(units), ROWS):
