@@ -7,24 +7,24 @@ Order matters only inside the source, so the work is done in three steps:
 
 1. anti-joins against the target, one per key;
 2. candidates that share no key value with another candidate are accepted;
-3. the contested rest is settled in rounds. Each round accepts every row that is
-   the first holder of all its key values and drops the rows that share a value
-   with an accepted one. All steps of a round are aggregates and equi-joins.
-
-The first undecided row is always accepted, so rounds end; rows whose clashes form
-a long chain would need many, therefore a round that decides little is followed by
-a pass over the first ``chunk_rows`` undecided rows in one task. Those rows depend
-on nothing later, which keeps that pass exact, and its size is bounded.
+3. the contested rest is settled in rounds of aggregates and equi-joins over a few
+   longs per row. A row depends on the undecided rows before it that hold one of its
+   values. Without such a row it is accepted; with exactly one, it is accepted if that
+   one is not. These single dependencies form trees, which pointer doubling settles
+   whole, so a chain of any length takes a logarithmic number of joins. Rows that share
+   a value with an accepted one drop out, and the next round sees what is left.
+
+The first undecided row of all is always accepted, so rounds end. No row is dropped or
+capped, and the steps are the same at every size.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.operators.constraints import any_null
@@ -33,9 +33,7 @@ from tablesync.session import Scratch
 
 log = logging.getLogger(__name__)
 
-CHUNK_ROWS = 50_000
 SALTS = 1024
-NO_VALUE = -1
 
 
 def all_keys(key: Sequence[str], unique_keys: Sequence[Sequence[str]]) -> list[tuple[str, ...]]:
@@ -58,14 +56,27 @@ def without_clash(
     if narrow:
         values = rows.select(*columns).distinct()
         taken = taken.select(*columns).join(values, list(columns), "left_semi")
-    salt = F.when(
-        any_null(columns), F.lit(1) + F.pmod(F.xxhash64(*_hashable(rows)), F.lit(SALTS))
-    ).otherwise(F.lit(0))
-    left = rows.withColumn("__salt", salt.cast("long"))
+    left = rows.withColumn("__salt", _salt(rows, columns))
+    return left.join(_unsalted(taken, columns), [*columns, "__salt"], "left_anti").select(*rows.columns)
+
+
+def _salt(rows: DataFrame, columns: Sequence[str]) -> Column:
+    """Zero, or a number that spreads rows with a NULL among these columns."""
+    spread = F.lit(1) + F.pmod(F.xxhash64(*_hashable(rows)), F.lit(SALTS))
+    return F.when(any_null(columns), spread).otherwise(F.lit(0)).cast("long")
+
+
+def _unsalted(values: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
     # Always zero, but computed: a literal would be folded out of the join keys.
-    zero = F.pmod(F.xxhash64(*columns), F.lit(1))
-    right = taken.where(~any_null(columns)).select(*columns, zero.alias("__salt"))
-    return left.join(right, [*columns, "__salt"], "left_anti").select(*rows.columns)
+    zero = F.pmod(F.xxhash64(*columns), F.lit(1)).cast("long")
+    return values.where(~any_null(columns)).select(*columns, *more, zero.alias("__salt"))
+
+
+def looked_up(rows: DataFrame, values: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
+    """Rows with the columns ``more`` of the value row that equals them, or NULL."""
+    left = rows.withColumn("__salt", _salt(rows, columns))
+    right = _unsalted(values, columns, *more)
+    return left.join(right, [*columns, "__salt"], "left").select(*rows.columns, *more)
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -86,7 +97,6 @@ def accepted_rows(
     scratch: Scratch,
     unique_keys: Sequence[Sequence[str]] = (),
     order_by: Sequence[str] = (),
-    chunk_rows: int = CHUNK_ROWS,
     narrow: bool = False,
 ) -> DataFrame:
     """The source rows an insert-only load inserts.
@@ -106,7 +116,7 @@ def accepted_rows(
     rows = _numbered(
         marked.where("__contested").select(*candidates.columns), key, order_by, scratch
     )
-    winners = _settle(_coded(rows, keys), len(keys), scratch, chunk_rows)
+    winners = _settle(_coded(rows, keys), len(keys), scratch)
     chosen = rows.join(winners, "__pos", "left_semi").select(*candidates.columns)
     return free.unionByName(chosen)
 
@@ -123,11 +133,9 @@ def _marked(
     """Flag rows that share some key value with another row."""
     marked = rows.withColumn("__contested", F.lit(False))
     for columns, values in zip(keys, repeated):
-        marked = (
-            marked.join(values.withColumn("__hit", F.lit(True)), list(columns), "left")
-            .withColumn("__contested", F.col("__contested") | F.col("__hit").isNotNull())
-            .drop("__hit")
-        )
+        marked = looked_up(marked, values.withColumn("__hit", F.lit(True)), columns, "__hit")
+        hit = F.col("__contested") | F.col("__hit").isNotNull()
+        marked = marked.withColumn("__contested", hit).drop("__hit")
     return marked
 
 
@@ -150,66 +158,79 @@ def _coded(rows: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
         first = (
             rows.where(~any_null(columns)).groupBy(*columns).agg(F.min("__pos").alias(f"__v{i}"))
         )
-        coded = coded.join(first, list(columns), "left")
+        coded = looked_up(coded, first, columns, f"__v{i}")
     return coded.select("__pos", *[f"__v{i}" for i in range(len(keys))])
 
 
-def _settle(rows: DataFrame, n_keys: int, scratch: Scratch, chunk_rows: int) -> DataFrame:
+def _settle(rows: DataFrame, n_keys: int, scratch: Scratch) -> DataFrame:
     """Positions of the accepted rows among coded rows."""
     names = [f"__v{i}" for i in range(n_keys)]
     undecided = scratch.write(rows, "undecided")
     left = undecided.count()
     accepted: list[DataFrame] = []
-    in_chunk = left <= chunk_rows
     while left:
-        if in_chunk:
-            chunk = undecided.orderBy("__pos").limit(chunk_rows)
-            last = chunk.agg(F.max("__pos")).first()[0]
-            winners = scratch.write(_decide_in_order(chunk, names), "winners")
-            rest = undecided.where(F.col("__pos") > F.lit(last))
-        else:
-            winners = scratch.write(_first_holders(undecided, names), "winners")
-            rest = undecided.join(winners.select("__pos"), "__pos", "left_anti")
+        decided = _decided(scratch.write(_dependencies(undecided, names), "dependencies"), scratch)
+        won = decided.where("wins").select("__pos")
+        winners = scratch.write(undecided.join(won, "__pos", "left_semi"), "winners")
         accepted.append(winners.select("__pos"))
+        rest = undecided.join(decided.select("__pos"), "__pos", "left_anti")
         rest = clash_free(rest, winners, [(name,) for name in names])
         undecided = scratch.write(rest, "undecided")
         before, left = left, undecided.count()
         log.info("insert-only: %d contested rows left of %d", left, before)
-        few = before - left < before // 4
-        in_chunk = left <= chunk_rows or (few and not in_chunk)
     return reduce(DataFrame.unionByName, accepted)
 
 
-def _first_holders(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows that come first for every value they hold."""
-    held = rows.withColumn("__first", F.lit(True))
+def _dependencies(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(__pos, up, several): the one row each row depends on, or that there are several.
+
+    Within the holders of a value, the first depends on nobody, the second on the first,
+    and every later one on several.
+    """
+    found = rows.withColumns({"up": F.lit(None).cast("long"), "several": F.lit(False)})
     for name in names:
-        first = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.min("__pos").alias("__min"))
-        wins = F.col("__min").isNull() | (F.col("__min") == F.col("__pos"))
-        held = (
-            held.join(first, name, "left")
-            .withColumn("__first", F.col("__first") & wins)
-            .drop("__min")
+        first = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.min("__pos").alias("__first"))
+        marked = looked_up(rows, first, [name], "__first")
+        later = marked.where("__pos > __first").groupBy(name).agg(F.min("__pos").alias("__second"))
+        found = looked_up(looked_up(found, first, [name], "__first"), later, [name], "__second")
+        mine = F.when(F.col("__pos") > F.col("__first"), F.col("__first"))
+        third = F.coalesce(F.col("__pos") > F.col("__second"), F.lit(False))
+        clash = F.coalesce(F.col("up") != mine, F.lit(False))
+        found = found.withColumns(
+            {"several": F.col("several") | third | clash, "up": F.coalesce("up", mine)}
+        ).drop("__first", "__second")
+    return found.select("__pos", "up", "several")
+
+
+def _decided(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """(__pos, wins) of every row whose chain of single dependencies ends at a free row.
+
+    A row wins if its end is free and lies an even number of steps above it. Each round
+    doubles how far up the rows look that have not reached their end yet.
+    """
+    free, several = F.expr("NOT several AND up IS NULL"), F.col("several")
+    kinds = rows.select(F.col("__pos").alias("up"), free.alias("free"), (free | several).alias("ended"))
+    chained = rows.where("NOT several AND up IS NOT NULL").select("__pos", "up")
+    paths = chained.join(kinds, "up").select("__pos", "up", F.lit(True).alias("odd"), "ended", "free")
+    paths = scratch.write(paths, "paths")
+    while True:
+        going = paths.where("NOT ended")
+        if going.isEmpty():
+            break
+        above = paths.select(
+            F.col("__pos").alias("up"),
+            F.col("up").alias("next"),
+            F.col("odd").alias("more"),
+            F.col("ended").alias("ends"),
+            F.col("free").alias("frees"),
+        )
+        jumped = going.join(above, "up").select(
+            "__pos",
+            F.col("next").alias("up"),
+            (F.col("odd") != F.col("more")).alias("odd"),
+            F.col("ends").alias("ended"),
+            F.col("frees").alias("free"),
         )
-    return held.where("__first").select(*rows.columns)
-
-
-def _decide_in_order(chunk: DataFrame, names: list[str]) -> DataFrame:
-    """Accept rows of one bounded chunk one after another."""
-
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        taken: list[set[int]] = [set() for _ in names]
-        for batch in batches:
-            keep = []
-            for values in batch[names].itertuples(index=False, name=None):
-                wins = not any(v in held for v, held in zip(values, taken))
-                if wins:
-                    for v, held in zip(values, taken):
-                        if v != NO_VALUE:
-                            held.add(v)
-                keep.append(wins)
-            yield batch[keep]
-
-    filled = chunk.select("__pos", *[F.coalesce(n, F.lit(NO_VALUE)).alias(n) for n in names])
-    picked = filled.coalesce(1).sortWithinPartitions("__pos").mapInPandas(decide, filled.schema)
-    return picked.select("__pos", *[F.nullif(n, F.lit(NO_VALUE)).alias(n) for n in names])
+        paths = scratch.write(paths.where("ended").unionByName(jumped), "paths")
+    roots = rows.where(free).select("__pos", F.lit(True).alias("wins"))
+    return roots.unionByName(paths.where("free").select("__pos", (~F.col("odd")).alias("wins")))

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.spec import check_columns
+
 from tablesync.functions.declared_types import spark_type
 
 ADD, TARGET_ONLY, RETYPE = "add", "target_only", "retype"
@@ -83,7 +85,10 @@ def _value_counts(df: DataFrame, rows: list[tuple[str, str, str]]) -> DataFrame:
 
 
 def evolved(target: T.StructType, diff: SchemaDiff) -> T.StructType:
-    return T.StructType([*target.fields, *diff.missing])
+    """The target's columns and those it gains; names that clash are refused here."""
+    combined = T.StructType([*target.fields, *diff.missing])
+    check_columns(combined)
+    return combined
 
 
 def add_columns(target: DataFrame, diff: SchemaDiff) -> DataFrame:

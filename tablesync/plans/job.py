@@ -35,6 +35,7 @@ from tablesync.operators.schema import SchemaDiff, evolved, schema_diff
 from tablesync.operators.watermark import Watermark, applicable, read_since, read_summary
 from tablesync.plans.report import SyncReport, report_rows
 from tablesync.session import Scratch
+from tablesync.sources.readers import reads_alike
 from tablesync.sources.relational import RelationalTarget
 from tablesync.sources.snapshot import Pointer, SnapshotTarget, bucket_of
 from tablesync.spec import SyncOptions, TableSpec
@@ -102,7 +103,8 @@ def _link(spark, spec, source, target, prune, skip_dup) -> SyncReport:
     spec.check_source(source.schema)
     options = SyncOptions(
         prune=prune, allow_prune=True, insert_only=skip_dup, sync_sequence=True,
-        on_duplicate="error",
+        # rows of a table that is all key have nothing to differ in: repeats are ignored
+        on_duplicate="first" if set(pointer.schema.names) <= set(pointer.key) else "error",
     )
     shared = source.select(*[c for c in pointer.schema.names if c in source.columns])
     run = Run(spark, replace(spec, order_by=()), shared, target, options, pointer)
@@ -114,7 +116,8 @@ class Run:
     """State of one run of one table.
 
     ``partial`` says that ``source`` is not the whole source (a stream batch), which
-    rules prune out. ``batch_id`` is published together with the rows. With
+    rules prune out. ``batch`` names a stream and its batch, published together with the
+    rows. With
     ``take_late_rows`` the stored watermark stays a floor but filters nothing.
     """
 
@@ -125,7 +128,7 @@ class Run:
     options: SyncOptions
     pointer: Pointer
     partial: bool = False
-    batch_id: int | None = None
+    batch: tuple[str, int] | None = None
     take_late_rows: bool = False
 
     def execute(self) -> SyncReport:
@@ -181,8 +184,10 @@ class Run:
         part = self.source
         if column and not self.take_late_rows:
             part = read_since(part, column, bound)
-        if bound is not None or self.partial:
-            part = scratch.write(part, "increment")  # read a live source once
+        if bound is not None or self.partial or not reads_alike(part):
+            part = scratch.write(part, "increment")  # checks and merge see the same rows
+            if bound is None and not self.partial:
+                self.source = part
         read = read_summary(part, key, column, bound)
         rows = coerce_to(part, schema)
         if read.null_keys:
@@ -192,9 +197,12 @@ class Run:
         single = rows
         if repeated is not None and not options.insert_only:
             keep = "first" if options.on_duplicate == "first" else "last"
-            single = dedup(rows, key, order, keep)
+            several = rows.join(repeated.select(*key), list(key), "left_semi")
+            others = rows.join(repeated.select(*key), list(key), "left_anti")
+            single = others.unionByName(dedup(several, key, order, keep)).select(*rows.columns)
 
-        if not self.pointer.live and not options.insert_only:
+        if not (self.pointer.live or self.pointer.deltas or options.insert_only):
+            changes = None
             self._check_first_load(single)
             staged = self.target.stage_first(self.pointer, schema, _complete(single, schema))
             counts = {INSERT: self.target.load(staged).count()}
@@ -203,15 +211,17 @@ class Run:
                 self._changes(rows, single, schema, scratch, bound), "changes"
             )
             self._check_unique(changes, single, schema)
-            counts, touched = self._counted(changes)
-            staged = self.target.stage(self.pointer, schema, changes, touched, rows.columns)
+            counts = dict(changes.groupBy(OP).count().collect())
+            staged = self.target.stage(self.pointer, schema, changes, counts, rows.columns)
 
         affected = counts.get(INSERT, 0) + counts.get(UPDATE, 0)
         if repeated is not None and not options.insert_only and options.on_duplicate == "last":
             affected = self._writes(rows, repeated, schema, scratch, order, affected)
+        staged = replace(staged, high_water=None if affected else self.pointer.high_water)
         sequences: dict[str, int] = {}
         if options.sync_sequence and self.pointer.identity:
-            sequences = high_water_map(self.target.load(staged), self.pointer.identity)
+            sequences = self._high_water(staged, counts, changes)
+            staged = replace(staged, high_water=sequences)
         version = self._publish(staged, read.watermark)
         return replace(
             report,
@@ -224,6 +234,18 @@ class Run:
             version=version,
         )
 
+    def _high_water(
+        self, staged: Pointer, counts: dict[str, int], changes: DataFrame | None
+    ) -> dict[str, int]:
+        """Key maxima: the stored ones raised by the new rows, or a scan where rows went."""
+        known, columns = self.pointer.high_water, self.pointer.identity
+        if known is None or changes is None or counts.get(PRUNE):
+            return high_water_map(self.target.load(staged), columns)
+        if not counts.get(INSERT):
+            return known
+        new = high_water_map(changes.where(F.col(OP) == INSERT), columns)
+        return {c: max(known[c], new[c]) for c in columns}
+
     def _order(self, rows: DataFrame) -> list[str]:
         names = [*self.spec.order_by]
         if not names and self.options.incremental_col in rows.columns:
@@ -270,9 +292,9 @@ class Run:
         if self.options.insert_only:
             known = self._whole_keys(schema) if prune else None
             stays = prune_keep(current, known, key) if prune else current
+            given = [u for u in self.pointer.unique_keys if set(u) <= set(rows.columns)]
             accepted = accepted_rows(
-                rows, stays, key, scratch, self.pointer.unique_keys, self._order(rows),
-                narrow=not whole,
+                rows, stays, key, scratch, given, self._order(rows), narrow=not whole
             )
             new = _complete(accepted, schema).select(F.lit(INSERT).alias(OP), *schema.names)
             return new.unionByName(pruned_rows(current, known, key)) if prune else new
@@ -285,20 +307,13 @@ class Run:
         """Buckets that hold these keys: at most one small row per bucket."""
         return sorted(r["bucket"] for r in rows.select(self._bucket()).distinct().collect())
 
-    def _counted(self, changes: DataFrame) -> tuple[dict[str, int], dict[int, set[str]]]:
-        """Rows per op and ops per bucket, from at most three small rows per bucket."""
-        counts: dict[str, int] = {}
-        touched: dict[int, set[str]] = {}
-        for row in changes.groupBy(OP, self._bucket()).count().collect():
-            counts[row[OP]] = counts.get(row[OP], 0) + row["count"]
-            touched.setdefault(row["bucket"], set()).add(row[OP])
-        return counts, touched
-
     def _bucket(self) -> Column:
         return bucket_of(self.pointer.key, self.pointer.buckets).alias("bucket")
 
     def _check_first_load(self, rows: DataFrame) -> None:
         for unique in self.pointer.unique_keys:
+            if not set(unique) <= set(rows.columns):
+                continue  # NULL in every new row
             bad = repeated_values(rows, unique).select(*unique).limit(SHOWN_KEYS).collect()
             if bad:
                 raise ConstraintError(self.spec.name, f"unique {unique}", [tuple(r) for r in bad])
@@ -312,7 +327,9 @@ class Run:
         for unique in self.pointer.unique_keys:
             if not set(unique) <= set(single.columns):
                 continue
-            if self.options.unique_check == "strict":
+            # a database checks while it applies row by row
+            strict = self.options.unique_check == "strict" or isinstance(self.target, RelationalTarget)
+            if strict:
                 bad = unique_violations_in_order(
                     single, stays, key, unique, self._order(single)
                 ).select(*key)
@@ -340,7 +357,7 @@ class Run:
         staged = replace(
             staged,
             watermark=watermark or self.pointer.watermark,
-            batch_id=self.pointer.batch_id if self.batch_id is None else self.batch_id,
+            batches=self.pointer.batches | dict([self.batch] if self.batch else []),
         )
         if replace(staged, version=self.pointer.version) == self.pointer and self.target.exists():
             return self.pointer.version  # nothing to write, nothing to publish

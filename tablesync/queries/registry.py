@@ -22,12 +22,12 @@ from tablesync.plans.job import (
     run_report,
     sync_table,
 )
-from tablesync.queries.inputs import table, with_inputs
-from tablesync.session import Scratch, scratch_path
+from tablesync.queries.inputs import INPUTS, table, with_inputs
+from tablesync.session import Scratch
 from tablesync.sources.readers import full_scan
 from tablesync.sources.snapshot import SnapshotTarget
 from tablesync.spec import SyncOptions, TableSpec
-from tablesync.streaming.runner import read_stream, run_available
+from tablesync.streaming.runner import apply_batch, read_stream, run_available, stream_id_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +60,7 @@ def query(name: str, sql: str | None = None, inputs: tuple[str, ...] = ()):
 
 
 def _new_target(spark: SparkSession, label: str) -> SnapshotTarget:
-    return SnapshotTarget(spark, scratch_path(spark, label), buckets=QUERY_BUCKETS)
+    return SnapshotTarget(spark, Scratch(spark).path(label), buckets=QUERY_BUCKETS)
 
 
 def _filled_target(spark: SparkSession, spec: TableSpec, rows: DataFrame) -> SnapshotTarget:
@@ -313,13 +313,47 @@ def insert_only_first(spark, sf):
     return new.select(*_LINE_COLUMNS.split(", "))
 
 
-@query("insert_only_multi")
+_MULTI_KEYS = (LINE_KEY, ("l_partkey", "l_shipdate"), ("l_suppkey", "l_extendedprice"))
+
+
+def _free_of(columns: tuple[str, ...]) -> str:
+    same = " AND ".join(f"t.{c} = s.{c}" for c in columns)
+    return f"NOT EXISTS (SELECT 1 FROM lines_taken t WHERE {same})"
+
+
+def _first_of(columns: tuple[str, ...]) -> str:
+    missing = " OR ".join(f"{c} IS NULL" for c in columns)
+    return f"CASE WHEN {missing} THEN pos ELSE min(pos) OVER (PARTITION BY {', '.join(columns)}) END"
+
+
+# Each step lets the rows win that come first for all their values and carries on the rows
+# that share no value with a winner.
+_MULTI = f"""
+SELECT * FROM (
+  WITH RECURSIVE src AS (
+    SELECT *, row_number() OVER (ORDER BY {_LINE_ORDER}, l_orderkey, l_linenumber) AS pos
+    FROM lineitem s WHERE {" AND ".join(map(_free_of, _MULTI_KEYS))}),
+  k AS (SELECT pos, {", ".join(f"{_first_of(c)} AS {n}" for c, n in zip(_MULTI_KEYS, "abc"))} FROM src),
+  r AS (
+    SELECT pos, a, b, c, false AS won FROM k
+    UNION ALL
+    SELECT pos, a, b, c, w FROM (
+      SELECT *, bool_or(w) OVER (PARTITION BY a) AS ha, bool_or(w) OVER (PARTITION BY b) AS hb,
+             bool_or(w) OVER (PARTITION BY c) AS hc
+      FROM (SELECT pos, a, b, c, pos = min(pos) OVER (PARTITION BY a)
+                AND pos = min(pos) OVER (PARTITION BY b)
+                AND pos = min(pos) OVER (PARTITION BY c) AS w FROM r WHERE NOT won))
+    WHERE w OR NOT (ha OR hb OR hc))
+  SELECT {_LINE_COLUMNS} FROM src WHERE pos IN (SELECT pos FROM r WHERE won))
+"""
+
+
+@query("insert_only_multi", _MULTI, ("lines_taken",))
 def insert_only_multi(spark, sf):
-    """Three contested keys; each row waits for all earlier ones, so no plain SQL."""
+    """Three contested keys; each row waits for all earlier ones."""
     new = accepted_rows(
         table(spark, sf, "lineitem"), table(spark, sf, "lines_taken"), LINE_KEY,
-        Scratch(spark), (("l_partkey", "l_shipdate"), ("l_suppkey", "l_extendedprice")),
-        _LINE_ORDER.split(", "),
+        Scratch(spark), _MULTI_KEYS[1:], _LINE_ORDER.split(", "),
     )
     return new.select(*_LINE_COLUMNS.split(", "))
 
@@ -731,10 +765,124 @@ def stream_sync(spark, sf):
     target.create(EVENTS, given.schema)
     stream = read_stream(spark, f"{sf}/events*.parquet", given.schema)
     options = SyncOptions(incremental_col="ts", insert_only=True)
-    run_available(EVENTS, stream, target, scratch_path(spark, "stream"), options)
+    run_available(EVENTS, stream, target, Scratch(spark).path("stream"), options)
+    return target.load()
+
+
+@query("stream_two_checkpoints", _UPSERTED, ("orders_tgt",))
+def stream_two_checkpoints(spark, sf):
+    """One target fed by two streams with batch numbers of their own, one batch twice."""
+    target = _new_target(spark, "orders")
+    given = table(spark, sf, "orders")
+    target.create(ORDERS, given.schema)
+    checks = [Scratch(spark).path("stream") for _ in range(2)]
+    old = read_stream(spark, f"{sf}/orders*.parquet", given.schema)
+    old.createOrReplaceTempView("orders")
+    run_available(ORDERS, spark.sql(INPUTS["orders_tgt"][1]), target, checks[0])
+    run_available(ORDERS, read_stream(spark, f"{sf}/orders*.parquet", given.schema), target, checks[1])
+    again = table(spark, sf, "orders_tgt")
+    apply_batch(ORDERS, target, again, stream_id_of(spark, checks[0]), 0)
+    return target.load()
+
+
+@query("publish_compact", _UPSERTED, ("orders_tgt",))
+def publish_compact(spark, sf):
+    """Changes kept as deltas, then folded into a new base."""
+    target = _filled_target(spark, ORDERS, table(spark, sf, "orders_tgt"))
+    sync_table(spark, ORDERS, table(spark, sf, "orders"), target)
+    target.compact()
+    return target.load()
+
+
+@query(
+    "link_sync_repeats",
+    "SELECT conv_id, turn FROM conversations UNION SELECT conv_id, turn FROM conversations_src",
+    ("conversations_src",),
+)
+def link_sync_repeats(spark, sf):
+    """A table that is all key ignores repeated rows of its source."""
+    spec = TableSpec("chat", CHAT_KEY)
+    target = _filled_target(spark, spec, table(spark, sf, "conversations").select(*CHAT_KEY))
+    more = table(spark, sf, "conversations_src").select(*CHAT_KEY)
+    link_sync(spark, spec, more.unionByName(more), target)
+    return target.load()
+
+
+@query(
+    "upsert_without_unique_column",
+    """SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey, t.c_name,
+              CASE WHEN s.c_custkey IS NULL THEN t.c_nationkey ELSE s.c_nationkey END AS c_nationkey,
+              CASE WHEN s.c_custkey IS NULL THEN t.c_acctbal ELSE s.c_acctbal END AS c_acctbal,
+              CASE WHEN s.c_custkey IS NULL THEN t.c_mktsegment ELSE s.c_mktsegment END AS c_mktsegment
+       FROM customer_src s FULL OUTER JOIN customer_tgt t ON s.c_custkey = t.c_custkey""",
+    ("customer_src", "customer_tgt"),
+)
+def upsert_without_unique_column(spark, sf):
+    """The source lacks a unique column of the target: kept in old rows, NULL in new ones."""
+    target = _filled_target(spark, CUSTOMER, table(spark, sf, "customer_tgt"))
+    sync_table(spark, CUSTOMER, table(spark, sf, "customer_src").drop("c_name"), target)
     return target.load()
 
 
+_BEFORE_1999 = "o_orderdate < TIMESTAMP '1999-01-01 00:00:00'"
+
+
+@query(
+    "watermark_rules",
+    f"""WITH t AS (SELECT count(*) AS n, max(o_orderdate) AS top, max(o_custkey) AS cust FROM orders),
+             low AS (SELECT count(*) AS n, max(o_orderdate) AS top FROM orders WHERE {_BEFORE_1999})
+        SELECT '1 first run reads all' AS step, n AS read_rows, n AS affected_rows,
+               CAST(top AS VARCHAR) AS watermark FROM t
+        UNION ALL SELECT '2 from the bound on', (SELECT count(*) FROM orders, t WHERE o_orderdate = top),
+                         0, CAST(top AS VARCHAR) FROM t
+        UNION ALL SELECT '3 a full run leaves it', n, 0, CAST(top AS VARCHAR) FROM t
+        UNION ALL SELECT '4 late rows are not seen', 0, 0, CAST(top AS VARCHAR) FROM t
+        UNION ALL SELECT '5 a refresh may lower it', low.n, 0, CAST(low.top AS VARCHAR) FROM low
+        UNION ALL SELECT '6 nothing to save keeps it', 0, 0, CAST(low.top AS VARCHAR) FROM low
+        UNION ALL SELECT '7 another column is a first run', n, 0, CAST(cust AS VARCHAR) FROM t""",
+)
+def watermark_rules(spark, sf):
+    """Runs one after another over one target; rows read, rows written, watermark stored."""
+    given = table(spark, sf, "orders")
+    target = _new_target(spark, "orders")
+    target.create(ORDERS, given.schema)
+    by_date, refresh = {"incremental_col": "o_orderdate"}, {"full_refresh": True}
+    early = given.where(_BEFORE_1999)
+    steps = (
+        ("1 first run reads all", given, by_date),
+        ("2 from the bound on", given, by_date),
+        ("3 a full run leaves it", given, {}),
+        ("4 late rows are not seen", early.withColumn("o_totalprice", -F.col("o_totalprice")), by_date),
+        ("5 a refresh may lower it", early, by_date | refresh),
+        ("6 nothing to save keeps it", given.where("false"), by_date | refresh),
+        ("7 another column is a first run", given, {"incremental_col": "o_custkey"}),
+    )
+    rows = []
+    for step, source, options in steps:
+        report = sync_table(spark, ORDERS, source, target, SyncOptions(**options))
+        stored = target.pointer().watermark.value
+        rows.append((step, report.read_rows, report.affected_rows, stored))
+    return spark.createDataFrame(
+        rows, "step string, read_rows long, affected_rows long, watermark string"
+    )
+
+
+@query(
+    "dry_run",
+    """SELECT unnest(['p_type', 'p_size', 'p_retailprice']) AS missing,
+              (SELECT count(*) FROM part_link) AS rows_after""",
+    ("part_link",),
+)
+def dry_run(spark, sf):
+    """A dry run tells the missing columns and leaves the target as it is."""
+    target = _filled_target(spark, PART, table(spark, sf, "part_link"))
+    options = SyncOptions(dry_run=True, add_columns=True)
+    report = sync_table(spark, PART, table(spark, sf, "part"), target, options)
+    names = spark.createDataFrame([(name,) for name in report.added_columns], "missing string")
+    after = target.load().agg(F.count("*").alias("rows_after"))
+    return names.join(after, F.lit(True))
+
+
 # -- looking at tables -----------------------------------------------------------------------
 
 

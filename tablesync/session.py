@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -28,9 +32,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tablesync/{label}-{uuid.uuid4().hex}"
 
 
+_LIVE: list[Scratch] = []
+
+
+@atexit.register
+def _clear_all() -> None:
+    for scratch in _LIVE:
+        try:
+            scratch.clear()
+        except Exception as error:  # the session, or the cluster, may be gone by now
+            log.debug("left behind: %s (%s)", scratch.paths, error)
+
+
 class Scratch:
     """Tables of one run, written to the shared folder and dropped with ``clear``.
 
+    Tables that a lazy result still reads cannot be dropped by the run itself; what is
+    left of them goes when the program ends.
+
     A written table survives executor loss, is computed once however often it is
     read, and gives the planner its true size for broadcast decisions.
     """
@@ -38,13 +57,18 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.paths: list[str] = []
+        _LIVE.append(self)
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
-        path = scratch_path(self.spark, label)
-        self.paths.append(path)
+        path = self.path(label)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def path(self, label: str) -> str:
+        """A folder that goes with the others."""
+        self.paths.append(scratch_path(self.spark, label))
+        return self.paths[-1]
+
     def clear(self) -> None:
         for path in self.paths:
             SharedFiles(self.spark, path).delete()

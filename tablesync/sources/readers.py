@@ -57,3 +57,25 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
 def full_scan(source: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """All rows, the named columns in the order given (all of them by default)."""
     return source.select(*columns) if columns else source
+
+
+# Leaves of a plan that give the same rows however often they are read: files as they
+# were listed when the DataFrame was made, and rows that are part of the plan itself.
+STEADY_LEAVES = ("HadoopFsRelation", "LocalRelation", "LogicalRDD", "Range", "OneRowRelation")
+
+
+def reads_alike(df: DataFrame) -> bool:
+    """Does every read of this DataFrame give the same rows?
+
+    A database, Python code or a random function can answer differently each time; a run
+    writes such a source once and works on what it wrote.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    names = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        name = leaf.getClass().getSimpleName()
+        names.append(leaf.relation().getClass().getSimpleName() if name == "LogicalRelation" else name)
+    python = any(word in plan.toString() for word in ("InPandas", "InArrow", "PythonUDF", "EvalPython"))
+    return plan.deterministic() and not python and all(name in STEADY_LEAVES for name in names)

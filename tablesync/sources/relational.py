@@ -14,7 +14,7 @@ The target offers what a run needs of any target (``pointer``, ``load``, ``stage
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,7 +68,7 @@ def merge_statement(table: str, staging: str, key: Sequence[str], columns: Seque
 class Staged:
     """What ``commit`` will send to the database."""
 
-    live: dict[int, tuple[str, ...]]
+    live: tuple[str, ...]
     changes: DataFrame
     columns: tuple[str, ...]
 
@@ -83,9 +83,13 @@ class RelationalTarget:
         properties: Mapping[str, str] | None = None,
         read_options: Mapping[str, str] | None = None,
         state: StateFile | None = None,
-        write_tasks: int = 32,
+        write_tasks: int | None = None,
     ) -> None:
-        """``read_options`` should split the read (see ``readers.jdbc_options``)."""
+        """``read_options`` should split the read (see ``readers.jdbc_options``).
+
+        ``write_tasks`` is how many connections write at once, if the database needs a limit;
+        rows are dealt out anew for it, so the stages before keep their own parallelism.
+        """
         self.spark, self.spec, self.url = spark, spec, url
         self.table = table or spec.name
         self.properties = dict(properties or {})
@@ -107,7 +111,7 @@ class RelationalTarget:
             unique_keys=self.spec.unique_keys,
             identity=self.spec.identity,
             buckets=1,
-            live={0: (self.table,)},
+            live=(self.table,),
             watermark=self.state.saved(self.spec.name) if self.state else None,
         )
 
@@ -127,12 +131,12 @@ class RelationalTarget:
         old: Pointer,
         schema: T.StructType,
         changes: DataFrame,
-        touched: Mapping[int, set[str]],
+        ops: Collection[str],
         columns: Sequence[str],
     ) -> Pointer:
         live = old.live
-        if touched:
-            live = {0: (f"{self.table}__{uuid.uuid4().hex}",)}
+        if ops:
+            live = (f"{self.table}__{uuid.uuid4().hex}",)
             self._staged = Staged(live, changes, tuple(columns))
         return replace(old, version=old.version + 1, schema=schema, live=live)
 
@@ -146,7 +150,7 @@ class RelationalTarget:
             if statements:
                 self._transaction(statements)
         else:
-            (staging,) = staged.live[0]
+            (staging,) = staged.live
             self._write_staging(staged.changes.select(OP, *staged.columns), staging)
             try:
                 statements.append(delete_statement(self.table, staging, pointer.key))
@@ -167,7 +171,7 @@ class RelationalTarget:
         return reader.option("url", self.url).option("dbtable", sql_name(self.table)).load()
 
     def _write_staging(self, rows: DataFrame, staging: str) -> None:
-        writer = rows.coalesce(self.write_tasks).write.format("jdbc").mode("overwrite")
+        writer = (rows.repartition(self.write_tasks) if self.write_tasks else rows).write.format("jdbc").mode("overwrite")
         writer = writer.options(**self.properties)
         writer.option("url", self.url).option("dbtable", sql_name(staging)).save()
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from tablesync import (
     ConstraintError,
@@ -20,7 +23,8 @@ from tablesync import (
 )
 from tablesync.operators.schema import schema_diff, schema_plan
 from tablesync.operators.watermark import Watermark
-from tablesync.sources.snapshot import Pointer
+from tablesync.sources.readers import reads_alike
+from tablesync.sources.snapshot import Pointer, SnapshotTarget
 from tablesync.sources.state import StateFile
 from tablesync.streaming.runner import apply_batch, read_stream, run_available
 
@@ -62,7 +66,6 @@ def test_mirror_and_empty_source(spark, new_target):
     report = sync_table(spark, SPEC, empty, target, high)
     assert report.deleted_rows == 1 and target.load().count() == 0
     assert report.sequences == {"k": 1} and report.sequence_synced
-    assert target.pointer().live == {}
 
 
 def test_prune_gate_and_missing_target(spark, new_target):
@@ -228,44 +231,128 @@ def test_old_version_stays_readable_then_expires(spark, new_target):
     for i in range(3):
         sync_table(spark, SPEC, df(spark, [(1, f"v{i}", 1)]), target)
     assert rows_of(reader) == [(1, "a", 1)]
-    assert [int(folder[:12]) for folder in target.expire(keep=1)] == [1, 2, 3]
+    assert target.expire(keep=1) == []  # deltas are merged over all folders before them
+    target.compact()
+    assert [int(folder[:12]) for folder in target.expire(keep=1)] == [1, 2, 3, 4]
     assert rows_of(target.load()) == [(1, "v2", 1)]
 
 
-def test_only_touched_buckets_are_rewritten(spark, new_target):
-    target = filled(spark, new_target(buckets=16), [(i, "a", 1) for i in range(200)])
-    before = target.pointer()
-    sync_table(spark, SPEC, df(spark, [(5, "new", 1)]), target)
+def stored_bytes(target):
+    files = Path(target.root, "data").rglob("*.parquet")
+    return sum(f.stat().st_size for f in files)
+
+
+def test_scattered_updates_write_what_changed(spark, new_target):
+    rows = [(i, f"value {i * 7919}", i) for i in range(20_000)]
+    target = filled(spark, new_target(buckets=16), rows)
+    before, size = target.pointer(), stored_bytes(target)
+    changed = [(i, "new", i) for i in range(0, 20_000, 100)]
+    assert sync_table(spark, SPEC, df(spark, changed), target).affected_rows == 200
     after = target.pointer()
-    moved = [b for b in after.live if after.live[b] != before.live[b]]
-    assert len(moved) == 1 and set(after.live) == set(before.live)
-    assert target.load().where("v = 'new'").count() == 1 and target.load().count() == 200
+    assert after.live == before.live and len(after.deltas) == 1
+    assert stored_bytes(target) - size < size / 10
+    assert target.load().where("v = 'new'").count() == 200 and target.load().count() == 20_000
     assert Pointer.from_json(after.to_json()) == after
 
 
-def test_new_rows_are_appended_then_compacted(spark, new_target, monkeypatch):
-    from tablesync.sources import snapshot
-
-    monkeypatch.setattr(snapshot, "MAX_FOLDERS", 3)
+def test_deltas_merge_by_version_and_compact(spark, new_target):
+    """Update, prune, bring back, update again; reading and compacting give the same rows."""
     target = filled(spark, new_target(buckets=2), [(i, "a", 1) for i in range(20)])
-    first = target.pointer()
-    for i in range(5):
-        rows = [(100 + i * 20 + j, "new", 1) for j in range(20)] + [(i, "ignored", 1)]
-        report = sync_table(spark, SPEC, df(spark, rows), target, SyncOptions(insert_only=True))
-        assert report.affected_rows == 20
-        folders = target.pointer().live
-        if i < 2:  # the rows that were there are not written again
-            assert all(folders[b][: i + 1][0] == first.live[b][0] for b in folders)
-            assert {len(f) for f in folders.values()} == {i + 2}
-        assert max(len(f) for f in folders.values()) <= 3
-    assert target.load().count() == 120 and target.load().select("k").distinct().count() == 120
-    # Changed and new rows of one run: a bucket with a change is rewritten.
-    old = target.pointer().live
-    mixed = [(0, "changed", 1)] + [(1000 + j, "new", 1) for j in range(20)]
-    assert sync_table(spark, SPEC, df(spark, mixed), target).affected_rows == 21
-    lengths = sorted(len(f) for f in target.pointer().live.values())
-    assert lengths[0] == 1 and old != target.pointer().live
-    assert target.load().count() == 140 and target.load().where("v = 'changed'").count() == 1
+    known = {i: ("a", 1) for i in range(20)}
+    prune = SyncOptions(prune=True, allow_prune=True)
+    steps = [
+        ({3: ("b", 1), 4: ("b", 1)}, set()),
+        ({}, {3, 5}),
+        ({3: ("again", 2), 50: ("new", 2)}, set()),
+        ({3: ("last", 3)}, {50}),
+        ({50: ("back", 4)}, set()),
+    ]
+    for change, gone in steps:
+        known = {k: v for k, v in (known | change).items() if k not in gone}
+        sync_table(spark, SPEC, df(spark, [(k, *v) for k, v in known.items()]), target, prune)
+        want = sorted((k, *v) for k, v in known.items())
+        assert rows_of(target.load()) == sorted(want, key=repr)
+    assert len(target.pointer().deltas) == len(steps)
+    part = target.load(buckets=[0])
+    assert 0 < part.count() < len(known)
+    old = target.pointer()
+    assert target.compact() == old.version + 1
+    after = target.pointer()
+    assert after.deltas == () and len(after.live) == 1
+    assert rows_of(target.load()) == sorted(want, key=repr)
+    assert target.compact() == after.version  # nothing left to do
+    assert rows_of(target.load(old)) == sorted(want, key=repr)
+    target.expire(keep=1)
+    assert rows_of(target.load()) == sorted(want, key=repr)
+
+
+def test_new_rows_are_appended_by_all_write_tasks(spark, tmp_path):
+    target = SnapshotTarget(spark, str(tmp_path / "wide"), buckets=2, files_per_bucket=8)
+    filled(spark, target, [(-1, "a", 1)])
+    rows = [(i, "new", 1) for i in range(2000)]
+    before = set(Path(target.root, "data").rglob("*.parquet"))
+    report = sync_table(spark, SPEC, df(spark, rows), target, SyncOptions(insert_only=True))
+    assert report.affected_rows == 2000 and target.pointer().deltas == ()
+    files = set(Path(target.root, "data").rglob("*.parquet")) - before
+    assert len(files) == 16
+    assert target.load().count() == 2001
+
+
+def test_a_source_that_changes_between_reads(spark, new_target, tmp_path):
+    """What is not known to read alike is read once, so checks and merge see the same rows."""
+    counter = tmp_path / "reads"
+    counter.mkdir()
+
+    def read(batches):
+        for batch in batches:
+            if len(batch):
+                (counter / uuid.uuid4().hex).touch()
+            yield batch
+
+    live = df(spark, [(1, "a", 1), (2, "b", 2)]).coalesce(1)
+    live = live.mapInPandas(read, live.schema)
+    target = filled(spark, new_target(), [(1, "x", 1)])
+    assert sync_table(spark, SPEC, live, target).affected_rows == 2
+    assert len(list(counter.iterdir())) == 1
+    assert reads_alike(df(spark, [(1, "a", 1)])) and not reads_alike(live)
+    assert not reads_alike(spark.range(9).withColumn("r", F.rand()))
+
+
+def test_a_source_without_a_unique_column(spark, new_target):
+    spec = TableSpec("t", "k", unique_keys=(("v",),))
+    target = filled(spark, new_target(), [(1, "a", 1), (2, "b", 2)], spec)
+    part = df(spark, [(1, "", 9), (3, "", 3)]).drop("v")
+    assert sync_table(spark, spec, part, target).affected_rows == 2
+    assert rows_of(target.load()) == [(1, "a", 9), (2, "b", 2), (3, None, 3)]
+    more = df(spark, [(3, "", 7), (4, "", 4)]).drop("v")
+    report = sync_table(spark, spec, more, target, SyncOptions(insert_only=True))
+    assert report.affected_rows == 1
+    assert (4, None, 4) in rows_of(target.load())
+    fresh = filled(spark, new_target("fresh"), [], spec)
+    assert sync_table(spark, spec, part, fresh).affected_rows == 2
+
+
+def test_columns_that_differ_in_case_are_refused_at_once(spark, new_target):
+    target = filled(spark, new_target(), [(1, "a", 1)])
+    wide = df(spark, [(1, "a", 1)]).withColumnRenamed("v", "V")
+    with pytest.raises(ValueError, match="case"):
+        sync_table(spark, SPEC, wide, target, SyncOptions(add_columns=True))
+
+
+def test_stored_high_water(spark, new_target):
+    spec = TableSpec("t", "k", identity=("k",))
+    target = filled(spark, new_target(), [(5, "a", 1)], spec)
+    high = SyncOptions(sync_sequence=True)
+    assert sync_table(spark, spec, df(spark, [(9, "b", 1)]), target, high).sequences == {"k": 9}
+    assert target.pointer().high_water == {"k": 9}
+    assert sync_table(spark, spec, df(spark, [(7, "c", 1)]), target, high).sequences == {"k": 9}
+    assert sync_table(spark, spec, df(spark, [(7, "d", 1)]), target, high).sequences == {"k": 9}
+    # a run that does not keep it makes the next one look again
+    sync_table(spark, spec, df(spark, [(20, "e", 1)]), target)
+    assert target.pointer().high_water is None
+    assert sync_table(spark, spec, df(spark, [(1, "f", 1)]), target, high).sequences == {"k": 20}
+    prune = SyncOptions(sync_sequence=True, prune=True, allow_prune=True)
+    assert sync_table(spark, spec, df(spark, [(7, "d", 1)]), target, prune).sequences == {"k": 7}
 
 
 def test_columns_with_everyday_names(spark, new_target):
@@ -353,6 +440,15 @@ def test_link_sync(spark, new_target):
         link_sync(spark, spec, df(spark, [("x",)], "v string"), target)
 
 
+def test_link_sync_ignores_repeats_of_a_bare_key(spark, new_target):
+    target, spec, schema = new_target(), TableSpec("pair", ("a", "b")), "a int, b int"
+    first = link_sync(spark, spec, df(spark, [(1, 1), (1, 1), (1, 2)], schema), target).first()
+    assert first.affected_rows == 2
+    row = link_sync(spark, spec, df(spark, [(1, 2), (3, 3), (3, 3)], schema), target, prune=True).first()
+    assert (row.affected_rows, row.pruned_rows) == (1, 1)
+    assert rows_of(target.load()) == [(1, 2), (3, 3)]
+
+
 def test_failed_creation_leaves_no_table(spark, new_target):
     target = new_target()
     with pytest.raises(ConstraintError):
@@ -386,19 +482,25 @@ def test_run_all_isolates_failures(spark, new_target, parallel):
 
 
 def test_state_file(spark, tmp_path):
-    path = tmp_path / "state.json"
-    state = StateFile(spark, str(path))
+    state = StateFile(spark, str(tmp_path / "state"))
     assert state.load() == {} and state.get("t", "ts") is None
     state.set("t", Watermark("ts", "bigint", "5"))
-    state.set("u", Watermark("d", "date", "2024-01-01"))
+    state.set("a.b/u", Watermark("d", "date", "2024-01-01"))
     assert state.get("t", "ts") == Watermark("ts", "bigint", "5")
     assert state.get("t", "other") is None
     state.set("t", Watermark("other", "string", "x"))
-    assert state.get("t", "ts") is None and set(json.loads(path.read_text())) == {"t", "u"}
-    for broken in ("{not json", "[1]", '{"t": 3}'):
-        path.write_text(broken)
-        (tmp_path / ".state.json.crc").unlink(missing_ok=True)
-        assert state.get("t", "ts") is None
+    assert state.get("t", "ts") is None and set(state.load()) == {"t", "a.b/u"}
+    for broken in ("{not json", "[1]", "3"):
+        (tmp_path / "state" / "t.json").write_text(broken)
+        (tmp_path / "state" / ".t.json.crc").unlink(missing_ok=True)
+        assert state.get("t", "ts") is None and set(state.load()) == {"a.b/u"}
+
+
+def test_state_of_parallel_runs(spark, tmp_path):
+    states = [StateFile(spark, str(tmp_path / "state")) for _ in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: states[i].set(f"t{i}", Watermark("ts", "bigint", str(i))), range(8)))
+    assert {t: e["value"] for t, e in states[0].load().items()} == {f"t{i}": str(i) for i in range(8)}
 
 
 def test_stream_batches(spark, new_target, tmp_path):
@@ -423,15 +525,41 @@ def test_stream_batches(spark, new_target, tmp_path):
     arrive("b", [(3, "late", 2)])
     run()
     assert (3, "late", 2) in rows_of(target.load())
-    assert target.pointer().watermark.value == "6" and target.pointer().batch_id == 1
+    assert target.pointer().watermark.value == "6" and set(target.pointer().batches.values()) == {1}
 
 
 def test_stream_batch_is_applied_once(spark, new_target):
     target = filled(spark, new_target(), [])
     batch = df(spark, [(1, "a", 5)])
-    assert apply_batch(SPEC, target, batch, 0, SINCE).affected_rows == 1
-    assert apply_batch(SPEC, target, df(spark, [(1, "again", 5)]), 0, SINCE) is None
+    assert apply_batch(SPEC, target, batch, "s", 0, SINCE).affected_rows == 1
+    assert apply_batch(SPEC, target, df(spark, [(1, "again", 5)]), "s", 0, SINCE) is None
     assert rows_of(target.load()) == [(1, "a", 5)]
     late = df(spark, [(2, "late", 1), (3, "new", 5)])
-    assert apply_batch(SPEC, target, late, 1, SINCE, since_watermark=True).affected_rows == 1
+    assert apply_batch(SPEC, target, late, "s", 1, SINCE, since_watermark=True).affected_rows == 1
     assert rows_of(target.load()) == [(1, "a", 5), (3, "new", 5)]
+    # the same number from another stream is another batch
+    assert apply_batch(SPEC, target, df(spark, [(9, "other", 5)]), "u", 0, SINCE).affected_rows == 1
+    assert apply_batch(SPEC, target, df(spark, [(9, "again", 5)]), "u", 0, SINCE) is None
+    assert target.pointer().batches == {"s": 1, "u": 0}
+
+
+def test_streams_with_their_own_checkpoints(spark, new_target, tmp_path):
+    """A second stream, and a new checkpoint over the same files, lose nothing."""
+    target = filled(spark, new_target(), [])
+    for name, rows in (("a", [(1, "a", 1)]), ("b", [(2, "b", 1)])):
+        df(spark, rows).coalesce(1).write.parquet(str(tmp_path / name / "0"))
+        stream = read_stream(spark, f"{tmp_path}/{name}/*", df(spark, []).schema)
+        run_available(SPEC, stream, target, str(tmp_path / f"check-{name}"))
+    assert rows_of(target.load()) == [(1, "a", 1), (2, "b", 1)]
+    df(spark, [(3, "c", 1)]).coalesce(1).write.parquet(str(tmp_path / "b" / "1"))
+    stream = read_stream(spark, f"{tmp_path}/b/*", df(spark, []).schema)
+    run_available(SPEC, stream, target, str(tmp_path / "check-new"))
+    assert target.load().count() == 3 and len(target.pointer().batches) == 3
+
+
+def test_streams_refuse_what_needs_the_whole_source(spark, new_target):
+    target = filled(spark, new_target(), [])
+    batch = df(spark, [(1, "a", 5)])
+    for options in (SyncOptions(prune=True, allow_prune=True), SyncOptions(incremental_col="ts", full_refresh=True)):
+        with pytest.raises(ValueError, match="whole source"):
+            apply_batch(SPEC, target, batch, "s", 0, options)

@@ -194,7 +194,7 @@ def test_runs_against_a_relational_target(spark, tmp_path):
     )
     db.execute("INSERT INTO t VALUES (1, 'a', 1, 'n1'), (2, 'b', 1, 'n2'), (3, 'c', 1, 'n3')")
     spec = TableSpec("t", "k", unique_keys=(("v",),), identity=("k",))
-    state = StateFile(spark, str(tmp_path / "state.json"))
+    state = StateFile(spark, str(tmp_path / "state"))
     target = InProcessTarget(spark, spec, db, state=state)
     rows = lambda: sorted(db.execute("SELECT * FROM t").fetchall())
     schema = "k int, v string, ts bigint"
