@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import corpus_pipeline
+import duckdb
 import numpy as np
 import public_tokenizers
+import pytest
 import tokenizers
 from pyspark.sql import functions as F
 from test_dedup import lower, plain_fingerprint, roots
@@ -63,3 +66,14 @@ def test_registered(spark):
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
     assert numbers == list(range(1, 11))
     assert contract.queries().keys() >= {*QUERIES, "pipeline"} and ORACLES.keys() <= QUERIES.keys()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql(spark, name):
+    db = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        db.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    answer = db.execute(ORACLES[name])
+    columns = [c[0] for c in answer.description]
+    rows = QUERIES[name](spark, SF).select(*columns).collect()
+    assert sorted(map(tuple, rows)) == sorted(answer.fetchall())
