@@ -38,7 +38,7 @@ from tablesync.session import Scratch
 from tablesync.sources.readers import reads_alike
 from tablesync.sources.relational import RelationalTarget
 from tablesync.sources.snapshot import Pointer, SnapshotTarget, bucket_of
-from tablesync.spec import SyncOptions, TableSpec
+from tablesync.spec import SyncOptions, TableSpec, plain_name, safe_name
 
 log = logging.getLogger(__name__)
 
@@ -66,11 +66,19 @@ def sync_table(
     pointer = target.pointer()
     if pointer is None:
         raise ValueError(f"target table does not exist: {spec.name}")
+    spec, source = safe_names(spec, source, target)
     if set(pointer.key) != set(spec.key):
         raise ValueError(f"key of {spec.name} is {pointer.key}, not {spec.key}")
     return Run(spark, spec, source, target, options or SyncOptions(), pointer).execute()
 
 
+def safe_names(spec: TableSpec, source: DataFrame, target: Target) -> tuple[TableSpec, DataFrame]:
+    """Table and source under the names a stored target uses; a database quotes its own."""
+    if isinstance(target, RelationalTarget):
+        return spec, source
+    return spec.safe(), source.toDF(*map(safe_name, source.columns))
+
+
 def link_sync(
     spark: SparkSession,
     spec: TableSpec,
@@ -97,6 +105,7 @@ def _link(spark, spec, source, target, prune, skip_dup) -> SyncReport:
     created = pointer is None
     if created:
         pointer = target.new_pointer(spec, source.schema)
+    spec, source = safe_names(spec, source, target)
     spec = replace(
         spec, key=pointer.key, unique_keys=pointer.unique_keys, identity=pointer.identity
     )
@@ -132,6 +141,17 @@ class Run:
     take_late_rows: bool = False
 
     def execute(self) -> SyncReport:
+        report = self._execute()
+        return replace(
+            report,
+            identity=tuple(map(plain_name, report.identity)),
+            target_only=tuple(map(plain_name, report.target_only)),
+            retyped=tuple(map(plain_name, report.retyped)),
+            added_columns={plain_name(c): kind for c, kind in report.added_columns.items()},
+            sequences={plain_name(c): top for c, top in report.sequences.items()},
+        )
+
+    def _execute(self) -> SyncReport:
         self._validate()
         diff = schema_diff(self.source.schema, self.pointer.schema, self.spec.declared_types)
         report = self._described(diff)
@@ -205,7 +225,7 @@ class Run:
             changes = None
             self._check_first_load(single)
             staged = self.target.stage_first(self.pointer, schema, _complete(single, schema))
-            counts = {INSERT: self.target.load(staged).count()}
+            counts = {INSERT: self.target.rows(staged).count()}
         else:
             changes = scratch.write(
                 self._changes(rows, single, schema, scratch, bound), "changes"
@@ -240,7 +260,7 @@ class Run:
         """Key maxima: the stored ones raised by the new rows, or a scan where rows went."""
         known, columns = self.pointer.high_water, self.pointer.identity
         if known is None or changes is None or counts.get(PRUNE):
-            return high_water_map(self.target.load(staged), columns)
+            return high_water_map(self.target.rows(staged), columns)
         if not counts.get(INSERT):
             return known
         new = high_water_map(changes.where(F.col(OP) == INSERT), columns)
@@ -288,7 +308,7 @@ class Run:
         # keys look at the whole target.
         by_key = not (prune or (self.options.insert_only and self.pointer.unique_keys))
         buckets = self._touched(single) if by_key and not whole else None
-        current = self.target.load(replace(self.pointer, schema=schema), buckets)
+        current = self.target.rows(replace(self.pointer, schema=schema), buckets)
         if self.options.insert_only:
             known = self._whole_keys(schema) if prune else None
             stays = prune_keep(current, known, key) if prune else current
@@ -322,7 +342,7 @@ class Run:
         if self.options.insert_only:
             return
         key = self.pointer.key
-        before = self.target.load(replace(self.pointer, schema=schema))
+        before = self.target.rows(replace(self.pointer, schema=schema))
         stays = prune_keep(before, self._whole_keys(schema), key) if self.options.prune else before
         for unique in self.pointer.unique_keys:
             if not set(unique) <= set(single.columns):
@@ -344,7 +364,7 @@ class Run:
     def _writes(self, rows, repeated, schema, scratch, order, affected) -> int:
         """Affected rows when repeated keys are applied row by row."""
         key = list(self.pointer.key)
-        before = self.target.load(replace(self.pointer, schema=schema))
+        before = self.target.rows(replace(self.pointer, schema=schema))
         several = rows.join(repeated.select(*key), key, "left_semi")
         known = before.join(repeated.select(*key), key, "left_semi")
         by_row = count_writes(several, known, key, order, scratch).first()["writes"]

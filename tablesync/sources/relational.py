@@ -126,6 +126,8 @@ class RelationalTarget:
             rows = apply_changes(rows, self._staged.changes, pointer.key)
         return rows
 
+    rows = load
+
     def stage(
         self,
         old: Pointer,

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tablesync.operators.classify import INSERT, OP, PRUNE
 from tablesync.operators.watermark import Watermark
 from tablesync.session import SharedFiles
-from tablesync.spec import TableSpec, check_columns
+from tablesync.spec import TableSpec, check_columns, plain_name, safe_name
 
 FOLDER = "__folder"
 BUCKET = "__bucket"
@@ -133,7 +133,13 @@ class SnapshotTarget:
         return self.pointer() is not None
 
     def load(self, pointer: Pointer | None = None, buckets: list[int] | None = None) -> DataFrame:
-        """Rows of a version (the newest by default), or of some of its buckets.
+        """Rows of a version (the newest by default), or of some of its buckets."""
+        rows = self.rows(pointer, buckets)
+        names = [plain_name(c) for c in rows.columns]
+        return rows if names == rows.columns else rows.toDF(*names)
+
+    def rows(self, pointer: Pointer | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """The same under the names they are stored with, which are safe in column paths.
 
         Files written before a column was added lack it and read as NULL.
         """
@@ -188,7 +194,8 @@ class SnapshotTarget:
 
     def new_pointer(self, spec: TableSpec, schema: T.StructType) -> Pointer:
         check_columns(schema)
-        nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+        spec = spec.safe()
+        nullable = T.StructType([T.StructField(safe_name(f.name), f.dataType, True) for f in schema])
         return Pointer(0, nullable, spec.key, spec.unique_keys, spec.identity, self.buckets)
 
     def stage(
@@ -222,7 +229,7 @@ class SnapshotTarget:
             raise ValueError(f"target table does not exist: {self.root}")
         if not old.deltas and len(old.live) < 2:
             return old.version
-        live = (self._write(self.load(old), old, old.version + 1),)
+        live = (self._write(self.rows(old), old, old.version + 1),)
         self.commit(old.next_with(live=live, deltas=()))
         return old.version + 1
 

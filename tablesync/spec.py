@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import types as T
 
@@ -25,6 +25,15 @@ def check_identifier(name: str) -> str:
     return name
 
 
+def safe_name(name: str) -> str:
+    """A name without the characters that mean something inside a column path."""
+    return name.replace("%", "%25").replace(".", "%2E").replace("`", "%60")
+
+
+def plain_name(name: str) -> str:
+    return name.replace("%60", "`").replace("%2E", ".").replace("%25", "%")
+
+
 def text_is_true(text: str | None, default: bool = False) -> bool:
     return default if text is None else text.strip().lower() in TRUE_WORDS
 
@@ -63,6 +72,17 @@ class TableSpec:
         if outside:
             raise ValueError(f"identity columns must belong to the key: {outside}")
 
+    def safe(self) -> TableSpec:
+        """The same table with safe column names."""
+        return replace(
+            self,
+            key=map(safe_name, self.key),
+            unique_keys=[map(safe_name, unique) for unique in self.unique_keys],
+            identity=map(safe_name, self.identity),
+            order_by=map(safe_name, self.order_by),
+            declared_types={safe_name(c): kind for c, kind in self.declared_types.items()},
+        )
+
     def check_source(self, schema: T.StructType) -> None:
         """Fail before any job when the source cannot serve this table.
 

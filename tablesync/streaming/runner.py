@@ -13,7 +13,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.plans.job import Run
+from tablesync.plans.job import Run, safe_names
 from tablesync.plans.report import SyncReport
 from tablesync.session import SharedFiles
 from tablesync.sources.snapshot import SnapshotTarget
@@ -43,6 +43,7 @@ def apply_batch(
     if batch_id <= pointer.batches.get(stream_id, -1):
         return None
     session = batch.sparkSession
+    spec, batch = safe_names(spec, batch, target)
     run = Run(
         session,
         spec,

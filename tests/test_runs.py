@@ -374,6 +374,27 @@ def test_columns_with_everyday_names(spark, new_target):
         sync_table(spark, spec, df(spark, [(8, "a", "o", 1, 1)], schema), target)
 
 
+def test_columns_with_dots_and_backticks(spark, new_target):
+    schema = "`a.k` bigint, `v``x` string, `50%` bigint"
+    spec = TableSpec("t", "a.k", unique_keys=(("v`x",),), identity=("a.k",))
+    target = filled(spark, new_target(), [(1, "a", 1), (2, "b", 2)], spec, schema)
+    source = df(spark, [(2, "B", 2), (3, "c", 3)], schema).withColumn("n.new", F.lit(7))
+    options = SyncOptions(prune=True, allow_prune=True, sync_sequence=True, add_columns=True)
+    report = sync_table(spark, spec, source, target, options)
+    assert (report.affected_rows, report.deleted_rows, report.sequences) == (2, 1, {"a.k": 3})
+    assert report.added_columns == {"n.new": "int"}
+    assert target.load().columns == ["a.k", "v`x", "50%", "n.new"]
+    assert rows_of(target.load()) == [(2, "B", 2, 7), (3, "c", 3, 7)]
+    rows = df(spark, [(2, "zz", 0), (4, "B", 0), (5, "d", 5)], schema)
+    assert sync_table(spark, spec, rows, target, SyncOptions(insert_only=True)).affected_rows == 1
+    with pytest.raises(ConstraintError):
+        sync_table(spark, spec, df(spark, [(9, "c", 1)], schema), target)
+    batch = df(spark, [(6, "f", 6)], schema)
+    assert apply_batch(spec, target, batch, "s", 0).affected_rows == 1
+    target.compact()
+    assert target.load().count() == 4
+
+
 def test_schema_evolution(spark, new_target):
     target = filled(spark, new_target(), [(1, "a", 1), (2, "b", 1)])
     spec = TableSpec("t", "k", declared_types={"d": "DECIMAL(10,2)", "f": "BOOLEAN"})
