@@ -4,7 +4,8 @@
 
 Each job runs twice to warm up and then ``BENCH_RUNS`` times; the median counts.
 Plain operators end in a sink that discards rows; ``*_published`` jobs are whole
-runs against a stored target, writes and pointer included.
+runs against a stored target, writes and pointer included, with default options: the
+check for repeated keys is part of them (``*_trusted_key`` shows a run without it).
 """
 
 from __future__ import annotations
@@ -29,12 +30,13 @@ from tablesync.operators.watermark import Watermark  # noqa: E402
 from tablesync.queries.inputs import table  # noqa: E402
 from tablesync.queries.registry import CUSTOMER, EVENTS, LINE_KEY, ORDERS, QUERIES  # noqa: E402
 from tablesync.session import Scratch, scratch_path  # noqa: E402
+from tablesync.streaming.runner import read_stream, run_available  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 LINES = TableSpec("lineitem", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-TRUSTED = {"source_key_is_unique": True}
+MULTI = (("l_partkey", "l_shipdate"), ("l_suppkey", "l_extendedprice"))
 
 
 def session() -> SparkSession:
@@ -72,6 +74,7 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
     lines_tgt = lines.withColumn(
         "l_tax", F.when(F.col("l_returnflag") == "A", F.col("l_tax") + 1).otherwise(F.col("l_tax"))
     )
+    lines_taken = table(spark, SF_DIR, "lines_taken")
     newest = Watermark("o_orderdate", "timestamp_ntz", "2001-07-10 00:00:00")
 
     def nothing():
@@ -86,7 +89,7 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
         return made
 
     def run(spec, source, **options):
-        return lambda made: sync_table(spark, spec, source, made, SyncOptions(**TRUSTED, **options))
+        return lambda made: sync_table(spark, spec, source, made, SyncOptions(**options))
 
     def insert_only(made):
         scratch = Scratch(spark)
@@ -95,6 +98,21 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
         )
         scratch.clear()
 
+    def insert_only_multi(_):
+        scratch = Scratch(spark)
+        order = [c for c in lines.columns if c not in LINE_KEY]
+        discard(accepted_rows(lines, lines_taken, LINE_KEY, scratch, MULTI, order))
+        scratch.clear()
+
+    def events_stream(made):
+        stream = read_stream(spark, f"{SF_DIR}/events*.parquet", given["events"].schema)
+        run_available(EVENTS, stream, made, scratch_path(spark, "bench-stream"))
+
+    def some_deltas():
+        made = target(spark, ORDERS, orders_tgt)
+        sync_table(spark, ORDERS, given["orders"], made)
+        return made
+
     def empty_events():
         made = target(spark, EVENTS, None)
         made.create(EVENTS, given["events"].schema)
@@ -109,12 +127,24 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
         "dedup_last": frame(lambda: duplicates.dedup(given["lineitem"], LINE_KEY, ("l_shipdate",))),
         "upsert_wide": frame(lambda: merge.upsert(lines, lines_tgt, LINES.key)),
         "insert_only": (nothing, insert_only),
+        "insert_only_multi": (nothing, insert_only_multi),
         "coerce_row": frame(lambda: QUERIES["coerce_row"](spark, SF_DIR)),
         "first_load_published": (empty_events, run(EVENTS, given["events"])),
         "upsert_published": (
             lambda: target(spark, ORDERS, orders_tgt),
             run(ORDERS, given["orders"]),
         ),
+        "upsert_published_trusted_key": (
+            lambda: target(spark, ORDERS, orders_tgt),
+            run(ORDERS, given["orders"], source_key_is_unique=True),
+        ),
+        "insert_only_published": (
+            lambda: target(spark, CUSTOMER, customer_tgt),
+            run(CUSTOMER, customer_src, insert_only=True),
+        ),
+        "stream_published": (empty_events, events_stream),
+        "read_with_deltas": (some_deltas, lambda made: discard(made.load())),
+        "compact": (some_deltas, lambda made: made.compact()),
         "mirror_published": (
             lambda: target(spark, ORDERS, orders_tgt),
             run(ORDERS, given["orders"], prune=True, allow_prune=True),
