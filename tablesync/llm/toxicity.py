@@ -75,12 +75,12 @@ def log_count_ratio(positive: np.ndarray, negative: np.ndarray) -> np.ndarray:
 def fit_linear(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, prior: float) -> Linear:
     """Logistic regression over ratio-scaled indicators, by adaptive gradient steps.
 
+    ``rows`` hold n-grams whose ratio is not zero.
     Rows are weighted so that the classes' odds lie halfway between those among all
     labelled rows and even ones: rare positives are not given up for certainty.
     """
     odds = np.sqrt(prior / (1 - prior))
     prior = odds / (1 + odds)
-    rows = [row[ratio[row] != 0] for row in rows]
     counts = np.array([len(row) for row in rows])
     used, at = np.unique(np.concatenate(rows), return_inverse=True)
     scale = ratio[used].astype(np.float64)
@@ -127,13 +127,16 @@ def gram_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             )
 
     parts = rows.select("label", "text").mapInArrow(count, "bucket int, n0 int, n1 int")
-    table = parts.groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    table = parts.groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
     made = np.zeros((2, BUCKETS), np.int64)
-    made[0][table["bucket"]], made[1][table["bucket"]] = table["n0"], table["n1"]
+    for c, name in enumerate(("n0", "n1")):
+        made[c][table["bucket"].to_numpy()] = table[name].to_numpy()
     return made[1], made[0]
 
 
-def _sample_ngrams(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+def _sample_ngrams(rows: DataFrame, wanted: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The n-grams with a say, of each text of the bounded sample, and its label; ordered by key."""
+
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in cut_batch(batch, "text"):
@@ -141,7 +144,7 @@ def _sample_ngrams(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
                     [
                         part.column("doc_id"),
                         part.column("label"),
-                        pa.array([ngrams(t).tobytes() for t in texts_of(part, "text")], pa.binary()),
+                        pa.array([ngrams(t, wanted).tobytes() for t in texts_of(part, "text")], pa.binary()),
                     ],
                     names=["doc_id", "label", "grams"],
                 )
@@ -150,8 +153,8 @@ def _sample_ngrams(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
     found = rows.select("doc_id", "label", "text").mapInArrow(
         grams, f"doc_id {kind}, label int, grams binary"
     )
-    table = found.toPandas().sort_values(["doc_id", "label", "grams"], kind="stable")
-    return [np.frombuffer(g, np.int32) for g in table["grams"]], table["label"].to_numpy()
+    table = found.toArrow().sort_by([(name, "ascending") for name in ("doc_id", "label", "grams")])
+    return [np.frombuffer(g, np.int32) for g in table["grams"].to_pylist()], table["label"].to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Linear:
@@ -167,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Linear(np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))))
     ratio = log_count_ratio(*gram_counts(labelled.with_texts(teaching, docs, key, text)))
     chosen = F.broadcast(labelled.sample(teaching, PER_LABEL))
-    rows, known = _sample_ngrams(labelled.with_texts(chosen, docs, key, text))
+    rows, known = _sample_ngrams(labelled.with_texts(chosen, docs, key, text), ratio != 0)
     return fit_linear(rows, known, ratio, prior)
 
 
