@@ -219,16 +219,32 @@ def upsert_pk_only(spark, sf):
     )
 
 
-@query("mirror_sync", f"SELECT {ORDER_COLUMNS} FROM orders")
+@query(
+    "mirror_sync",
+    """SELECT s.*, t.o_orderpriority || '/' || t.o_orderstatus AS note
+       FROM orders s LEFT JOIN orders_tgt t ON s.o_orderkey = t.o_orderkey""",
+    ("orders_tgt",),
+)
 def mirror_sync(spark, sf):
-    return merge.mirror(*_orders(spark, sf))
+    """Like the source, but for a column that only the target has."""
+    source, target, key = _orders(spark, sf)
+    note = F.concat("o_orderpriority", F.lit("/"), "o_orderstatus")
+    return merge.mirror(source, target.withColumn("note", note), key)
 
 
-@query("rekey_mirror", "SELECT * FROM customer_src", ("customer_src",))
+@query(
+    "rekey_mirror",
+    """SELECT s.*, t.c_name AS old_name
+       FROM customer_src s LEFT JOIN customer_tgt t ON s.c_custkey = t.c_custkey""",
+    ("customer_src", "customer_tgt"),
+)
 def rekey_mirror(spark, sf):
-    return merge.mirror(
-        table(spark, sf, "customer_src"), table(spark, sf, "customer_tgt"), CUSTOMER.key
-    )
+    """A whole run with its unique check: rows whose key changed take over their names."""
+    old = table(spark, sf, "customer_tgt").withColumn("old_name", F.col("c_name"))
+    target = _filled_target(spark, CUSTOMER, old)
+    options = SyncOptions(prune=True, allow_prune=True)
+    sync_table(spark, CUSTOMER, table(spark, sf, "customer_src"), target, options)
+    return target.load()
 
 
 # -- prune ---------------------------------------------------------------------------
