@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 import tokenizers
 from pyspark.sql import functions as F
+from small_corpus import frame, texts
 from test_dedup import lower, plain_fingerprint, roots
 from test_scans import secret_spans
 
@@ -62,6 +63,16 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_stages_on_odd_input(spark):
+    docs = frame(spark, texts() + [texts()[6]] * 3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, name
+        assert 0 < after.count() <= docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(range(docs.count()))
+
+
 def test_registered(spark):
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
     assert numbers == list(range(1, 11))

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from small_corpus import frame, texts
 
 from tablesync.llm import licenses, pii, secret_scan
@@ -195,3 +196,14 @@ def test_licenses_equal_plain_search(spark):
     assert got == brute_licenses(files)
     assert rows[4].start == len(long) + 1 and rows[4].license_from is None
     scratch.clear()
+
+
+def test_licenses_of_empty_and_repeated(spark):
+    scratch = Scratch(spark)
+    empty = frame(spark, []).withColumn("path", F.lit("a/b"))
+    assert licenses.scan(empty, scratch).collect() == []
+    twice = frame(spark, ["Released under the MIT License.", "x", "x"], [4, 4, None])
+    rows = licenses.scan(twice.withColumn("path", F.lit("d/LICENSE")), scratch).collect()
+    assert len(rows) == 3 and {r.license for r in rows} == {"MIT"}
+    assert sorted(r.license_from or "" for r in rows) == ["", "d", "d"]
+    scratch.clear()
