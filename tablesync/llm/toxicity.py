@@ -1,8 +1,8 @@
 """Toxicity by a linear classifier over character n-grams scaled by log-count ratios.
 
 A text is the set of its hashed byte 4- to 7-grams, in lower case. The naive Bayes
-log-count ratio of every n-gram comes from all labelled rows; a logistic regression over
-the scaled features is fitted to a bounded sample of them.
+log-count ratio of every n-gram and a logistic regression over the scaled features are
+fitted to bounded samples of the labelled rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ BUCKETS = 1 << BITS
 SMOOTHING = 1.0
 # A ratio counts if it is so many standard errors from zero.
 LEAST_ERRORS = 3.0
-# Bound of the fit: labelled rows of each label that the regression sees.
+# Bounds of the fit: labelled rows of each label that are counted, and those of them that
+# the regression sees. Their keys are broadcast, so that no texts are shuffled.
+COUNTED_PER_LABEL = 20_000
 PER_LABEL = 2000
 PENALTY = 1e-3
 STEPS = 100
@@ -160,15 +162,17 @@ def _sample_ngrams(rows: DataFrame, wanted: np.ndarray) -> tuple[list[np.ndarray
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Linear:
     """Learn from labelled rows that are not held out.
 
-    Counts cover all of them, the regression a sample bounded by PER_LABEL. With one label
-    only, or none, every score is the smoothed share of label 1.
+    Counts are bounded by COUNTED_PER_LABEL, the regression by PER_LABEL; the share of
+    label 1 comes from all rows. With one label only, or none, every score is that share,
+    smoothed.
     """
     teaching = labelled.teaching_rows(docs, labels, "toxic", MODULUS, HELD_OUT, key)
     by_label = dict(teaching.groupBy("label").count().collect())
     prior = (by_label.get(1, 0) + 1) / (sum(by_label.values()) + 2)
     if len(by_label) < 2:
         return Linear(np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))))
-    ratio = log_count_ratio(*gram_counts(labelled.with_texts(teaching, docs, key, text)))
+    counted = F.broadcast(labelled.sample(teaching, COUNTED_PER_LABEL))
+    ratio = log_count_ratio(*gram_counts(labelled.with_texts(counted, docs, key, text)))
     chosen = F.broadcast(labelled.sample(teaching, PER_LABEL))
     rows, known = _sample_ngrams(labelled.with_texts(chosen, docs, key, text), ratio != 0)
     return fit_linear(rows, known, ratio, prior)
