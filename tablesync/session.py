@@ -37,7 +37,7 @@ _LIVE: list[Scratch] = []
 
 @atexit.register
 def _clear_all() -> None:
-    for scratch in _LIVE:
+    for scratch in list(_LIVE):
         try:
             scratch.clear()
         except Exception as error:  # the session, or the cluster, may be gone by now
@@ -57,7 +57,6 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.paths: list[str] = []
-        _LIVE.append(self)
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         path = self.path(label)
@@ -66,13 +65,21 @@ class Scratch:
 
     def path(self, label: str) -> str:
         """A folder that goes with the others."""
+        if not self.paths:
+            _LIVE.append(self)
         self.paths.append(scratch_path(self.spark, label))
         return self.paths[-1]
 
+    def drop(self, path: str) -> None:
+        """Delete one table that nothing reads any more."""
+        SharedFiles(self.spark, path).delete()
+        self.paths.remove(path)
+
     def clear(self) -> None:
-        for path in self.paths:
-            SharedFiles(self.spark, path).delete()
-        self.paths.clear()
+        for path in list(self.paths):
+            self.drop(path)
+        if self in _LIVE:
+            _LIVE.remove(self)
 
 
 class SharedFiles:
