@@ -21,6 +21,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = scratch.write(links.where("a > b").distinct(), "links")
+    written = [scratch.paths[-1]]
     before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,12 +29,16 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         low = low.select("a", F.least("a", "low").alias("low"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = scratch.write(large.where("a > b").distinct(), "links")
+        written.append(scratch.paths[-1])
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a")
         small = small.where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         links = scratch.write(
             small.unionByName(low.select("a", F.col("low").alias("b"))).distinct(), "links"
         )
+        for path in written:  # the new links were made from these, nothing reads them now
+            scratch.drop(path)
+        written = [scratch.paths[-1]]
         now = links.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()
