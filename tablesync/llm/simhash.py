@@ -105,8 +105,9 @@ def links(points: DataFrame, scratch: Scratch) -> DataFrame:
     asked = probes(points)
     sizes = asked.where("own").groupBy("segment", "at").count()
     sizes = scratch.write(sizes.where("count > 1 OR segment = 0"), "entries")
-    # nobody but its owner asks for an entry of the second table that has one member
-    asked = scratch.write(asked.join(sizes, ["segment", "at"]), "probes")
+    # nobody but its owner asks for an entry of the second table that has one member;
+    # the planner does not see how many probes a fingerprint has, so they must not be broadcast
+    asked = scratch.write(asked.hint("merge").join(sizes, ["segment", "at"]), "probes")
     table = asked.where(f"own AND count <= {DENSE}").select(F.col("fp").alias("b"), "segment", "at")
     fetched = asked.where(f"count <= {DENSE}").join(table, ["segment", "at"])
     pairs = fetched.where((F.col("fp") < F.col("b")) & (distance(F.col("fp"), F.col("b")) <= DISTANCE))
@@ -119,7 +120,7 @@ def links(points: DataFrame, scratch: Scratch) -> DataFrame:
     )
     ball = crowd.select("fp", F.explode(points_near).alias("point"))
     first_of = ball.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    star = ball.join(first_of, "point").where("a <> fp")
+    star = ball.hint("merge").join(first_of, "point").where("a <> fp")
     star = star.where(distance(F.col("a"), F.col("fp")) <= DISTANCE)
     return (
         pairs.select(F.col("fp").alias("a"), "b")
