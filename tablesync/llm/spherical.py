@@ -248,7 +248,8 @@ def similar_vectors(
     dealt = dealt.select(
         *same, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node"
     )
-    members = dealt.join(nodes.select("node", "copies", "vector"), "node")
+    # the planner does not see how often a row is dealt, so it must not be broadcast
+    members = dealt.hint("merge").join(nodes.select("node", "copies", "vector"), "node")
     group = [*same, "i", "j"]
     members = members.select(*group, "block", "node", "copies", "vector")
     members = members.repartition(*group).sortWithinPartitions(*group, "node")
