@@ -33,7 +33,7 @@ END_ID = 0
 SHARD = 1024
 UNITS_PER_TASK = 8192
 K1, B = 1.2, 0.75
-TABLE_CHARS = 16 << 20
+TABLE_CHARS = 8 << 20
 
 # Beyond these blocks, letter classes can differ between Unicode versions.
 LAST = 0x24F
