@@ -43,17 +43,23 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, fingerprint) of every row, the fingerprint as a signed 64-bit number."""
-    rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    """(doc_id, digest, fingerprint) of every row, the fingerprint as a signed 64-bit number."""
+    rows = df.select(F.col(key).alias("doc_id"), digest(F.col(text)).alias("digest"), F.col(text).alias("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = np.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], np.uint64)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(made.view(np.int64))], names=["doc_id", "fingerprint"]
+            [batch.column("doc_id"), batch.column("digest"), pa.array(made.view(np.int64))],
+            names=["doc_id", "digest", "fingerprint"],
         )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_batches(rows, run, f"doc_id {kind}, fingerprint bigint", "text")
+    return map_batches(rows, run, f"doc_id {kind}, digest binary, fingerprint bigint", "text")
+
+
+def digest(text: Column) -> Column:
+    """Tells the texts of one key apart; NULL reads as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -140,6 +146,15 @@ def near_duplicates(
     the component of their fingerprint, if it has another row. Repeated rows each come
     back; an empty table gives an empty result; other columns are not read.
     """
+    return _grouped(df, scratch, key, text, words).select("doc_id", "fingerprint", "component_id")
+
+
+def _grouped(df: DataFrame, scratch: Scratch, key: str, text: str, words: int = WORDS) -> DataFrame:
+    """near_duplicates with the text's digest and ``group``, a fingerprint that names the component.
+
+    Two components can have the same smallest doc_id, if it stands for several texts;
+    ``group`` tells them apart.
+    """
     prints = scratch.write(fingerprints(df, key, text, words), "prints")
     classes = prints.groupBy(F.col("fingerprint").alias("fp")).agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("rows")
@@ -149,16 +164,20 @@ def near_duplicates(
     # label: the smallest class id of a component of fingerprints
     named = linked.join(classes, linked["node"] == classes["fp"])
     smallest = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    labels = named.join(smallest, "component").select("fp", "component_id")
+    labels = named.join(smallest, "component").select("fp", "component", "component_id")
     # documents whose class is alone need no lookup
     moved = classes.join(labels, "fp", "left").where("rows > 1 OR component_id IS NOT NULL")
     moved = moved.select(
-        F.col("fp").alias("fingerprint"), F.coalesce("component_id", "class_id").alias("component_id")
+        F.col("fp").alias("fingerprint"),
+        F.coalesce("component", "fp").alias("group"),
+        F.coalesce("component_id", "class_id").alias("component_id"),
     )
     moved = scratch.write(moved, "labels")
     return prints.join(moved, "fingerprint", "left").select(
         "doc_id",
+        "digest",
         "fingerprint",
+        F.coalesce("group", "fingerprint").alias("group"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
 
@@ -169,7 +188,27 @@ def report(df: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def keep_one(df: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of each group whose key names the component; rows with NULL keys stay."""
-    found = near_duplicates(df, scratch, key, text)
-    lost = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_lost_id")).distinct()
-    return df.join(lost, df[key] == F.col("_lost_id"), "left_anti")
+    """One row of each group, with all its columns; rows with NULL keys stay.
+
+    The row whose key names the component stays. A row is looked up by its key and its
+    text, so a key that stands for several texts loses only the rows that lose. If a group
+    has that key more than once, the text of the smallest digest stays, and of rows that
+    repeat key and text any one.
+    """
+    found = scratch.write(_grouped(df, scratch, key, text), "groups")
+    named = found.where("doc_id = component_id").groupBy("doc_id", "group", "digest").count()
+    # groups that have their key more than once are few
+    first = named.groupBy("doc_id", "group").agg(F.min("digest").alias("first"), F.sum("count").alias("rows"))
+    first = scratch.write(first.where("rows > 1"), "repeated")
+    repeated = named.join(first, ["doc_id", "group"])
+    lost = found.where("doc_id <> component_id").select("doc_id", "digest")
+    lost = lost.unionByName(repeated.where("digest <> first").select("doc_id", "digest")).distinct()
+    lost = lost.select(F.col("doc_id").alias("_key"), F.col("digest").alias("_text"))
+    stay = df.join(lost, (df[key] == F.col("_key")) & (digest(df[text]) == F.col("_text")), "left_anti")
+    twice = repeated.where("digest = first AND count > 1")
+    twice = twice.select(F.col("doc_id").alias("_key"), F.col("digest").alias("_text"))
+    if twice.isEmpty():
+        return stay
+    same = (stay[key] == F.col("_key")) & (digest(stay[text]) == F.col("_text"))
+    one = stay.join(twice, same).dropDuplicates(["_key", "_text"]).select(*df.columns)
+    return stay.join(twice, same, "left_anti").unionByName(one)

@@ -157,6 +157,17 @@ def test_simhash_odd_keys(spark, scratch):
     assert simhash.near_duplicates(frame(spark, []), scratch).collect() == []
 
 
+def test_keep_one_of_repeated_keys(spark, scratch):
+    """A key with several texts, in several groups or in one, and whole rows repeated."""
+    given = [(5, "a b c"), (9, "A b c"), (5, "x y z"), (3, "X y z"), (5, "p q r"), (5, "P q r"),
+             (7, "k l m"), (7, "k l m"), (None, "k l m"), (None, "a b c")]
+    df = frame(spark, [t for _, t in given], [i for i, _ in given]).repartition(3)
+    stay = simhash.keep_one(df, scratch)
+    assert stay.columns == df.columns
+    rows = sorted((str(r.doc_id), r.text.lower()) for r in stay.collect())
+    assert rows == [("3", "x y z"), ("5", "a b c"), ("5", "p q r"), ("7", "k l m"), ("None", "a b c"), ("None", "k l m")]
+
+
 def vectors(seed: int = 0):
     rng = np.random.default_rng(seed)
     made = list(rng.standard_normal((120, 24)))
