@@ -1,7 +1,7 @@
 """Personal data in texts, found with SQL functions alone.
 
 Regular expressions propose spans, checksums confirm cards (Luhn) and bank account
-numbers (mod 97), and words just before a span move its score.
+numbers (mod 97), and words before and after a span move its score.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
 CONTEXT_CHARS = 40
 REPORTED_SCORE = 0.6
+# What may stand between two members of a list.
+SEPARATOR = r"^[^\p{L}\p{N}]*+(?:(?:and|or)[^\p{L}\p{N}]*+)?$"
 
 # A match can only begin where its first run of characters does (or where the match
 # before it ended), and runs never give characters back. Both leave the leftmost
@@ -102,56 +104,106 @@ CONFIRM: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Leftmost matches that do not overlap: array of (start, end, match, before).
+def _fold(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """Array of what ``step(state, item)`` gives beside the next state, item by item.
 
-    Offsets are code points, ends exclusive; ``before`` is the text between this match
-    and the one before it. Offsets are running sums over the gaps and matches; they are
-    taken in blocks, so that thousands of matches in one text do not cost their square.
+    Items are taken in blocks, so that thousands in one text do not cost their square.
     """
     block = 256
-    pairs = F.filter(
-        F.zip_with(
-            F.split(text, pattern, -1),
+
+    def pair(state: Column, found: Column) -> Column:
+        return F.struct(state.alias("state"), found.alias("found"))
+
+    def one(so_far: Column, item: Column) -> Column:
+        state, made = step(so_far["state"], item)
+        return pair(state, F.concat(so_far["found"], F.array(made)))
+
+    def one_block(so_far: Column, i: Column) -> Column:
+        inner = F.aggregate(F.slice(items, i, block), pair(so_far["state"], F.array().cast(f"array<{kind}>")), one)
+        # one evaluation of the block, which is used twice
+        return F.transform(
+            F.array(inner), lambda made: pair(made["state"], F.concat(so_far["found"], F.array(made["found"])))
+        )[0]
+
+    blocks = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(block))).otherwise(
+        F.array().cast("array<int>")
+    )
+    begin = pair(start, F.array().cast(f"array<array<{kind}>>"))
+    return F.aggregate(blocks, begin, one_block, lambda so_far: F.flatten(so_far["found"]))
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Leftmost matches that do not overlap: array of (start, end, match, context).
+
+    Offsets are code points, ends exclusive. Matches with nothing but separators between
+    them are a list; ``context`` is the CONTEXT_CHARS before and after the match in the
+    text, and those before and after its list, in lines. Offsets are running sums over
+    the gaps and matches, and contexts are put together from their ends, so a text of any
+    length is read once.
+    """
+
+    def ends(gaps: Column) -> Column:
+        # every gap and match, and the gap behind them
+        pairs = F.zip_with(
+            gaps,
             F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
             lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")),
-        ),
-        lambda pair: pair["match"].isNotNull(),
-    )
-    kind = "array<struct<start:int,end:int,match:string,before:string>>"
+        )
+        behind = F.slice(gaps, F.lit(2), F.size(gaps))
+        both = F.zip_with(
+            pairs,
+            behind,
+            lambda pair, gap: F.struct(
+                pair["gap"].alias("gap"), pair["match"].alias("match"), F.left(gap, near).alias("behind")
+            ),
+        )
+        return F.filter(both, lambda pair: pair["match"].isNotNull())
+
+    near = F.lit(CONTEXT_CHARS)
 
-    def one(state: Column, pair: Column) -> Column:
+    def forward(state: Column, pair: Column) -> tuple[Column, Column]:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["match"])
-        before = F.right(pair["gap"], F.lit(CONTEXT_CHARS))
+        before = F.right(F.concat(state["before"], F.right(pair["gap"], near)), near)
+        goes_on = (state["at"] > 0) & (F.length(pair["gap"]) <= near) & F.rlike(pair["gap"], F.lit(SEPARATOR))
+        listed = F.when(goes_on, state["listed"]).otherwise(before)
         found = F.struct(
-            start.alias("start"), end.alias("end"), pair["match"].alias("match"), before.alias("before")
+            start.alias("start"),
+            end.alias("end"),
+            pair["match"].alias("match"),
+            F.concat_ws("\n", before, F.when(goes_on, listed)).alias("context"),
+            pair["behind"].alias("behind"),
+            goes_on.alias("goes_on"),
         )
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
-
-    def empty(at: Column) -> Column:
-        return F.struct(at.alias("at"), F.array().cast(kind).alias("found"))
-
-    def whole(found: Column) -> Column:
-        def one_block(state: Column, i: Column) -> Column:
-            inner = F.aggregate(F.slice(found, i, block), empty(state["at"]), one)
-            return F.struct(
-                inner["at"].alias("at"),
-                F.concat(state["found"], F.array(inner["found"])).alias("found"),
-            )
-
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("found"))
-        blocks = F.when(
-            F.size(found) > 0, F.sequence(F.lit(1), F.size(found), F.lit(block))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(blocks, start, one_block, lambda state: F.flatten(state["found"]))
+        after = F.right(F.concat(before, F.right(pair["match"], near)), near)
+        return F.struct(end.alias("at"), after.alias("before"), listed.alias("listed")), found
+
+    def backward(state: Column, found: Column) -> tuple[Column, Column]:
+        after = F.left(F.concat(found["behind"], state["after"]), near)
+        listed = F.when(state["goes_on"], state["listed"]).otherwise(after)
+        context = F.concat_ws("\n", found["context"], after, F.when(state["goes_on"], listed))
+        whole = F.struct(*(found[n].alias(n) for n in ("start", "end", "match")), context.alias("context"))
+        before = F.left(F.concat(F.left(found["match"], near), after), near)
+        return F.struct(
+            before.alias("after"), listed.alias("listed"), found["goes_on"].alias("goes_on")
+        ), whole
 
-    # one evaluation of the pairs, however often they are used
-    return F.transform(F.array(pairs), whole)[0]
+    kind = "struct<start:int,end:int,match:string,context:string"
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.lit("").alias("listed"))
+    end = F.struct(F.lit("").alias("after"), F.lit("").alias("listed"), F.lit(False).alias("goes_on"))
+    # one evaluation of the gaps, of the pairs and of the first pass, however often they are used
+    found = F.transform(F.array(F.split(text, pattern, -1)), ends)
+    found = F.transform(found, lambda f: F.reverse(_fold(f, start, forward, f"{kind},behind:string,goes_on:boolean>")))
+    found = F.transform(found, lambda f: F.reverse(_fold(f, end, backward, f"{kind}>")))
+    return found[0]
 
 
 def kind_spans(text: Column, kind: str) -> Column:
-    """Confirmed spans of one kind: array of (kind, start, end, score)."""
+    """Confirmed spans of one kind: array of (kind, start, end, score).
+
+    The context of a span is the CONTEXT_CHARS before and after it in the text, whatever
+    else is found there, and those before and after the list that it is in.
+    """
     base, words, gain = SCORES[kind]
     near = f"(?i)(?:{words})"
     far = f"(?i)(?:{AGAINST[0]})"
@@ -159,8 +211,8 @@ def kind_spans(text: Column, kind: str) -> Column:
     def span(found: Column) -> Column:
         score = (
             F.lit(base)
-            + F.when(F.rlike(found["before"], F.lit(near)), gain).otherwise(0.0)
-            - F.when(F.rlike(found["before"], F.lit(far)), AGAINST[1]).otherwise(0.0)
+            + F.when(F.rlike(found["context"], F.lit(near)), gain).otherwise(0.0)
+            - F.when(F.rlike(found["context"], F.lit(far)), AGAINST[1]).otherwise(0.0)
         )
         return F.struct(
             F.lit(kind).alias("kind"),

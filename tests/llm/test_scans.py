@@ -94,6 +94,22 @@ def test_pii_added_kinds_and_scores(spark):
     assert rows[5].pii[0].score == 0.9 and rows[6].pii[0].score == 0.4
 
 
+def test_pii_context_is_by_position(spark):
+    """Lists of any length, words after a span, and matches that are not confirmed before it."""
+    given = [
+        "SSN: 123-45-6789, 234-56-7890, 345-67-8901",
+        "SSN: " + ", ".join(["123-45-6789"] * 600),
+        ", ".join(["123-45-6789"] * 300) + " and 234-56-7890 are tax ids of a tax id list",
+        "123-45-6789 is the ssn",
+        "ssn 000-45-6789 123-45-6789",
+        "123-45-6789 " + "far away " * 6 + "ssn",
+        "ssn " + "é\U0001f600" * 25 + " 123-45-6789",
+    ]
+    rows = pii.with_pii(frame(spark, given)).orderBy("doc_id").collect()
+    assert [len([s for s in r.pii if s.kind == "ssn"]) for r in rows] == [3, 600, 301, 1, 1, 0, 0]
+    assert all(given[1][s.start : s.end] == "123-45-6789" for s in rows[1].pii if s.kind == "ssn")
+
+
 def test_pii_main_path_has_no_python(spark, capsys):
     pii.report(frame(spark, ["a"])).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
