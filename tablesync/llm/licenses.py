@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from math import log, sqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +70,19 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 THRESHOLD = 0.8
 CUE = re.compile("licen[sc]|copyright|spdx|permission|redistribut|public domain", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+|[0-9]+")
+ANY_WORD = re.compile(r"[A-Za-z]+|[0-9]+")
+# Words that tell licences apart: a window has those of its template, and no others.
+NAMING = frozenset(
+    "mit apache gnu lesser affero gpl lgpl agpl bsd clause isc mozilla mpl cc sa nc nd creative commons "
+    "unencumbered 0 1 2 3 4".split()
+)
+# Characters around a cue that windows are taken from, as a multiple of the longest template.
+REACH = 3
+BLOCK = 4096
+# Words in fewer documents weigh as if they were in this share of them, so the table of
+# words is bounded and no word's weight grows with the number of rows.
+LEAST_SHARE = 1e-3
+FLUSH = 200_000
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicense)([._-].*)?$"
 
 
@@ -80,17 +95,26 @@ class Matcher:
 
     def __init__(self, templates: tuple[tuple[str, str], ...], frequency: dict[str, int], rows: int) -> None:
         self.ids = [name for name, _ in templates]
-        # a word that no template has is as rare as one that no document has
-        self.rare = log(rows + 1) + 1
-        self.idf = {
-            word: log((rows + 1) / (frequency.get(word, 0) + 1)) + 1
-            for _, text in templates
-            for word in words_of(text)
-        }
+        def weight(n: int) -> float:
+            return log((rows + 1) / (max(n, rows * LEAST_SHARE) + 1)) + 1
+
+        self.rare = weight(0)
+        self.idf = {word: weight(n) for word, n in frequency.items() if n >= rows * LEAST_SHARE}
         self.lists: dict[str, list[tuple[int, float]]] = {}
         for at, (_, text) in enumerate(templates):
             for word, weight in self.vector(words_of(text)).items():
                 self.lists.setdefault(word, []).append((at, weight))
+        sizes = [len(words_of(text)) for _, text in templates]
+        self.sizes = [sorted({n, n + max(1, n // 4), *([n - 1] if n > 4 else [])}) for n in sizes]
+        self.longest = max((max(s) for s in self.sizes), default=0)
+        self.reach = REACH * max((len(text) for _, text in templates), default=0)
+        self.naming = [NAMING.intersection(words_of(text)) for _, text in templates]
+        # what a word adds to the product with each template; the last column is for other words
+        self.column = {word: i for i, word in enumerate(self.lists)}
+        self.gain = np.zeros((len(templates), len(self.column) + 1))
+        for word, entries in self.lists.items():
+            for at, weight in entries:
+                self.gain[at, self.column[word]] = weight * self.idf.get(word, self.rare)
 
     def vector(self, words: list[str]) -> dict[str, float]:
         weights = {w: n * self.idf.get(w, self.rare) for w, n in Counter(words).items()}
@@ -108,15 +132,53 @@ class Matcher:
         at = min(scores, key=lambda a: (-round(scores[a], 9), a))
         return round(min(1.0, scores[at]), 9), self.ids[at]
 
-    def detect(self, text: str) -> tuple[str, float, int, int] | None:
-        """(licence, cosine, start, end) of the best passage of a whole text, if it reaches THRESHOLD.
+    def windows(self, text: str, begin: int, end: int) -> Iterator[tuple[float, int, int, int]]:
+        """(cosine, template, start, end) of word windows of about a template's length."""
+        words = [(m.start(), m.end(), m.group().lower()) for m in ANY_WORD.finditer(text, begin, end)]
+        # words that the limits may have cut
+        words = words[bool(begin) : len(words) - (end < len(text))]
+        for at in range(0, max(1, len(words) - self.longest + 1), BLOCK):
+            yield from self._windows(words[at : at + BLOCK + self.longest - 1])
+
+    def _windows(self, words: list[tuple[int, int, str]]) -> Iterator[tuple[float, int, int, int]]:
+        columns = [self.column.get(w, -1) for _, _, w in words]
+        products = np.cumsum(self.gain[:, columns], axis=1)
+        products = np.concatenate([np.zeros((len(self.ids), 1)), products], axis=1)
+        squares = np.concatenate([[0], np.cumsum([self.idf.get(w, self.rare) ** 2 for _, _, w in words])])
+        for template, sizes in enumerate(self.sizes):
+            for size in sizes:
+                if size > len(words):
+                    continue
+                # repeated words only make a vector longer, so this is at least the cosine
+                product = products[template, size:] - products[template, :-size]
+                most = product / np.sqrt(squares[size:] - squares[:-size])
+                for at in np.flatnonzero(most >= THRESHOLD - 1e-9).tolist():
+                    found = [w for _, _, w in words[at : at + size]]
+                    if self.naming[template] != NAMING.intersection(found):
+                        continue
+                    norm = sqrt(sum((n * self.idf.get(w, self.rare)) ** 2 for w, n in Counter(found).items()))
+                    score = round(min(1.0, float(product[at]) / norm), 9)
+                    if score >= THRESHOLD:
+                        yield score, template, words[at][0], words[at + size - 1][1]
+
+    def detect(self, text: str) -> list[tuple[str, float, int, int]]:
+        """(licence, cosine, start, end) of each licence of a whole text that reaches THRESHOLD.
 
-        Passages are the lines that carry a cue and the paragraphs around them, wherever
-        they stand; of equal ones the first line counts.
+        Passages are the lines that carry a cue, the paragraphs around them, and windows
+        of words around each cue, wherever they stand. Of passages that overlap, the one
+        of the highest cosine counts, then lines and paragraphs before windows, then the
+        first. Each licence comes once, with its best passage, the best licence first.
         """
-        found, paragraphs = [], set()
+        found, paragraphs, regions = [], set(), []
         at = 0
-        while cue := CUE.search(text, at):
+        for cue in CUE.finditer(text):
+            begin, finish = max(0, cue.start() - self.reach), min(len(text), cue.end() + self.reach)
+            if regions and begin <= regions[-1][1]:
+                regions[-1][1] = finish
+            else:
+                regions.append([begin, finish])
+            if cue.start() < at:
+                continue
             start = text.rfind("\n", 0, cue.start()) + 1
             end = text.find("\n", cue.end())
             end = len(text) if end < 0 else end
@@ -127,19 +189,38 @@ class Matcher:
                 paragraphs.add(around)
                 found.append(around)
             at = end
-        best = None
-        for start, end in found:
+        passages = []
+        for order, (start, end) in enumerate(found):
             score, name = self.best(text[start:end])
-            if score >= THRESHOLD and (best is None or score > best[1]):
-                best = (name, score, start, end)
-        return best
+            if score >= THRESHOLD:
+                passages.append((-score, 0, order, name, start, end))
+        for begin, finish in regions:
+            for score, template, start, end in self.windows(text, begin, finish):
+                passages.append((-score, 1, start, self.ids[template], start, end))
+        kept: dict[str, tuple[str, float, int, int]] = {}
+        taken: list[tuple[int, int]] = []
+        for score, _, _, name, start, end in sorted(passages):
+            place = bisect(taken, (start, end))
+            before = place and taken[place - 1][1] > start
+            if before or place < len(taken) and taken[place][0] < end:
+                continue
+            taken.insert(place, (start, end))
+            kept.setdefault(name, (name, -score, start, end))
+        return list(kept.values())
 
 
-def template_frequencies(
-    docs: DataFrame, templates: tuple[tuple[str, str], ...], text: str = "text"
-) -> tuple[dict[str, int], int]:
-    """In how many of all documents each template word occurs, and how many there are."""
-    vocabulary = frozenset(w for _, t in templates for w in words_of(t))
+def word_frequencies(docs: DataFrame, scratch: Scratch, text: str = "text") -> tuple[dict[str, int], int]:
+    """In how many of all documents each word occurs, and how many documents there are.
+
+    Words below LEAST_SHARE, which all weigh the same, are left out; that bounds the table
+    by the mean number of words in a document.
+    """
+
+    def made(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+            names=["word", "n"],
+        )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -147,15 +228,18 @@ def template_frequencies(
             for part in cut_batch(batch, "text"):
                 for whole in texts_of(part, "text"):
                     seen[""] += 1
-                    seen.update(vocabulary.intersection(words_of(whole)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-            names=["word", "n"],
-        )
+                    seen.update(set(words_of(whole)))
+                    if len(seen) > FLUSH:
+                        yield made(seen)
+                        seen = Counter()
+        yield made(seen)
 
     parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n bigint")
-    counts = dict(parts.groupBy("word").agg(F.sum("n")).collect())
-    return counts, counts.pop("", 0)
+    counts = scratch.write(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    rows = counts.where("word = ''").first()
+    rows = rows.n if rows else 0
+    common = counts.where((F.col("word") != "") & (F.col("n") >= rows * LEAST_SHARE))
+    return dict(common.collect()), rows
 
 
 def _directory(path: Column) -> Column:
@@ -180,11 +264,11 @@ def scan(
     NULL and empty texts have no notice; rows without a path inherit nothing; repeated
     rows each come back; an empty table gives an empty result; other columns are not read.
     """
-    matcher = Matcher(templates, *template_frequencies(df, templates, text))
+    matcher = Matcher(templates, *word_frequencies(df, scratch, text))
     rows = df.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))
 
     def detect(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [matcher.detect(t) or (None,) * 4 for t in texts_of(batch, "text")]
+        found = [(matcher.detect(t) or [(None,) * 4])[0] for t in texts_of(batch, "text")]
         kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays(
             [

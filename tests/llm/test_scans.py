@@ -223,3 +223,23 @@ def test_licenses_of_empty_and_repeated(spark):
     assert len(rows) == 3 and {r.license for r in rows} == {"MIT"}
     assert sorted(r.license_from or "" for r in rows) == ["", "d", "d"]
     scratch.clear()
+
+
+def test_licenses_in_other_words():
+    """Notices that are not verbatim templates; the weights do not depend on the rows' number."""
+    prose = "The tools in this folder read tables and write them back in another order. "
+    given = {
+        "Copyright (c) 2024 Example Inc. Licensed under the MIT License.": "MIT",
+        "Licensed under the MIT License, see LICENSE.": "MIT",
+        "Licensed under the Apache License, Version 2.0, see LICENSE for details.": "Apache-2.0",
+        "SPDX-FileCopyrightText: 2024 Example SPDX-License-Identifier: MIT": "MIT",
+        prose + "Released under the ISC License.": "ISC",
+        prose * 400 + "It is licensed under the terms of the MIT license. " + prose * 400: "MIT",
+        "This work is licensed under the GNU Lesser General Public License, version 3, or later": "LGPL-3.0",
+        "A permission slip, copyright 2024, all rights reserved, licensed to nobody.": None,
+    }
+    for rows in (10_000, 6_000_000):
+        matcher = licenses.Matcher(licenses.TEMPLATES, {"the": rows, "license": rows // 20, "licensed": rows // 20}, rows)
+        for text, want in given.items():
+            found = matcher.detect(text)
+            assert [f[0] for f in found] == ([want] if want else []), (text[:80], found)
