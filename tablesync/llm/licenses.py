@@ -254,40 +254,55 @@ def scan(
     text: str = "text",
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
 ) -> DataFrame:
-    """One row per file: its own licence with score and span, and the licence that holds for it.
+    """One row per file: its own licences with scores and spans, and those that hold for it.
 
     Returns doc_id, path, own_license, own_score, start, end (code points, end exclusive),
-    license, license_from. A file's own notice holds for it; without one, the licence file
-    in the nearest directory at or above it does (``license_from`` is that directory).
-    Of several licence files in a directory, the one of the highest cosine counts, then
-    the smallest path, then licence name.
-    NULL and empty texts have no notice; rows without a path inherit nothing; repeated
-    rows each come back; an empty table gives an empty result; other columns are not read.
+    license, license_from, own_licenses (array of license, score, start, end; best first)
+    and licenses (array of names, in order). A file's own notices hold for it; without one,
+    the licence files in the nearest directory at or above it do, all of them with all
+    their licences (``license_from`` is that directory). The single columns name the best:
+    the highest cosine, of several licence files then the smallest path, then licence name.
+    NULL and empty texts have no notice; rows without a path inherit nothing; without a
+    licence the arrays are empty; repeated rows each come back; an empty table gives an
+    empty result; other columns are not read.
     """
     matcher = Matcher(templates, *word_frequencies(df, scratch, text))
     rows = df.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))
 
+    fields = ("license", "score", "start", "end")
+    notice = pa.struct(list(zip(fields, (pa.string(), pa.float64(), pa.int64(), pa.int64()))))
+
     def detect(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(matcher.detect(t) or [(None,) * 4])[0] for t in texts_of(batch, "text")]
-        kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
+        found = [[dict(zip(fields, f)) for f in matcher.detect(t)] for t in texts_of(batch, "text")]
         return pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("path"),
-                *(pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)),
-            ],
-            names=["doc_id", "path", "own_license", "own_score", "start", "end"],
+            [batch.column("doc_id"), batch.column("path"), pa.array(found, pa.list_(notice))],
+            names=["doc_id", "path", "own_licenses"],
         )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, path string, own_license string, own_score double, start bigint, end bigint"
+    schema = (
+        f"doc_id {kind}, path string, "
+        "own_licenses array<struct<license:string,score:double,start:bigint,end:bigint>>"
+    )
     own = map_batches(rows, detect, schema, "text").withColumn("directory", _directory(F.col("path")))
     own = scratch.write(own, "notices")
+    best = F.get("own_licenses", F.lit(0))
+    own = own.select(
+        "*",
+        best["license"].alias("own_license"),
+        best["score"].alias("own_score"),
+        best["start"].alias("start"),
+        best["end"].alias("end"),
+    )
     name = F.regexp_extract("path", "([^/]*)$", 1)
     files = own.where(F.col("own_license").isNotNull() & F.rlike(name, F.lit(LICENCE_FILE)))
-    best = F.min(F.struct(-F.col("own_score"), "path", "own_license"))
-    holders = files.groupBy("directory").agg(best.alias("best"))
-    holders = holders.select(F.col("directory").alias("above"), F.col("best.own_license").alias("given"))
+    # as many notices of a file as there are licences, at most
+    files = files.select("directory", "path", "own_score", "own_license", F.explode("own_licenses").alias("one"))
+    first = F.min(F.struct(-F.col("own_score"), "path", "own_license"))
+    holders = files.groupBy("directory").agg(
+        first.alias("best"), F.sort_array(F.collect_set("one.license")).alias("all")
+    )
+    holders = holders.select(F.col("directory").alias("above"), F.col("best.own_license").alias("given"), "all")
     # every directory looks at itself and all above it, once, however many files it has
     parts = F.split("directory", "/")
     directories = own.where("path IS NOT NULL").select("directory").distinct()
@@ -303,8 +318,10 @@ def scan(
         ).alias("depth", "above"),
     )
     nearest = ancestors.join(holders, "above").groupBy("directory")
-    nearest = nearest.agg(F.max(F.struct("depth", "above", "given")).alias("nearest"))
+    nearest = nearest.agg(F.max(F.struct("depth", "above", "given", "all")).alias("nearest"))
     nearest = scratch.write(nearest, "inherited")
+    alone = F.col("own_license").isNull() & F.col("path").isNotNull()
+    names = F.sort_array(F.transform("own_licenses", lambda f: f["license"]))
     return own.join(nearest, "directory", "left").select(
         "doc_id",
         "path",
@@ -312,8 +329,8 @@ def scan(
         "own_score",
         "start",
         "end",
-        F.coalesce("own_license", F.when(F.col("path").isNotNull(), F.col("nearest.given"))).alias("license"),
-        F.when(F.col("own_license").isNull() & F.col("path").isNotNull(), F.col("nearest.above")).alias(
-            "license_from"
-        ),
+        F.coalesce("own_license", F.when(alone, F.col("nearest.given"))).alias("license"),
+        F.when(alone, F.col("nearest.above")).alias("license_from"),
+        "own_licenses",
+        F.coalesce(F.when(alone, F.col("nearest.all")), names).alias("licenses"),
     )

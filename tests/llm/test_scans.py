@@ -243,3 +243,29 @@ def test_licenses_in_other_words():
         for text, want in given.items():
             found = matcher.detect(text)
             assert [f[0] for f in found] == ([want] if want else []), (text[:80], found)
+
+
+def test_several_licenses(spark):
+    """Two notices in a file, and two licence files in a directory."""
+    mit, apache = "Licensed under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    files = [
+        ("d/LICENSE-MIT", mit),
+        ("d/LICENSE-APACHE", apache),
+        ("d/e/x.py", "nothing"),
+        ("both.py", f"# {mit}\n\nsome code\n\n# Or: {apache}"),
+        ("f/LICENSE", f"{mit} {apache}"),
+        ("f/y.py", None),
+        ("z.py", "nothing"),
+    ]
+    df = frame(spark, [t for _, t in files])
+    paths = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(files)], "doc_id long, path string")
+    scratch = Scratch(spark)
+    rows = licenses.scan(df.join(paths, "doc_id"), scratch).orderBy("doc_id").collect()
+    scratch.clear()
+    both = ["Apache-2.0", "MIT"]
+    assert [r.licenses for r in rows] == [["MIT"], ["Apache-2.0"], both, both, both, both, []]
+    assert [r.license_from for r in rows] == [None, None, "d", None, None, "f", None]
+    for row, (_, text) in zip(rows, files):
+        for found in row.own_licenses:
+            assert ("MIT" if found.license == "MIT" else "Apache") in text[found.start : found.end]
+        assert (row.own_licenses[0].license if row.own_licenses else None) == row.own_license
