@@ -18,6 +18,7 @@ from tablesync.llm import (
     secret_scan,
     simhash,
     spherical,
+    suffix_dedup,
     toxicity,
 )
 from tablesync.llm.common import documents, embeddings, labels
@@ -105,3 +106,8 @@ def file_tree(docs: DataFrame) -> DataFrame:
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(file_tree(documents(spark, sf_dir)), Scratch(spark))
+
+
+@query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(spark, sf_dir), Scratch(spark)).drop("kept")
