@@ -32,9 +32,9 @@ REACH = LENGTH - SHORT + 1
 # Texts are kept in blocks of about so many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
 # Text bytes whose names meet in one group, on average.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 # Windows worked on at once, and those of them that fit a processor's cache.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 SLICE = 1 << 15
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 SHORT_BITS, RUN_BITS = np.uint64(28), np.uint64(36)
@@ -292,7 +292,8 @@ def ranked(rows: DataFrame, sample: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[dict] = []
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 if waiting and waiting[-1]["bucket"] != row["bucket"]:
                     yield settle(waiting)
                     waiting = []
@@ -363,7 +364,7 @@ def without_repeats(df: DataFrame, scratch: Scratch, key: str = "doc_id", text:
     columns are not read.
 
     Names are 64 bits long, and a bucket adds the logarithm of their number: with buckets
-    of 16 MB of text, under one false match is expected in 100 TB.
+    of 4 MB of text, under one false match is expected in 100 TB.
     """
     blocks = scratch.write(blocks_of(df, key, text), "blocks")
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
