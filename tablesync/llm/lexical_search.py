@@ -42,7 +42,7 @@ FOCUS = 4
 # Share of the documents, the longest ones, that is searched first.
 FIRST_SHARE = 1 / 64
 # Documents searched by one task.
-DOCUMENTS_PER_TASK = 1 << 16
+DOCUMENTS_PER_TASK = 1 << 14
 # Room for rounding in the bounds, which are floats.
 SLACK = 1 + 1e-9
 PIECE = 1 << 20
