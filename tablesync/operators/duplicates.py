@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.operators.classify import TARGET_PREFIX, compared_columns, target_side
+from tablesync.operators.position import POSITION, with_position
 from tablesync.session import Scratch
 
 
@@ -58,9 +59,16 @@ def applied_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) ->
 def dedup(
     df: DataFrame, key: Sequence[str], order_by: Sequence[str] = (), keep: str = "last"
 ) -> DataFrame:
-    """One row per key: the last (or first) in source order, NULLs first."""
+    """One row per key: the last (or first) in source order, NULLs first.
+
+    Rows that ``order_by`` does not tell apart go by their place in the files they come
+    from, or else by their values.
+    """
     if keep not in ("last", "first"):
         raise ValueError(f"keep must be 'last' or 'first', not {keep!r}")
+    placed = with_position(df)
+    if POSITION in placed.columns:
+        return _dedup_by_place(placed, key, order_by, keep).select(*df.columns)
     order = [c for c in applied_order(df, key, order_by) if c not in key]
     rest = [c for c in df.columns if c not in key and c not in order]
     if not order:
@@ -77,6 +85,27 @@ def dedup(
     )
 
 
+def _dedup_by_place(
+    rows: DataFrame, key: Sequence[str], order_by: Sequence[str], keep: str
+) -> DataFrame:
+    """The place of each key's row is found over key, order and place alone.
+
+    Whole rows only meet the keys that repeat: where these are few, they are broadcast at
+    run time and the rows stay where they are.
+    """
+    order = [*(c for c in order_by if c not in key and c != POSITION), POSITION]
+    place = F.struct(*order)
+    pick = F.max(place) if keep == "last" else F.min(place)
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), pick.alias("__row"))
+    several = counted.where(F.col("__n") > 1).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)],
+        F.col("__row").getField(POSITION).alias("__kept"),
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)]
+    found = rows.join(several, reduce(lambda a, b: a & b, same), "left")
+    return found.where(F.col("__kept").isNull() | (F.col("__kept") == F.col(POSITION)))
+
+
 def count_writes(
     source: DataFrame,
     target: DataFrame,

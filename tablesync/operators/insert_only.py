@@ -7,15 +7,16 @@ Order matters only inside the source, so the work is done in three steps:
 
 1. anti-joins against the target, one per key;
 2. candidates that share no key value with another candidate are accepted;
-3. the contested rest is settled in rounds of aggregates and equi-joins over a few
-   longs per row. A row depends on the undecided rows before it that hold one of its
-   values. Without such a row it is accepted; with exactly one, it is accepted if that
-   one is not. These single dependencies form trees, which pointer doubling settles
-   whole, so a chain of any length takes a logarithmic number of joins. Rows that share
-   a value with an accepted one drop out, and the next round sees what is left.
-
-The first undecided row of all is always accepted, so rounds end. No row is dropped or
-capped, and the steps are the same at every size.
+3. the contested rest becomes one table of incidences, a group (a key and one of its
+   values) and a position each, whatever the number and types of the keys. Rounds of one
+   aggregate by group and one by position settle it: rows that come first in all their
+   groups win, and the rows of a group with a winner go.
+
+A row depends on the undecided rows before it in its groups. Where a round decides only a
+few, single dependencies are followed too: they form trees, which pointer doubling settles
+whole, so a chain of any length takes a logarithmic number of joins.
+
+The first undecided row of all always wins, so rounds end. No row is dropped or capped.
 """
 
 from __future__ import annotations
@@ -72,13 +73,6 @@ def _unsalted(values: DataFrame, columns: Sequence[str], *more: str) -> DataFram
     return values.where(~any_null(columns)).select(*columns, *more, zero.alias("__salt"))
 
 
-def looked_up(rows: DataFrame, values: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
-    """Rows with the columns ``more`` of the value row that equals them, or NULL."""
-    left = rows.withColumn("__salt", _salt(rows, columns))
-    right = _unsalted(values, columns, *more)
-    return left.join(right, [*columns, "__salt"], "left").select(*rows.columns, *more)
-
-
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not f.dataType.simpleString().startswith("map")]
 
@@ -107,99 +101,116 @@ def accepted_rows(
     candidates = clash_free(source, target, keys, narrow)
     if len(keys) == 1:
         return dedup(candidates, key, order_by, keep="first")
-    candidates = scratch.write(candidates, "candidates")
-    repeated = [scratch.write(_repeated(candidates, k), "repeated") for k in keys]
-    if all(values.isEmpty() for values in repeated):
-        return candidates
-    marked = _marked(candidates, keys, repeated)
-    free = marked.where("NOT __contested").select(*candidates.columns)
-    rows = _numbered(
-        marked.where("__contested").select(*candidates.columns), key, order_by, scratch
-    )
-    winners = _settle(_coded(rows, keys), len(keys), scratch)
-    chosen = rows.join(winners, "__pos", "left_semi").select(*candidates.columns)
-    return free.unionByName(chosen)
-
-
-def _repeated(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Values of one key that more than one row holds."""
-    held = rows.where(~any_null(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-    return held.where(F.col("__n") > 1).select(*columns)
-
-
-def _marked(
-    rows: DataFrame, keys: Sequence[Sequence[str]], repeated: Sequence[DataFrame]
+    numbered = candidates.withColumn("__id", F.monotonically_increasing_id())
+    numbered = scratch.write(numbered, "candidates")  # written, the numbers are fixed
+    contested = _contested(numbered, keys, scratch)
+    if contested is None:
+        return numbered.drop("__id")
+    rows = numbered.join(contested, "__id", "left_semi")
+    rows = _ordered(rows, keys, applied_order(candidates, key, order_by), scratch)
+    losers = _losers(_incidences(rows, keys), scratch)
+    lost = rows.join(losers, "__pos", "left_semi").select("__id")
+    return numbered.join(lost, "__id", "left_anti").select(*candidates.columns)
+
+
+def _contested(
+    rows: DataFrame, keys: Sequence[Sequence[str]], scratch: Scratch
+) -> DataFrame | None:
+    """Numbers of the rows that may share a key value with another row, or None.
+
+    Values are told apart by one long, so that all keys go through one aggregate. Two
+    values with one hash only send a row to the rounds that need not go there.
+    """
+    names = [f"__h{i}" for i in range(len(keys))]
+    hashes = [
+        F.when(~any_null(k), F.xxhash64(F.lit(i), *k)).alias(names[i]) for i, k in enumerate(keys)
+    ]
+    held = rows.select("__id", *hashes).unpivot("__id", names, "__key", "__hash")
+    held = held.where("__hash IS NOT NULL").select("__id", "__hash")
+    counted = held.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n"))
+    repeated = scratch.write(counted.where(F.col("__n") > 1).select("__hash"), "repeated")
+    if repeated.isEmpty():
+        return None
+    found = held.join(repeated, "__hash", "left_semi").select("__id").distinct()
+    return scratch.write(found, "contested_ids")
+
+
+def _ordered(
+    rows: DataFrame, keys: Sequence[Sequence[str]], order: Sequence[str], scratch: Scratch
 ) -> DataFrame:
-    """Flag rows that share some key value with another row."""
-    marked = rows.withColumn("__contested", F.lit(False))
-    for columns, values in zip(keys, repeated):
-        marked = looked_up(marked, values.withColumn("__hit", F.lit(True)), columns, "__hit")
-        hit = F.col("__contested") | F.col("__hit").isNotNull()
-        marked = marked.withColumn("__contested", hit).drop("__hit")
-    return marked
+    """Numbers, keys and place in source order, as one long, of some rows.
+
+    Repeats of a whole row follow each other and lose against the first. The range sort
+    places rows in order; written once, the places are fixed.
+    """
+    columns = list(dict.fromkeys(c for k in keys for c in k))
+    placed = rows.orderBy(*order).withColumn("__pos", F.monotonically_increasing_id())
+    return scratch.write(placed.select("__id", "__pos", *columns), "contested")
 
 
-def _numbered(
-    rows: DataFrame, key: Sequence[str], order_by: Sequence[str], scratch: Scratch
-) -> DataFrame:
-    """Rows with their place in source order as one long.
+def _incidences(rows: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """(__group, __pos): groups of several rows, of all keys in one table.
 
-    Repeats of a whole row lose against their first copy, so they go first. The
-    range sort numbers rows in order; written once, the numbers are fixed.
+    A group is named by its first row and the number of its key, so whatever types keys
+    have, rounds only handle longs.
     """
-    ordered = rows.dropDuplicates().orderBy(*applied_order(rows, key, order_by))
-    return scratch.write(ordered.withColumn("__pos", F.monotonically_increasing_id()), "contested")
+    parts = []
+    for i, k in enumerate(keys):
+        held = rows.where(~any_null(k)).select("__pos", *k)
+        groups = held.groupBy(*k).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
+        number = (F.col("__first") * len(keys) + i).alias("__group")
+        groups = groups.where(F.col("__n") > 1).select(*k, number)
+        parts.append(held.join(groups, list(k)).select("__group", "__pos"))
+    return reduce(DataFrame.unionAll, parts)
 
 
-def _coded(rows: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
-    """``__pos`` and, per key, the first position holding the same value (or NULL)."""
-    coded = rows
-    for i, columns in enumerate(keys):
-        first = (
-            rows.where(~any_null(columns)).groupBy(*columns).agg(F.min("__pos").alias(f"__v{i}"))
-        )
-        coded = looked_up(coded, first, columns, f"__v{i}")
-    return coded.select("__pos", *[f"__v{i}" for i in range(len(keys))])
+# A round that leaves more than this share of its rows is followed by one that also follows
+# single dependencies.
+SLOW = 0.75
 
 
-def _settle(rows: DataFrame, n_keys: int, scratch: Scratch) -> DataFrame:
-    """Positions of the accepted rows among coded rows."""
-    names = [f"__v{i}" for i in range(n_keys)]
+def _losers(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Positions, among incidences, of the rows that are not accepted."""
     undecided = scratch.write(rows, "undecided")
-    left = undecided.count()
-    accepted: list[DataFrame] = []
+    left, slow = undecided.count(), False
+    lost: list[DataFrame] = [undecided.select("__pos").limit(0)]
     while left:
-        decided = _decided(scratch.write(_dependencies(undecided, names), "dependencies"), scratch)
-        won = decided.where("wins").select("__pos")
-        winners = scratch.write(undecided.join(won, "__pos", "left_semi"), "winners")
-        accepted.append(winners.select("__pos"))
-        rest = undecided.join(decided.select("__pos"), "__pos", "left_anti")
-        rest = clash_free(rest, winners, [(name,) for name in names])
-        undecided = scratch.write(rest, "undecided")
+        marked = _dependencies(undecided)
+        if slow:
+            decided = _decided(scratch.write(marked, "dependencies"), scratch)
+            winners = decided.where("wins").select("__pos")
+        else:
+            winners = marked.where("up IS NULL").select("__pos")
+        winners = scratch.write(winners, "winners")
+        taken = undecided.join(winners, "__pos", "left_semi").select("__group").distinct()
+        gone = undecided.join(taken, "__group", "left_semi").select("__pos").distinct()
+        gone = scratch.write(gone, "gone")
+        lost.append(gone.join(winners, "__pos", "left_anti"))
+        undecided = scratch.write(undecided.join(gone, "__pos", "left_anti"), "undecided")
         before, left = left, undecided.count()
-        log.info("insert-only: %d contested rows left of %d", left, before)
-    return reduce(DataFrame.unionByName, accepted)
+        slow = left > SLOW * before
+        log.info("insert-only: %d incidences left of %d", left, before)
+    return reduce(DataFrame.unionByName, lost)
 
 
-def _dependencies(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+def _dependencies(rows: DataFrame) -> DataFrame:
     """(__pos, up, several): the one row each row depends on, or that there are several.
 
-    Within the holders of a value, the first depends on nobody, the second on the first,
-    and every later one on several.
+    In a group the first row depends on nobody, the second on the first, and every later
+    one on several.
     """
-    found = rows.withColumns({"up": F.lit(None).cast("long"), "several": F.lit(False)})
-    for name in names:
-        first = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.min("__pos").alias("__first"))
-        marked = looked_up(rows, first, [name], "__first")
-        later = marked.where("__pos > __first").groupBy(name).agg(F.min("__pos").alias("__second"))
-        found = looked_up(looked_up(found, first, [name], "__first"), later, [name], "__second")
-        mine = F.when(F.col("__pos") > F.col("__first"), F.col("__first"))
-        third = F.coalesce(F.col("__pos") > F.col("__second"), F.lit(False))
-        clash = F.coalesce(F.col("up") != mine, F.lit(False))
-        found = found.withColumns(
-            {"several": F.col("several") | third | clash, "up": F.coalesce("up", mine)}
-        ).drop("__first", "__second")
-    return found.select("__pos", "up", "several")
+    first = rows.groupBy("__group").agg(F.min("__pos").alias("__first"))
+    marked = rows.join(first, "__group")
+    later = marked.where("__pos > __first").groupBy("__group").agg(F.min("__pos").alias("__second"))
+    marked = marked.join(later, "__group", "left")
+    above = F.when(F.col("__pos") > F.col("__first"), F.col("__first"))
+    found = marked.groupBy("__pos").agg(
+        F.min(above).alias("up"),
+        F.max(above).alias("__other"),
+        F.coalesce(F.max(F.col("__pos") > F.col("__second")), F.lit(False)).alias("__third"),
+    )
+    several = F.col("__third") | F.coalesce(F.col("up") != F.col("__other"), F.lit(False))
+    return found.select("__pos", "up", several.alias("several"))
 
 
 def _decided(rows: DataFrame, scratch: Scratch) -> DataFrame:

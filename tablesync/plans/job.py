@@ -30,6 +30,7 @@ from tablesync.operators.duplicates import count_writes, dedup, repeated_keys
 from tablesync.operators.insert_only import accepted_rows
 from tablesync.operators.keys import high_water_map
 from tablesync.operators.merge import change_set, pruned_rows
+from tablesync.operators.position import POSITION, with_position
 from tablesync.operators.prune import prune_keep
 from tablesync.operators.schema import SchemaDiff, evolved, schema_diff
 from tablesync.operators.watermark import Watermark, applicable, read_since, read_summary
@@ -201,15 +202,16 @@ class Run:
         options, key = self.options, self.pointer.key
         column = options.incremental_col
         bound = applicable(self.pointer.watermark, column, options.full_refresh) if column else None
-        part = self.source
+        part = with_position(self.source)
         if column and not self.take_late_rows:
             part = read_since(part, column, bound)
         if bound is not None or self.partial or not reads_alike(part):
-            part = scratch.write(part, "increment")  # checks and merge see the same rows
+            # checks and merge see the same rows, in the order they were read
+            part = with_position(scratch.write(part, "increment"))
             if bound is None and not self.partial:
                 self.source = part
         read = read_summary(part, key, column, bound)
-        rows = coerce_to(part, schema)
+        rows = _placed(part, schema)
         if read.null_keys:
             self._refuse_null_keys(rows)
         repeated = self._repeated_keys(rows, scratch)
@@ -232,7 +234,8 @@ class Run:
             )
             self._check_unique(changes, single, schema)
             counts = dict(changes.groupBy(OP).count().collect())
-            staged = self.target.stage(self.pointer, schema, changes, counts, rows.columns)
+            given = [c for c in rows.columns if c != POSITION]
+            staged = self.target.stage(self.pointer, schema, changes, counts, given)
 
         affected = counts.get(INSERT, 0) + counts.get(UPDATE, 0)
         if repeated is not None and not options.insert_only and options.on_duplicate == "last":
@@ -267,9 +270,14 @@ class Run:
         return {c: max(known[c], new[c]) for c in columns}
 
     def _order(self, rows: DataFrame) -> list[str]:
+        """The declared order, else the incremental column; then the order of reading."""
         names = [*self.spec.order_by]
         if not names and self.options.incremental_col in rows.columns:
             names = [self.options.incremental_col]
+        if POSITION in names and POSITION not in rows.columns:
+            raise ValueError(f"rows of {self.spec.name} have no place in files to order them by")
+        if POSITION in rows.columns and POSITION not in names:
+            names.append(POSITION)
         return names
 
     def _refuse_null_keys(self, rows: DataFrame) -> None:
@@ -385,6 +393,12 @@ class Run:
         return staged.version
 
 
+def _placed(part: DataFrame, schema: T.StructType) -> DataFrame:
+    """Coerced rows that keep their place in the source, where they have one."""
+    place = [part.schema[POSITION]] if POSITION in part.columns else []
+    return coerce_to(part, T.StructType([*schema.fields, *place]))
+
+
 def _complete(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """All target columns; those the source lacks are NULL."""
     present = set(rows.columns)

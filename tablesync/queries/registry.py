@@ -460,6 +460,18 @@ def dedup_last(spark, sf):
     return rows.select(*_LINE_COLUMNS.split(", "))
 
 
+@query(
+    "dedup_last_in_scan_order",
+    f"""SELECT {_LINE_COLUMNS} FROM (
+          SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY pos DESC) AS n
+          FROM (SELECT *, row_number() OVER () AS pos FROM lineitem)) WHERE n = 1""",
+)
+def dedup_last_in_scan_order(spark, sf):
+    """No order is declared: of the rows of a key the one read last stays."""
+    rows = duplicates.dedup(table(spark, sf, "lineitem"), LINE_KEY)
+    return rows.select(*_LINE_COLUMNS.split(", "))
+
+
 @query(
     "applied_writes",
     """SELECT CAST(sum(CASE

@@ -13,6 +13,8 @@ TRUE_WORDS = ("1", "t", "true", "y", "yes", "on")
 
 # Column names with this prefix are used while joining and are refused in tables.
 RESERVED_PREFIX = "__"
+# In ``order_by``: the place of a row in the files it is read from.
+SCAN_ORDER = "__scan"
 
 DUPLICATE_POLICIES = ("last", "first", "error")
 UNIQUE_CHECKS = ("final", "strict")
@@ -50,7 +52,8 @@ class TableSpec:
     constraints of the target (Spark cannot discover them). ``identity`` names key
     columns fed by an allocator, ``declared_types`` holds the declared type text
     of source columns, and ``order_by`` is the order in which source rows count as
-    applied when several rows share a key.
+    applied when several rows share a key. Rows it does not tell apart count in the order
+    they are read, where that is known; ``SCAN_ORDER`` names that order itself.
     """
 
     name: str
@@ -89,7 +92,7 @@ class TableSpec:
         Columns of unique keys may be missing: they keep their values, NULL in new rows.
         """
         check_columns(schema)
-        wanted = [*self.key, *self.order_by]
+        wanted = [*self.key, *(c for c in self.order_by if c != SCAN_ORDER)]
         absent = sorted({c for c in wanted if c not in schema.names})
         if absent:
             raise ValueError(f"columns not in the source of {self.name}: {absent}")
