@@ -74,15 +74,16 @@ def to_target(value: Column, source: T.DataType, target: T.DataType) -> Column:
     return value.cast(target)
 
 
-def coerce_to(source: DataFrame, target: T.StructType) -> DataFrame:
-    """Source columns the target also has, in target order, in target types."""
+def coerce_to(source: DataFrame, target: T.StructType, *more: Column) -> DataFrame:
+    """Source columns the target also has, in target order and types, and ``more`` as they are."""
     types = {f.name: f.dataType for f in source.schema.fields}
     return source.select(
         *[
             to_target(F.col(_quoted(f.name)), types[f.name], f.dataType).alias(f.name)
             for f in target.fields
             if f.name in types
-        ]
+        ],
+        *more,
     )
 
 

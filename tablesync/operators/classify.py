@@ -59,8 +59,8 @@ def differs(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, parts, F.lit(False)) if parts else F.lit(False)
 
 
-def source_side(source: DataFrame, target: DataFrame) -> DataFrame:
-    return source.select(*shared_columns(source, target), F.lit(True).alias(IN_SOURCE))
+def source_side(source: DataFrame, target: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    return source.select(*shared_columns(source, target), *carried, F.lit(True).alias(IN_SOURCE))
 
 
 def target_side(target: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -80,10 +80,15 @@ def op_of(compared: Sequence[str]) -> Column:
     )
 
 
-def classify(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Whole source against whole target: one exchange per side."""
+def classify(
+    source: DataFrame, target: DataFrame, key: Sequence[str], carried: Sequence[str] = ()
+) -> DataFrame:
+    """Whole source against whole target: one exchange per side.
+
+    ``carried`` names source columns that come along without being compared.
+    """
     compared = compared_columns(source, target, key)
-    left = source_side(source, target)
+    left = source_side(source, target, carried)
     right = target_side(target, key, target.columns)
     return left.join(right, list(key), "full_outer").withColumn(OP, op_of(compared))
 

@@ -46,6 +46,16 @@ def repeated_keys(df: DataFrame, key: Sequence[str], scratch: Scratch) -> DataFr
     return None if found.isEmpty() else found
 
 
+def first_two(df: DataFrame, key: Sequence[str], nth: str) -> DataFrame:
+    """Two rows of each key at most, numbered in ``nth``: a 2 tells that keys repeat.
+
+    The limit holds on both sides of the exchange, so a hot key sends two rows a task. The
+    exchange and the order are those a join by key needs.
+    """
+    numbered = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    return df.withColumn(nth, numbered).where(F.col(nth) <= 2)
+
+
 def applied_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> list[str]:
     """Columns that order source rows: the declared order, then key, then the rest.
 

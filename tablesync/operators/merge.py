@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,15 +47,19 @@ def change_set(
     key: Sequence[str],
     prune: bool = False,
     all_keys: DataFrame | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Only the rows to write: their op (column ``OP``) plus the full target row.
 
     ``source`` is the whole source unless ``all_keys`` is given; then it is a part
     of it and ``all_keys`` holds the keys of the whole source, which prune needs.
+    ``watch`` sees all rows of a whole comparison, with the ``carried`` source columns.
     """
     if all_keys is None:
         wanted = (INSERT, UPDATE, KEEP) if prune else (INSERT, UPDATE)
-        rows = classify(source, target, key).where(F.col(OP).isin(*wanted))
+        rows = classify(source, target, key, carried)
+        rows = (watch(rows) if watch else rows).where(F.col(OP).isin(*wanted))
         op = F.when(F.col(OP) == KEEP, PRUNE).otherwise(F.col(OP)).alias(OP)
         return rows.select(op, *merged_columns(source, target, key))
     rows = classify_part(source, target, key).where(F.col(OP).isin(INSERT, UPDATE))

@@ -26,9 +26,10 @@ def with_position(df: DataFrame) -> DataFrame:
         return df
     try:
         hidden = df.metadataColumn("_metadata")
-        place = F.struct(
-            hidden.getField("file_path").alias("file"), hidden.getField("row_index").alias("row")
-        )
-        return df.select("*", place.alias(POSITION))
+        row = hidden.getField("row_index").alias("row")
+        placed = df.select("*", F.struct(hidden.getField("file_path").alias("file"), row).alias(POSITION))
+        if len(df.inputFiles()) > 1:
+            return placed
+        return df.select("*", F.struct(F.lit("").alias("file"), row).alias(POSITION))  # short
     except AnalysisException:
         return df

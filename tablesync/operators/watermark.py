@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +77,27 @@ class ReadSummary:
     watermark: Watermark | None
 
 
+def summary_figures(
+    key: Sequence[str], column: str | None, kind: T.DataType | None, bound: Watermark | None,
+    counted: Column | None = None,
+) -> list[Column]:
+    """Aggregates that make up a summary; only rows that ``counted`` holds for count."""
+    counted = F.lit(True) if counted is None else counted
+    figures = [
+        F.count_if(counted).alias("n"),
+        F.count_if(counted & any_null(key)).alias("nulls"),
+    ]
+    if column:
+        figures.append(watermark_text(_highest(column, bound), kind).alias("top"))
+    return figures
+
+
+def summary_of(figures: Mapping, column: str | None, kind: T.DataType | None) -> ReadSummary:
+    top = figures["top"] if column else None
+    mark = Watermark(column, kind.simpleString(), top) if top is not None else None
+    return ReadSummary(figures["n"], figures["nulls"], mark)
+
+
 def read_summary(
     source: DataFrame, key: Sequence[str], column: str | None, bound: Watermark | None
 ) -> ReadSummary:
@@ -85,14 +106,6 @@ def read_summary(
     Run this before the rows are read: a row that reaches a live source in between
     is then read again next time instead of being lost below the watermark.
     """
-    figures = [
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(any_null(key)).alias("nulls"),
-    ]
     kind = source.schema[column].dataType if column else None
-    if column:
-        figures.append(watermark_text(_highest(column, bound), kind).alias("top"))
-    row = source.agg(*figures).first()
-    top = row["top"] if column else None
-    mark = Watermark(column, kind.simpleString(), top) if top is not None else None
-    return ReadSummary(row["n"], row["nulls"], mark)
+    row = source.agg(*summary_figures(key, column, kind, bound)).first()
+    return summary_of(row.asDict(), column, kind)

@@ -9,16 +9,18 @@ last step, so any error leaves rows, columns and watermark as they were.
 from __future__ import annotations
 
 import logging
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.coerce import coerce_to, require_ansi
-from tablesync.operators.classify import INSERT, OP, PRUNE, UPDATE
+from tablesync.operators.classify import IN_SOURCE, INSERT, KEEP, OP, PRUNE, UPDATE
 from tablesync.operators.constraints import (
     any_null,
     null_key_rows,
@@ -26,14 +28,22 @@ from tablesync.operators.constraints import (
     unique_violations,
     unique_violations_in_order,
 )
-from tablesync.operators.duplicates import count_writes, dedup, repeated_keys
+from tablesync.operators.duplicates import count_writes, dedup, first_two, repeated_keys
 from tablesync.operators.insert_only import accepted_rows
 from tablesync.operators.keys import high_water_map
 from tablesync.operators.merge import change_set, pruned_rows
 from tablesync.operators.position import POSITION, with_position
 from tablesync.operators.prune import prune_keep
 from tablesync.operators.schema import SchemaDiff, evolved, schema_diff
-from tablesync.operators.watermark import Watermark, applicable, read_since, read_summary
+from tablesync.operators.watermark import (
+    ReadSummary,
+    Watermark,
+    applicable,
+    read_since,
+    read_summary,
+    summary_figures,
+    summary_of,
+)
 from tablesync.plans.report import SyncReport, report_rows
 from tablesync.session import Scratch
 from tablesync.sources.readers import reads_alike
@@ -44,6 +54,7 @@ from tablesync.spec import SyncOptions, TableSpec, plain_name, safe_name
 log = logging.getLogger(__name__)
 
 SHOWN_KEYS = 20
+NTH, TOP = "__nth", "__top"
 
 Target = SnapshotTarget | RelationalTarget
 
@@ -210,30 +221,36 @@ class Run:
             part = with_position(scratch.write(part, "increment"))
             if bound is None and not self.partial:
                 self.source = part
-        read = read_summary(part, key, column, bound)
         rows = _placed(part, schema)
-        if read.null_keys:
-            self._refuse_null_keys(rows)
-        repeated = self._repeated_keys(rows, scratch)
+        loaded = bool(self.pointer.live or self.pointer.deltas)
+        whole = bound is None and not self.partial
+        passed = None
+        if loaded and whole and not options.insert_only:
+            passed = self._in_one_pass(part, rows, schema, scratch)
         order = self._order(rows)
-        single = rows
-        if repeated is not None and not options.insert_only:
-            keep = "first" if options.on_duplicate == "first" else "last"
-            several = rows.join(repeated.select(*key), list(key), "left_semi")
-            others = rows.join(repeated.select(*key), list(key), "left_anti")
-            single = others.unionByName(dedup(several, key, order, keep)).select(*rows.columns)
-
-        if not (self.pointer.live or self.pointer.deltas or options.insert_only):
-            changes = None
-            self._check_first_load(single)
-            staged = self.target.stage_first(self.pointer, schema, _complete(single, schema))
-            counts = {INSERT: self.target.rows(staged).count()}
+        repeated, single = None, rows
+        if passed is None and not (loaded or options.insert_only):
+            passed = self._first_load(part, rows, schema, scratch)
+        if passed is None:
+            read = read_summary(part, key, column, bound)
+            if read.null_keys:
+                self._refuse_null_keys(rows)
+            repeated = self._repeated_keys(rows, scratch)
+            if repeated is not None and not options.insert_only:
+                single = self._single(rows, repeated, order)
+            if not (loaded or options.insert_only):
+                changes = None
+                staged = self._stage_first(single, schema)
+                counts = {INSERT: self.target.rows(staged).count()}
+            else:
+                changes = scratch.write(
+                    self._changes(rows, single, schema, scratch, bound), "changes"
+                )
+                counts = dict(changes.groupBy(OP).count().collect())
         else:
-            changes = scratch.write(
-                self._changes(rows, single, schema, scratch, bound), "changes"
-            )
+            read, changes, counts, staged = passed
+        if changes is not None:
             self._check_unique(changes, single, schema)
-            counts = dict(changes.groupBy(OP).count().collect())
             given = [c for c in rows.columns if c != POSITION]
             staged = self.target.stage(self.pointer, schema, changes, counts, given)
 
@@ -257,6 +274,72 @@ class Run:
             version=version,
         )
 
+    def _single(self, rows: DataFrame, repeated: DataFrame, order: list[str]) -> DataFrame:
+        """One row per key; only keys that repeat go through de-duplication."""
+        key = list(self.pointer.key)
+        keep = "first" if self.options.on_duplicate == "first" else "last"
+        several = rows.join(repeated.select(*key), key, "left_semi")
+        others = rows.join(repeated.select(*key), key, "left_anti")
+        return others.unionByName(dedup(several, key, order, keep)).select(*rows.columns)
+
+    def _in_one_pass(
+        self, part: DataFrame, rows: DataFrame, schema: T.StructType, scratch: Scratch
+    ) -> tuple[ReadSummary, DataFrame, dict[str, int], None] | None:
+        """Compare the whole source and learn what it holds while changes are written.
+
+        Figures are observed behind the join, in the tasks that write, so tasks that run
+        again do not count twice. None when keys repeat: what was written is then dropped
+        with the run's other tables, and rows are de-duplicated first.
+        """
+        key, column, prune = self.pointer.key, self.options.incremental_col, self.options.prune
+        kind = part.schema[column].dataType if column else None
+        watched, carried = rows, []
+        if column:
+            watched, carried = _placed(part, schema, F.col(column).alias(TOP)), [TOP]
+        unique = self.options.source_key_is_unique
+        if not unique:
+            watched, carried = first_two(watched, key, NTH), [*carried, NTH]
+        figures = summary_figures(key, TOP if column else None, kind, None, F.col(IN_SOURCE))
+        figures += [F.count_if(F.col(OP) == op).alias(op) for op in (INSERT, UPDATE, KEEP)]
+        figures += [] if unique else [F.max(NTH).alias("most")]
+        seen = Observation()
+        current = self.target.rows(replace(self.pointer, schema=schema))
+        changes = change_set(
+            watched, current, key, prune, None, lambda df: df.observe(seen, *figures), carried
+        )
+        changes = scratch.write(changes, "changes")
+        found = _figures(seen)
+        read = summary_of(found, column, kind)
+        if read.null_keys:
+            self._refuse_null_keys(rows)
+        if (found["most"] or 0) > 1:
+            return None
+        counts = {op: found[op] for op in (INSERT, UPDATE)}
+        counts[PRUNE] = found[KEEP] if prune else 0
+        return read, changes, {op: n for op, n in counts.items() if n}, None
+
+    def _first_load(
+        self, part: DataFrame, rows: DataFrame, schema: T.StructType, scratch: Scratch
+    ) -> tuple[ReadSummary, None, dict[str, int], Pointer] | None:
+        """Fill an empty table, or None when keys repeat."""
+        key, column = self.pointer.key, self.options.incremental_col
+        if self._repeated_keys(rows, scratch) is not None:
+            return None
+        kind = part.schema[column].dataType if column else None
+        watched = _placed(part, schema, F.col(column).alias(TOP)) if column else rows
+        seen = Observation()
+        watched = watched.observe(seen, *summary_figures(key, TOP if column else None, kind, None))
+        staged = self._stage_first(watched, schema)
+        read = summary_of(_figures(seen), column, kind)
+        if read.null_keys:
+            self._refuse_null_keys(rows)
+        n = self.target.rows(staged).count()  # exact whatever ran twice
+        return replace(read, rows=n), None, {INSERT: n}, staged
+
+    def _stage_first(self, single: DataFrame, schema: T.StructType) -> Pointer:
+        self._check_first_load(single)
+        return self.target.stage_first(self.pointer, schema, _complete(single, schema))
+
     def _high_water(
         self, staged: Pointer, counts: dict[str, int], changes: DataFrame | None
     ) -> dict[str, int]:
@@ -393,10 +476,23 @@ class Run:
         return staged.version
 
 
-def _placed(part: DataFrame, schema: T.StructType) -> DataFrame:
+def _figures(seen: Observation) -> defaultdict[str, object]:
+    """What was observed; maxima that were not asked for are None.
+
+    Over a plan that Spark knows to be empty it does not observe: then all is zero or None.
+    """
+    found: defaultdict[str, object] = defaultdict(lambda: None)
+    try:
+        found.update(seen.get)
+    except Py4JJavaError:
+        found.update({name: 0 for name in ("n", "nulls", INSERT, UPDATE, KEEP)})
+    return found
+
+
+def _placed(part: DataFrame, schema: T.StructType, *more: Column) -> DataFrame:
     """Coerced rows that keep their place in the source, where they have one."""
     place = [part.schema[POSITION]] if POSITION in part.columns else []
-    return coerce_to(part, T.StructType([*schema.fields, *place]))
+    return coerce_to(part, T.StructType([*schema.fields, *place]), *more)
 
 
 def _complete(rows: DataFrame, schema: T.StructType) -> DataFrame:
