@@ -30,11 +30,11 @@ LENGTH = 50
 SHORT = 20
 REACH = LENGTH - SHORT + 1
 # Texts are kept in blocks of about so many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # Text bytes whose names meet in one group, on average.
 BUCKET_BYTES = 4 << 20
 # Windows worked on at once, and those of them that fit a processor's cache.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 SLICE = 1 << 15
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 SHORT_BITS, RUN_BITS = np.uint64(28), np.uint64(36)
