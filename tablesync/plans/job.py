@@ -9,10 +9,11 @@ last step, so any error leaves rows, columns and watermark as they were.
 from __future__ import annotations
 
 import logging
+import time
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,6 +35,7 @@ from tablesync.operators.keys import high_water_map
 from tablesync.operators.merge import change_set, pruned_rows
 from tablesync.operators.position import POSITION, with_position
 from tablesync.operators.prune import prune_keep
+from tablesync.operators.references import levels, orphan_rows
 from tablesync.operators.schema import SchemaDiff, evolved, schema_diff
 from tablesync.operators.watermark import (
     ReadSummary,
@@ -58,6 +60,11 @@ NTH, TOP = "__nth", "__top"
 
 Target = SnapshotTarget | RelationalTarget
 
+# Steps of a run, told as each is done: changes are known, rows and columns are written but
+# not visible, key maxima are known, the version is published.
+COMPARED, STAGED, KEYS_KNOWN, PUBLISHED = "compared", "staged", "keys known", "published"
+STEPS = (COMPARED, STAGED, KEYS_KNOWN, PUBLISHED)
+
 
 class ConstraintError(Exception):
     """A source that breaks a constraint of the target; nothing was published."""
@@ -73,15 +80,22 @@ def sync_table(
     source: DataFrame,
     target: Target,
     options: SyncOptions | None = None,
+    parents: Mapping[str, Target] | None = None,
+    on_step: Callable[[str], None] | None = None,
 ) -> SyncReport:
-    """Make an existing target match a source by key."""
+    """Make an existing target match a source by key.
+
+    ``parents`` has the target of every table that the spec's references name. ``on_step``
+    is told each of ``STEPS`` as it is done; an error it raises ends the run there.
+    """
     pointer = target.pointer()
     if pointer is None:
         raise ValueError(f"target table does not exist: {spec.name}")
     spec, source = safe_names(spec, source, target)
     if set(pointer.key) != set(spec.key):
         raise ValueError(f"key of {spec.name} is {pointer.key}, not {spec.key}")
-    return Run(spark, spec, source, target, options or SyncOptions(), pointer).execute()
+    run = Run(spark, spec, source, target, options or SyncOptions(), pointer)
+    return replace(run, parents=parents or {}, on_step=on_step).execute()
 
 
 def safe_names(spec: TableSpec, source: DataFrame, target: Target) -> tuple[TableSpec, DataFrame]:
@@ -151,6 +165,8 @@ class Run:
     partial: bool = False
     batch: tuple[str, int] | None = None
     take_late_rows: bool = False
+    parents: Mapping[str, Target] = field(default_factory=dict)
+    on_step: Callable[[str], None] | None = None
 
     def execute(self) -> SyncReport:
         report = self._execute()
@@ -252,7 +268,10 @@ class Run:
         if changes is not None:
             self._check_unique(changes, single, schema)
             given = [c for c in rows.columns if c != POSITION]
+            self._done(COMPARED)
             staged = self.target.stage(self.pointer, schema, changes, counts, given)
+        self._check_references(single if changes is None else changes, staged)
+        self._done(STAGED)
 
         affected = counts.get(INSERT, 0) + counts.get(UPDATE, 0)
         if repeated is not None and not options.insert_only and options.on_duplicate == "last":
@@ -262,7 +281,9 @@ class Run:
         if options.sync_sequence and self.pointer.identity:
             sequences = self._high_water(staged, counts, changes)
             staged = replace(staged, high_water=sequences)
+        self._done(KEYS_KNOWN)
         version = self._publish(staged, read.watermark)
+        self._done(PUBLISHED)
         return replace(
             report,
             read_rows=read.rows,
@@ -452,6 +473,32 @@ class Run:
                     self.spec.name, f"unique {unique}", [tuple(r) for r in shown]
                 )
 
+    def _done(self, step: str) -> None:
+        if self.on_step:
+            self.on_step(step)
+
+    def _check_references(self, written: DataFrame, staged: Pointer) -> None:
+        """Rows about to be published name parents that are published, or in their own table."""
+        if OP in written.columns:
+            written = written.where(F.col(OP).isin(INSERT, UPDATE))
+        for reference in self.spec.references:
+            if not set(reference.columns) <= set(written.columns):
+                continue
+            if reference.parent == self.spec.name:
+                parent = self.target.rows(staged)
+            elif reference.parent in self.parents:
+                parent = self.parents[reference.parent].rows()
+            else:
+                raise ValueError(f"{self.spec.name}: no target is given for parent {reference.parent}")
+            bad = orphan_rows(written, parent, reference.columns, reference.parent_columns)
+            shown = bad.select(*self.pointer.key).limit(SHOWN_KEYS).collect()
+            if shown:
+                raise ConstraintError(
+                    self.spec.name,
+                    f"reference {reference.columns} to {reference.parent}",
+                    [tuple(r) for r in shown],
+                )
+
     def _writes(self, rows, repeated, schema, scratch, order, affected) -> int:
         """Affected rows when repeated keys are applied row by row."""
         key = list(self.pointer.key)
@@ -526,28 +573,63 @@ class RunResult:
         return 1 if any(r.error for r in self.reports) else 0
 
 
-def run_all(spark: SparkSession, jobs: Sequence[TableJob], parallel: int = 1) -> RunResult:
-    """Sync tables in the order given; one table's failure does not stop the others.
-
-    Refused prune stops the run before any table. ``parallel`` above one lets
-    independent tables share the cluster (set ``spark.scheduler.mode=FAIR``); keep
-    it at one when order matters, as for parents before children.
+def run_all(
+    spark: SparkSession,
+    jobs: Sequence[TableJob],
+    parallel: int = 1,
+    parents: Mapping[str, Target] | None = None,
+) -> RunResult:
+    """Sync tables, parents before children; one table's failure does not stop the others.
+
+    Tables go in levels by their references, in the order given inside a level. A child is
+    checked against what its parents have published by then, whether they succeeded or not;
+    ``parents`` has the targets of parents that are not part of the run. Refused prune stops
+    the run before any table. ``parallel`` above one lets the tables of a level share the
+    cluster (set ``spark.scheduler.mode=FAIR``). Reports keep the order given.
     """
     for job in jobs:
         job.options.check_prune()
+    targets = {**(parents or {}), **{job.spec.name: job.target for job in jobs}}
+    named: dict[str, list[str]] = {}
+    for job in jobs:
+        named.setdefault(job.spec.name, []).extend(r.parent for r in job.spec.references)
 
     def one(job: TableJob) -> SyncReport:
         try:
-            return sync_table(spark, job.spec, job.open_source(), job.target, job.options)
+            return sync_table(spark, job.spec, job.open_source(), job.target, job.options, targets)
         except Exception as error:  # a table's failure is a row of the report
             log.error("%s failed: %s", job.spec.name, error)
             mode = "incremental" if job.options.incremental_col else "full"
             return SyncReport(table=job.spec.name, mode=mode, error=str(error))
 
-    if parallel <= 1:
-        return RunResult(tuple(one(job) for job in jobs))
-    with ThreadPoolExecutor(parallel) as pool:
-        return RunResult(tuple(pool.map(one, jobs)))
+    reports: dict[int, SyncReport] = {}
+    for level in levels(named):
+        mine = [i for i, job in enumerate(jobs) if job.spec.name in level]
+        if parallel <= 1:
+            reports |= {i: one(jobs[i]) for i in mine}
+        else:
+            with ThreadPoolExecutor(parallel) as pool:
+                reports |= dict(zip(mine, pool.map(one, [jobs[i] for i in mine])))
+    return RunResult(tuple(reports[i] for i in range(len(jobs))))
+
+
+def retried(run: Callable[[], SyncReport], attempts: int, wait: float = 0) -> SyncReport:
+    """Start a run again when it fails: a failed run published all of its version or none.
+
+    A broken constraint, a refused option or a source that does not fit would fail again and
+    is raised at once. ``run`` is called anew each time, so it sees what was published.
+    """
+    for left in range(attempts - 1, -1, -1):
+        try:
+            return run()
+        except (ConstraintError, ValueError, TypeError, PermissionError):
+            raise
+        except Exception as error:
+            if not left:
+                raise
+            log.warning("run failed, %d attempts left: %s", left, error)
+            time.sleep(wait)
+    raise ValueError("attempts must be at least 1")
 
 
 def run_report(spark: SparkSession, result: RunResult) -> DataFrame:

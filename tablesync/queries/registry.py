@@ -12,21 +12,33 @@ from tablesync.functions.coerce import coerce_to
 from tablesync.functions.declared_types import type_name_column
 from tablesync.functions.display import display_cells
 from tablesync.operators import classify as cl
-from tablesync.operators import constraints, duplicates, inspect, keys, merge, prune, schema
+from tablesync.operators import (
+    constraints,
+    duplicates,
+    inspect,
+    keys,
+    merge,
+    prune,
+    references,
+    schema,
+)
 from tablesync.operators.insert_only import accepted_rows
 from tablesync.operators.watermark import Watermark, read_since, watermark_max
 from tablesync.plans.job import (
+    STEPS,
     TableJob,
     link_sync,
+    retried,
     run_all,
     run_report,
     sync_table,
 )
 from tablesync.queries.inputs import INPUTS, table, with_inputs
 from tablesync.session import Scratch
+from tablesync.sources.bucketed import BucketedTarget
 from tablesync.sources.readers import full_scan
 from tablesync.sources.snapshot import SnapshotTarget
-from tablesync.spec import SyncOptions, TableSpec
+from tablesync.spec import Reference, SyncOptions, TableSpec
 from tablesync.streaming.runner import apply_batch, read_stream, run_available, stream_id_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,6 +512,35 @@ def applied_writes(spark, sf):
     )
 
 
+@query(
+    "orphan_rows",
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l
+       WHERE NOT EXISTS (SELECT 1 FROM orders_tgt o WHERE o.o_orderkey = l.l_orderkey)""",
+    ("orders_tgt",),
+)
+def orphan_rows(spark, sf):
+    """Line items whose order is gone."""
+    found = references.orphan_rows(
+        table(spark, sf, "lineitem"), table(spark, sf, "orders_tgt"), ("l_orderkey",), ORDERS.key
+    )
+    return found.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query(
+    "missing_parents",
+    """SELECT c_custkey AS o_custkey, count(*) AS n_rows FROM (
+         SELECT o_custkey AS c_custkey FROM orders) o
+       WHERE NOT EXISTS (SELECT 1 FROM customer_src c WHERE c.c_custkey = o.c_custkey)
+       GROUP BY c_custkey""",
+    ("customer_src",),
+)
+def missing_parents(spark, sf):
+    """Customers that orders name and the table lacks, with their orders."""
+    return references.missing_parents(
+        table(spark, sf, "orders"), table(spark, sf, "customer_src"), ("o_custkey",), CUSTOMER.key
+    )
+
+
 # -- values ----------------------------------------------------------------------------------
 
 _WORDS = "('1', 't', 'true', 'y', 'yes', 'on')"
@@ -719,6 +760,69 @@ def publish_upsert(spark, sf):
     return target.load()
 
 
+@query("publish_bucketed", _UPSERTED, ("orders_tgt",))
+def publish_bucketed(spark, sf):
+    """A target of bucketed tables: the stored side of a whole run is read in place."""
+    target = BucketedTarget(spark, Scratch(spark).path("orders"), buckets=QUERY_BUCKETS)
+    link_sync(spark, ORDERS, table(spark, sf, "orders_tgt"), target)
+    sync_table(spark, ORDERS, table(spark, sf, "orders"), target)
+    return target.load()
+
+
+@query(
+    "retry_after_failure",
+    f"""SELECT *, (SELECT CAST(max(o_orderdate) AS VARCHAR) FROM orders) AS watermark
+        FROM ({_UPSERTED})""",
+    ("orders_tgt",),
+)
+def retry_after_failure(spark, sf):
+    """Runs that break at each step of publishing, each started again, end like a clean one."""
+    target = _filled_target(spark, ORDERS, table(spark, sf, "orders_tgt"))
+    options = SyncOptions(incremental_col="o_orderdate", sync_sequence=True)
+    for broken in STEPS:
+        failures = [OSError(f"lost after: {broken}")]
+
+        def fail_once(step, broken=broken, failures=failures):
+            if step == broken and failures:
+                raise failures.pop()
+
+        def run(fail_once=fail_once):
+            given = table(spark, sf, "orders")
+            return sync_table(spark, ORDERS, given, target, options, on_step=fail_once)
+
+        retried(run, attempts=2)
+    stored = target.pointer().watermark.value
+    return target.load().withColumn("watermark", F.lit(stored))
+
+
+@query(
+    "run_parents_first",
+    """SELECT 'lineitem' AS "table", true AS failed, 0 AS n_rows
+       UNION ALL SELECT 'orders', false, count(*) FROM orders
+       UNION ALL SELECT 'customer', false, count(*) FROM customer""",
+)
+def run_parents_first(spark, sf):
+    """Given children first: parents are synced before, and a child without parents fails."""
+    lines = table(spark, sf, "lineitem").dropDuplicates(list(LINE_KEY))
+    lost = lines.withColumn("l_orderkey", -F.col("l_orderkey") - 1)
+    to_orders = Reference("l_orderkey", "orders", "o_orderkey")
+    to_customer = Reference("o_custkey", "customer", "c_custkey")
+    specs = {
+        "lineitem": TableSpec("lineitem", LINE_KEY, references=[to_orders]),
+        "orders": TableSpec("orders", ORDERS.key, references=[to_customer]),
+        "customer": TableSpec("customer", CUSTOMER.key),
+    }
+    rows = {"lineitem": lost, "orders": table(spark, sf, "orders"), "customer": table(spark, sf, "customer")}
+    jobs = []
+    for name, spec in specs.items():
+        target = _new_target(spark, name)
+        target.create(spec, rows[name].schema)
+        jobs.append(TableJob(spec, lambda name=name: rows[name], target))
+    result = run_all(spark, jobs)
+    found = [(r.table, r.error is not None, j.target.load().count()) for r, j in zip(result.reports, jobs)]
+    return spark.createDataFrame(found, "table string, failed boolean, n_rows long")
+
+
 @query(
     "publish_incremental",
     f"""SELECT {ORDER_COLUMNS} FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'

@@ -44,6 +44,28 @@ def _tuple(names: Iterable[str] | str) -> tuple[str, ...]:
     return (names,) if isinstance(names, str) else tuple(names)
 
 
+@dataclass(frozen=True)
+class Reference:
+    """Columns of a table that name a row of a parent table, or are NULL."""
+
+    columns: tuple[str, ...]
+    parent: str
+    parent_columns: tuple[str, ...]
+
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "columns", _tuple(self.columns))
+        object.__setattr__(self, "parent_columns", _tuple(self.parent_columns))
+        if not self.columns or len(self.columns) != len(self.parent_columns):
+            raise ValueError(f"a reference to {self.parent} needs as many columns on either side")
+
+    def safe(self) -> Reference:
+        return replace(
+            self,
+            columns=map(safe_name, self.columns),
+            parent_columns=map(safe_name, self.parent_columns),
+        )
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A keyed table.
@@ -54,6 +76,7 @@ class TableSpec:
     of source columns, and ``order_by`` is the order in which source rows count as
     applied when several rows share a key. Rows it does not tell apart count in the order
     they are read, where that is known; ``SCAN_ORDER`` names that order itself.
+    ``references`` name parent tables; rows a run writes must have a parent there.
     """
 
     name: str
@@ -62,6 +85,7 @@ class TableSpec:
     identity: tuple[str, ...] = ()
     declared_types: Mapping[str, str] = field(default_factory=dict)
     order_by: tuple[str, ...] = ()
+    references: tuple[Reference, ...] = ()
 
     def __post_init__(self) -> None:
         check_identifier(self.name)
@@ -69,6 +93,7 @@ class TableSpec:
         object.__setattr__(self, "unique_keys", tuple(_tuple(k) for k in self.unique_keys))
         object.__setattr__(self, "identity", _tuple(self.identity))
         object.__setattr__(self, "order_by", _tuple(self.order_by))
+        object.__setattr__(self, "references", tuple(self.references))
         if not self.key:
             raise ValueError(f"table {self.name} has no primary key")
         outside = [c for c in self.identity if c not in self.key]
@@ -83,6 +108,7 @@ class TableSpec:
             unique_keys=[map(safe_name, unique) for unique in self.unique_keys],
             identity=map(safe_name, self.identity),
             order_by=map(safe_name, self.order_by),
+            references=[r.safe() for r in self.references],
             declared_types={safe_name(c): kind for c, kind in self.declared_types.items()},
         )
 

@@ -10,6 +10,7 @@ own. Prune and refresh need the whole source and stay batch jobs.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,7 @@ def apply_batch(
     batch_id: int,
     options: SyncOptions | None = None,
     since_watermark: bool = False,
+    parents: Mapping[str, SnapshotTarget] | None = None,
 ) -> SyncReport | None:
     """Apply one batch of a stream unless it is already published.
 
@@ -54,6 +56,7 @@ def apply_batch(
         partial=True,
         batch=(stream_id, batch_id),
         take_late_rows=not since_watermark,
+        parents=parents or {},
     )
     return run.execute()
 

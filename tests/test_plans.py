@@ -8,11 +8,14 @@ import pytest
 from conftest import SF01, rows_of
 from pyspark.sql import functions as F
 
+from tablesync import SyncOptions, TableSpec, link_sync, sync_table
 from tablesync.operators import classify as cl
 from tablesync.operators import duplicates, keys, merge, prune
 from tablesync.operators.insert_only import without_clash
 from tablesync.operators.watermark import Watermark, read_since, watermark_max
 from tablesync.queries.inputs import table
+from tablesync.queries.registry import ORDERS
+from tablesync.sources.bucketed import BucketedTarget
 from tablesync.sources.snapshot import bucket_of
 
 SINCE = Watermark("o_orderdate", "timestamp_ntz", "1999-01-01 00:00:00")
@@ -123,3 +126,41 @@ def test_null_values_are_spread_over_tasks(large):
     assert sum(sizes) == 2666 and max(sizes) < 1000
     assert left.count() == 4000 - 10
     assert left.columns == rows.columns and rows_of(left.where("u = 0")) == []
+
+
+def test_bucketed_target_stays_in_place(large, tmp_path):
+    """A whole run exchanges its source once; the stored side is read as it lies."""
+    large.conf.set("spark.sql.shuffle.partitions", "8")
+    target = BucketedTarget(large, str(tmp_path / "t"), buckets=8)
+    link_sync(large, ORDERS, table(large, SF01, "orders_tgt"), target)
+    source, key = table(large, SF01, "orders"), list(ORDERS.key)
+    watched = duplicates.first_two(source, key, "__nth")
+    for rows in (source, watched):
+        df = merge.change_set(rows, target.rows(), key, prune=True)
+        assert count(df, r"Exchange hashpartitioning") == 1
+    assert rows_of(merge.change_set(source, target.rows(), key)) == rows_of(
+        merge.change_set(source, table(large, SF01, "orders_tgt"), key)
+    )
+    # a second base folder, and one again
+    sync_table(large, ORDERS, source, target)
+    assert len(target.pointer().live) == 2
+    expected = rows_of(merge.upsert(source, table(large, SF01, "orders_tgt"), key))
+    assert rows_of(target.load()) == expected
+    target.compact()
+    assert count(merge.change_set(source, target.rows(), key), r"Exchange hashpartitioning") == 1
+    assert len(target.expire(keep=1)) >= 2 and rows_of(target.load()) == expected
+    assert len([t for t in large.catalog.listTables() if t.name.startswith("tablesync_")]) == 1
+
+
+def test_bucketed_target_gains_columns(spark, tmp_path):
+    target = BucketedTarget(spark, str(tmp_path / "t"), buckets=4)
+    spec = TableSpec("t", ("a", "b"))
+    link_sync(spark, spec, spark.createDataFrame([(1, "x", 1)], "a int, b string, v int"), target)
+    wide = spark.createDataFrame([(1, "x", 1, None), (2, "y", 2, "n")], "a int, b string, v int, w string")
+    report = sync_table(spark, spec, wide, target, SyncOptions(add_columns=True))
+    assert report.affected_rows == 1 and rows_of(target.load()) == [(1, "x", 1, None), (2, "y", 2, "n")]
+    later = spark.newSession()  # another session registers the folders for itself
+    assert BucketedTarget(later, target.root).load().count() == 2
+    part = spark.createDataFrame([(2, "y", 3, "n")], wide.schema)
+    sync_table(spark, spec, part, target, SyncOptions(incremental_col="v"))
+    assert (2, "y", 3, "n") in rows_of(target.load())
