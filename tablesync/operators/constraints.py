@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablesync.operators.classify import INSERT, OP, UPDATE
 from tablesync.operators.duplicates import applied_order
+from tablesync.operators.position import POSITION
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -67,6 +68,17 @@ def unique_violations(
     return after.join(clashing.select(*unique), list(unique), "left_semi")
 
 
+def row_ranges(rows: DataFrame, values: DataFrame, unique: Sequence[str]) -> DataFrame:
+    """(unique columns, first_row, last_row): the places of the rows that hold some values.
+
+    ``rows`` are source rows with their place in the files they come from.
+    """
+    held = rows.join(values.select(*unique).distinct(), list(unique), "left_semi")
+    return held.groupBy(*unique).agg(
+        F.min(POSITION).alias("first_row"), F.max(POSITION).alias("last_row")
+    )
+
+
 def repeated_values(rows: DataFrame, unique: Sequence[str]) -> DataFrame:
     """Unique values held more than once in a whole table."""
     held = rows.where(~any_null(unique))

@@ -26,6 +26,7 @@ from tablesync.operators.constraints import (
     any_null,
     null_key_rows,
     repeated_values,
+    row_ranges,
     unique_violations,
     unique_violations_in_order,
 )
@@ -69,9 +70,13 @@ STEPS = (COMPARED, STAGED, KEYS_KNOWN, PUBLISHED)
 class ConstraintError(Exception):
     """A source that breaks a constraint of the target; nothing was published."""
 
-    def __init__(self, table: str, constraint: str, rows: Sequence[tuple]) -> None:
-        self.table, self.constraint, self.rows = table, constraint, list(rows)
-        super().__init__(f"{table}: {constraint} violated, first rows {self.rows}")
+    def __init__(
+        self, table: str, constraint: str, rows: Sequence[tuple], span: tuple[str, str] | None = None
+    ) -> None:
+        """``rows`` are keys of the first bad rows; ``span`` where bad source rows begin and end."""
+        self.table, self.constraint, self.rows, self.span = table, constraint, list(rows), span
+        where = f", source rows {span[0]} to {span[1]}" if span else ""
+        super().__init__(f"{table}: {constraint} violated{where}, first rows {self.rows}")
 
 
 def sync_table(
@@ -446,9 +451,12 @@ class Run:
         for unique in self.pointer.unique_keys:
             if not set(unique) <= set(rows.columns):
                 continue  # NULL in every new row
-            bad = repeated_values(rows, unique).select(*unique).limit(SHOWN_KEYS).collect()
-            if bad:
-                raise ConstraintError(self.spec.name, f"unique {unique}", [tuple(r) for r in bad])
+            bad = repeated_values(rows, unique).select(*unique)
+            shown = bad.limit(SHOWN_KEYS).collect()
+            if shown:
+                span = self._span(rows, bad, unique)
+                rows_shown = [tuple(r) for r in shown]
+                raise ConstraintError(self.spec.name, f"unique {unique}", rows_shown, span)
 
     def _check_unique(self, changes: DataFrame, single: DataFrame, schema: T.StructType) -> None:
         if self.options.insert_only:
@@ -464,15 +472,30 @@ class Run:
             if strict:
                 bad = unique_violations_in_order(
                     single, stays, key, unique, self._order(single)
-                ).select(*key)
+                )
             else:
-                bad = unique_violations(before, changes, key, unique).select(*key)
-            shown = bad.limit(SHOWN_KEYS).collect()
+                bad = unique_violations(before, changes, key, unique)
+            shown = bad.select(*key).limit(SHOWN_KEYS).collect()
             if shown:
                 raise ConstraintError(
-                    self.spec.name, f"unique {unique}", [tuple(r) for r in shown]
+                    self.spec.name,
+                    f"unique {unique}",
+                    [tuple(r) for r in shown],
+                    self._span(single, bad, unique),
                 )
 
+    def _span(
+        self, rows: DataFrame, bad: DataFrame, unique: Sequence[str]
+    ) -> tuple[str, str] | None:
+        """Where the source rows of a violation begin and end, if rows have a place."""
+        if POSITION not in rows.columns:
+            return None
+        ranges = row_ranges(rows, bad, unique)
+        first, last = ranges.agg(F.min("first_row"), F.max("last_row")).first()
+        if first is None:
+            return None
+        return tuple(f"{place['file']}#{place['row']}".lstrip("#") for place in (first, last))
+
     def _done(self, step: str) -> None:
         if self.on_step:
             self.on_step(step)

@@ -109,6 +109,13 @@ INPUTS: dict[str, tuple[str, str]] = {
                               WHEN 'src5' THEN 'T' WHEN 'src6' THEN NULL ELSE text END AS flag_text
            FROM documents""",
     ),
+    "events_tgt": (
+        "events",
+        """SELECT CASE WHEN event_type = 'view' THEN -1 - event_id ELSE event_id END AS event_id,
+                  ts, user_id, event_type,
+                  CASE WHEN value > 10 THEN NULL ELSE value END AS value, props
+           FROM events""",
+    ),
     "embeddings_tgt": (
         "embeddings",
         """SELECT vec_id, CASE WHEN label < 3 THEN NULL ELSE embedding END AS embedding, label

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,8 @@ from tablesync.operators import (
     schema,
 )
 from tablesync.operators.insert_only import accepted_rows
-from tablesync.operators.watermark import Watermark, read_since, watermark_max
+from tablesync.operators.watermark import Watermark, read_since, read_summary, watermark_max
+from tablesync.operators.position import with_position
 from tablesync.plans.job import (
     STEPS,
     TableJob,
@@ -34,10 +37,12 @@ from tablesync.plans.job import (
     sync_table,
 )
 from tablesync.queries.inputs import INPUTS, table, with_inputs
-from tablesync.session import Scratch
+from tablesync.session import Scratch, SharedFiles
+from tablesync.sources import catalogue
 from tablesync.sources.bucketed import BucketedTarget
-from tablesync.sources.readers import full_scan
+from tablesync.sources.readers import footer_session, full_scan
 from tablesync.sources.snapshot import SnapshotTarget
+from tablesync.sources.state import StateFile
 from tablesync.spec import Reference, SyncOptions, TableSpec
 from tablesync.streaming.runner import apply_batch, read_stream, run_available, stream_id_of
 
@@ -405,19 +410,32 @@ def rekey_conflicts(spark, sf):
 
 @query(
     "unique_violations",
-    """SELECT c_custkey, c_name FROM (
-         SELECT c_custkey, c_name, count(*) OVER (PARTITION BY c_name) AS n FROM (
-           SELECT c_custkey, c_name FROM customer_src UNION ALL
-           SELECT c_custkey, c_name FROM customer_tgt t WHERE NOT EXISTS (
-             SELECT 1 FROM customer_src s WHERE s.c_custkey = t.c_custkey)))
-       WHERE n > 1""",
+    """SELECT * FROM (
+       WITH src AS (SELECT *, row_number() OVER () - 1 AS pos FROM customer_src),
+            bad AS (SELECT c_custkey, c_name FROM (
+              SELECT c_custkey, c_name, count(*) OVER (PARTITION BY c_name) AS n FROM (
+                SELECT c_custkey, c_name FROM customer_src UNION ALL
+                SELECT c_custkey, c_name FROM customer_tgt t WHERE NOT EXISTS (
+                  SELECT 1 FROM customer_src s WHERE s.c_custkey = t.c_custkey)))
+              WHERE n > 1)
+       SELECT c_custkey, c_name, (SELECT min(pos) FROM src WHERE src.c_name = bad.c_name) AS first_row,
+              (SELECT max(pos) FROM src WHERE src.c_name = bad.c_name) AS last_row
+       FROM bad)""",
     ("customer_src", "customer_tgt"),
 )
 def unique_violations(spark, sf):
-    source, target = table(spark, sf, "customer_src"), table(spark, sf, "customer_tgt")
+    """Rows that would share a name, and where the source rows that have it begin and end."""
+    target = table(spark, sf, "customer_tgt")
+    given = with_position(table(spark, sf, "customer"))
+    moved = F.when(F.col("c_mktsegment") == "BUILDING", -1 - F.col("c_custkey"))
+    source = given.withColumn("c_custkey", F.coalesce(moved, "c_custkey"))
     changes = merge.change_set(source, target, CUSTOMER.key)
     found = constraints.unique_violations(target, changes, CUSTOMER.key, ("c_name",))
-    return found.select("c_custkey", "c_name")
+    ranges = constraints.row_ranges(source, found, ("c_name",))
+    return found.join(ranges, "c_name").select(
+        "c_custkey", "c_name",
+        F.col("first_row.row").alias("first_row"), F.col("last_row.row").alias("last_row"),
+    )
 
 
 @query(
@@ -751,6 +769,19 @@ def link_report(spark, sf):
     )
 
 
+@query(
+    "link_sync_own_key",
+    """SELECT s.conv_id, s.turn, s.role, s.text FROM conversations s""",
+)
+def link_sync_own_key(spark, sf):
+    """A key given for an existing target is ignored: the target's own key counts."""
+    chat = table(spark, sf, "conversations")
+    spec = TableSpec("chat", CHAT_KEY)
+    target = _filled_target(spark, spec, chat.withColumn("text", F.upper("text")))
+    link_sync(spark, TableSpec("chat", ("role",)), chat, target)
+    return target.load().select("conv_id", "turn", "role", "text")
+
+
 @query("publish_upsert", _UPSERTED, ("orders_tgt",))
 def publish_upsert(spark, sf):
     """Two runs: the second finds nothing to change and publishes nothing."""
@@ -889,15 +920,21 @@ def report_of_run(spark, sf):
     )
 
 
-@query("stream_sync", "SELECT * FROM events")
+@query(
+    "stream_sync",
+    """SELECT * FROM events UNION ALL
+       SELECT * FROM events_tgt t WHERE NOT EXISTS (SELECT 1 FROM events s WHERE s.event_id = t.event_id)""",
+    ("events_tgt",),
+)
 def stream_sync(spark, sf):
-    """Everything the stream offers now, applied batch by batch to a stored target."""
-    target = _new_target(spark, "events")
+    """Several files, a batch each, merged into a filled target; a second start adds nothing."""
+    target = _filled_target(spark, EVENTS, table(spark, sf, "events_tgt"))
     given = table(spark, sf, "events")
-    target.create(EVENTS, given.schema)
-    stream = read_stream(spark, f"{sf}/events*.parquet", given.schema)
-    options = SyncOptions(incremental_col="ts", insert_only=True)
-    run_available(EVENTS, stream, target, Scratch(spark).path("stream"), options)
+    files, checkpoint = Scratch(spark).path("events"), Scratch(spark).path("stream")
+    given.repartition(4, "event_id").write.parquet(files)
+    stream = read_stream(spark, files, given.schema, files_per_batch=1)
+    for _ in range(2):
+        run_available(EVENTS, stream, target, checkpoint, SyncOptions(incremental_col="ts"))
     return target.load()
 
 
@@ -1024,7 +1061,9 @@ def dry_run(spark, sf):
        UNION ALL SELECT 'o_custkey', coalesce(max(o_custkey), 1) FROM orders""",
 )
 def key_high_water(spark, sf):
-    return keys.key_high_water(table(spark, sf, "orders"), ["o_orderkey", "o_custkey"])
+    """Answered from file footers."""
+    orders = table(footer_session(spark), sf, "orders")
+    return keys.key_high_water(orders, ["o_orderkey", "o_custkey"])
 
 
 _TABLES = (
@@ -1040,7 +1079,90 @@ _TABLES = (
     ),
 )
 def table_counts(spark, sf):
-    return inspect.table_counts({name: table(spark, sf, name) for name in _TABLES})
+    """Answered from file footers."""
+    own = footer_session(spark)
+    return inspect.table_counts({name: table(own, sf, name) for name in _TABLES})
+
+
+_KEYS = {
+    "orders": ("o_orderkey",),
+    "conversations": ("conv_id", "turn"),
+    "part_nokey": ("p_partkey",),
+    "lineitem": ("l_linenumber", "l_orderkey"),
+}
+
+
+@query(
+    "key_columns",
+    """SELECT 'orders' AS "table", 'o_orderkey' AS "column", 1 AS ordinal, 1 AS key_ordinal,
+              'bigint' AS type, 'o_orderkey' AS key_columns, count(*) AS n_rows,
+              count(*) - count(o_orderkey) AS n_nulls FROM orders
+       UNION ALL SELECT 'conversations', 'conv_id', 1, 1, 'bigint', 'conv_id, turn', count(*),
+              count(*) - count(conv_id) FROM conversations
+       UNION ALL SELECT 'conversations', 'turn', 2, 2, 'bigint', 'conv_id, turn', count(*),
+              count(*) - count(turn) FROM conversations
+       UNION ALL SELECT 'part_nokey', 'p_partkey', 1, 1, 'bigint', 'p_partkey', count(*),
+              count(*) - count(p_partkey) FROM part_nokey
+       UNION ALL SELECT 'lineitem', 'l_linenumber', 4, 1, 'int', 'l_linenumber, l_orderkey', count(*),
+              count(*) - count(l_linenumber) FROM lineitem
+       UNION ALL SELECT 'lineitem', 'l_orderkey', 1, 2, 'bigint', 'l_linenumber, l_orderkey', count(*),
+              count(*) - count(l_orderkey) FROM lineitem""",
+    ("part_nokey",),
+)
+def key_columns(spark, sf):
+    """Keys declared in the catalogue, read back in key order, with rows and NULLs counted."""
+    entries = {}
+    try:
+        for name, key in _KEYS.items():
+            entry = f"tablesync_{uuid.uuid4().hex}"
+            if name in INPUTS:
+                path = Scratch(spark).path(name)
+                table(spark, sf, name).write.parquet(path)
+            else:
+                path = f"{sf}/{name}.parquet"
+            spark.catalog.createTable(entry, path=path, source="parquet")
+            entries[name] = entry
+            catalogue.declare_key(spark, entry, key)
+        return catalogue.key_columns(spark, entries)
+    finally:
+        for entry in entries.values():
+            spark.sql(f"DROP TABLE {entry}")
+
+
+@query(
+    "state_file_rules",
+    """WITH w AS (SELECT CAST(max(o_orderdate) AS VARCHAR) AS top FROM orders),
+            c AS (SELECT CAST(max(c_custkey) AS VARCHAR) AS top FROM customer)
+       SELECT '1 no file yet' AS step, CAST(NULL AS VARCHAR) AS orders, CAST(NULL AS VARCHAR) AS customer
+       UNION ALL SELECT '2 saved side by side', w.top, c.top FROM w, c
+       UNION ALL SELECT '3 one file damaged', NULL, c.top FROM c
+       UNION ALL SELECT '4 saved again', w.top, c.top FROM w, c""",
+)
+def state_file_rules(spark, sf):
+    """Watermarks in a state file: missing, written in parallel, damaged, written again."""
+    path = Scratch(spark).path("state")
+    state = StateFile(spark, path)
+    tops = {
+        "orders": read_summary(table(spark, sf, "orders"), ORDERS.key, "o_orderdate", None).watermark,
+        "customer": read_summary(table(spark, sf, "customer"), CUSTOMER.key, "c_custkey", None).watermark,
+    }
+    rows = []
+
+    def saved(step):
+        found = [state.saved(name) for name in tops]
+        rows.append((step, *(f.value if f else None for f in found)))
+
+    saved("1 no file yet")
+    with ThreadPoolExecutor(len(tops)) as pool:
+        list(pool.map(lambda name: state.set(name, tops[name]), tops))
+    saved("2 saved side by side")
+    files = SharedFiles(spark, path)
+    (damaged,) = [name for name in files.names() if "orders" in name]
+    files.write_text(damaged, "{not json", True)
+    saved("3 one file damaged")
+    state.set("orders", tops["orders"])
+    saved("4 saved again")
+    return spark.createDataFrame(rows, "step string, orders string, customer string")
 
 
 @query(

@@ -15,6 +15,20 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     return spark.read.format(fmt).options(**options).load(path)
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session that answers counts and extremes of whole Parquet columns from file footers.
+
+    Aggregates without a filter or group, over columns whose statistics footers hold
+    exactly (whole numbers, dates, booleans), then read no data. Files must have been
+    written with statistics, else Spark says so. The session shares cluster and catalogue
+    with the one given and has settings of its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A linked table: any table the session catalog knows."""
     if not spark.catalog.tableExists(name):
