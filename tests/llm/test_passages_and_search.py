@@ -1,0 +1,256 @@
+"""Repeated passages, hard negatives and lexical search against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from small_corpus import CLASHING, frame, texts, words
+
+from tablesync.llm import hard_negatives, lexical_search, queries, suffix_dedup
+
+SF001 = "/root/testdata/sf0.001"
+
+
+def plain_repeats(rows):
+    """(id, n_bytes, n_removed, n_spans, sha256) by looking every window up."""
+    rows = [(i, (t or "").encode()) for i, t in rows]
+    first = {}
+    for i, data in rows:
+        for at in range(len(data) - 49 if i is not None else 0):
+            window = data[at : at + 50]
+            first[window] = min(first.get(window, i), i)
+    out = []
+    for i, data in rows:
+        gone = bytearray(len(data))
+        for at in range(len(data) - 49 if i is not None else 0):
+            if first[data[at : at + 50]] < i:
+                gone[at : at + 50] = b"\1" * 50
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        out.append((i, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def passages(spark, scratch, rows, ids):
+    found = suffix_dedup.without_repeats(frame(spark, rows, ids), scratch).drop("kept")
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+@pytest.fixture
+def shared_texts():
+    rng = random.Random(3)
+    passage, line = words(rng, 40), "é" * 30
+    made = texts()[:10] + texts()[11:16]
+    for n in (0, 49, 50, 51, 80, 200):
+        made.append(words(rng, 5) + passage[:n] + words(rng, 5))
+    made += [passage, passage + passage, line, "x" + line + "y" + line, "ab" * 200, "ab" * 300, "b" + "ab" * 40]
+    made += [words(rng, 300, "ab ") for _ in range(5)]
+    return made
+
+
+def test_passages_equal_plain_search(spark, scratch, shared_texts, monkeypatch):
+    order = random.Random(1).sample(range(len(shared_texts)), len(shared_texts))
+    ids = [None if i in (4, 9) else order[i] // 2 for i in range(len(order))]  # ids that repeat, two missing
+    expected = plain_repeats(list(zip(ids, shared_texts)))
+    assert passages(spark, scratch, shared_texts, ids) == expected
+    for name, size in (("BLOCK_BYTES", 700), ("BUCKET_BYTES", 2000), ("CHUNK", 333), ("SLICE", 64)):
+        monkeypatch.setattr(suffix_dedup, name, size)
+    assert passages(spark, scratch, shared_texts, ids) == expected
+
+
+def test_passages_of_given_documents(spark, scratch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = suffix_dedup.without_repeats(docs, scratch).collect()
+    assert sorted(((r[0], r[1], r[2], r[3], r[4]) for r in found), key=repr) == plain_repeats(rows)
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
+    assert sum(r.n_removed for r in found) > 0
+
+
+def test_passages_of_nothing(spark, scratch):
+    assert passages(spark, scratch, [], []) == []
+    assert passages(spark, scratch, [None, ""], [1, 2]) == plain_repeats([(1, None), (2, "")])
+
+
+def vectors(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    clashing = [c for c in [*CLASHING, "cluster", "positives", "block", "dim", "rank", "anchor"] if c not in df.columns]
+    return df.select("*", *(F.lit(None).cast("string").alias(c) for c in clashing))
+
+
+def plain_negatives(rows):
+    good = []
+    for i, v, label in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        good.append((i, [math.floor(256 * float(np.float32(x))) for x in v], label))
+    out = []
+    for n, (anchor, a, label) in enumerate(good):
+        if anchor % 3:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(a, b)), i, other == label)
+            for m, (i, b, other) in enumerate(good)
+            if m != n and len(a) == len(b)
+        ]
+        scored.sort()
+        for p, positive, _ in [s for s in scored if s[2]][:5]:
+            hard = [s for s in scored if not s[2] and 80 * -p <= 100 * -s[0] <= 100 * -p][:5]
+            out += [(anchor, positive, r, i, -p, -s) for r, (s, i, _) in enumerate(hard, 1)]
+    return sorted(out)
+
+
+def negatives(spark, scratch, rows):
+    found = hard_negatives.hard_negatives(vectors(spark, rows), F.col("vec_id") % 3 == 0, scratch)
+    return sorted(tuple(r) for r in found.collect())
+
+
+def some_vectors(seed, n, dim):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((4, dim))
+    near = centres[rng.integers(0, 4, n)] + 0.4 * rng.standard_normal((n, dim))
+    return [(i, [float(x) for x in v.astype(np.float32)], int(rng.integers(0, 3))) for i, v in enumerate(near)]
+
+
+def test_hard_negatives_equal_plain_search(spark, scratch, monkeypatch):
+    rows = some_vectors(1, 240, 5)
+    rows += [
+        (300, None, 1), (303, [0.5, None, 1.0], 1), (306, [float("nan")] * 5, 0), (309, [float("inf")] * 5, 0),
+        (312, rows[0][1], None), (None, rows[0][1], 0), (315, [0.0] * 5, 1), (318, [], 0), (321, [], 0),
+        (324, [], 1), (327, [1.0, 2.0], 0), (330, [1.0, 2.0], 0), (333, [1.0, 1.9], 2), (336, [-1.0, -2.0], 1),
+        (999, [1e30, -1e30, 3e38, 0.0, 1.0], 2),
+    ]
+    rows += [(i + 400, v, label) for i, v, label in rows[:30]]  # ties
+    limit = hard_negatives.LARGEST
+    expected = plain_negatives([r for r in rows if r[0] != 999])
+    assert negatives(spark, scratch, [r for r in rows if r[0] != 999]) == expected and len(expected) > 100
+    assert negatives(spark, scratch, rows)  # huge components count as LARGEST and break nothing
+    for name, size in (("BLOCK", 50), ("STEP", 7), ("TOGETHER", 3), ("CENTRES", 4), ("FITTED", 20)):
+        monkeypatch.setattr(hard_negatives, name, size)
+    assert negatives(spark, scratch, [r for r in rows if r[0] != 999]) == expected and limit == 1 << 26
+
+
+def test_hard_negatives_walk_only_part_of_a_list():
+    """The bound certifies the end: far candidates are never scored."""
+    rng = np.random.default_rng(0)
+    centre = rng.standard_normal(16)
+    near = np.floor(256 * (centre + 0.05 * rng.standard_normal((300, 16)))).astype(np.int64)
+    far = np.floor(256 * (-centre + 0.05 * rng.standard_normal((5000, 16)))).astype(np.int64)
+    vector = np.concatenate([near, far])
+    n = len(vector)
+    block = hard_negatives.Candidates(np.arange(n), np.arange(n), np.full(n, "a", object), vector)
+    unit = centre / np.linalg.norm(centre)
+    order, bound = block.listed(unit, 0.1)
+    scored = []
+    plain = hard_negatives.inner
+    hard_negatives.inner = lambda a, b: (scored.append(len(b)), plain(a, b))[1]
+    try:
+        member = {"node": 0, "label": "a", "vector": vector[0].tolist(), "positives": None}
+        ((top,),) = hard_negatives.walk([member], block, order, bound)
+    finally:
+        hard_negatives.inner = plain
+    assert sum(scored) <= 2 * hard_negatives.STEP
+    scores = vector @ vector[0]
+    expected = sorted((-s, i) for i, s in enumerate(scores) if i)[:5]
+    assert list(zip((-top.scores).tolist(), top.ids.tolist())) == expected
+
+
+def test_hard_negatives_of_nothing(spark, scratch):
+    assert negatives(spark, scratch, []) == []
+    assert negatives(spark, scratch, [(1, [1.0], 0), (2, [1.0], 1)]) == []  # no anchors
+    assert negatives(spark, scratch, [(3, [1.0], 0)]) == []
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms_of(text):
+    lower = {c: c + 32 for c in range(65, 91)}
+    return TERM.findall((text or "").translate(lower))
+
+
+def plain_search(docs, items):
+    found = [(i, terms_of(t)) for i, t in docs]
+    held = [(i, t) for i, t in found if t]
+    total = sum(len(t) for _, t in held)
+    df = Counter(t for _, terms in held for t in set(terms))
+    out = []
+    for item, text in items:
+        scores = []
+        for i, terms in held:
+            tf, m = Counter(terms), 75 + 25 * len(terms) * len(held) // total
+            score = 0
+            for t in terms_of(text):
+                if t in tf:
+                    w = math.floor(1000 * math.log((2 * len(held) + 2) / (2 * df[t] + 1)))
+                    score += w * (10**9 * tf[t] // (1000 * tf[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, i is None, i or 0))
+        out += [(item, r, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(scores)[:20], 1)]
+    return sorted(out, key=repr)
+
+
+def searched(spark, scratch, docs, items):
+    rows = frame(spark, [t for _, t in docs], [i for i, _ in docs])
+    rows = rows.withColumns({"query": F.lit(1), "length": F.lit("x"), "score": F.lit(0), "rank": F.lit(0)})
+    wanted = spark.createDataFrame(items, "item_id long, text string").withColumn("query", F.lit("x"))
+    found = lexical_search.search(rows, wanted, scratch)
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def test_search_equals_plain_scores(spark, scratch, monkeypatch):
+    rng = random.Random(8)
+    docs = [(None if i in (3, 40) else i // 2, t) for i, t in enumerate(texts() + [words(rng, rng.randint(0, 60), "abc") for _ in range(150)])]
+    items = [(1, docs[60][1]), (2, "A b C a ab ABBA"), (3, None), (4, ""), (5, "no-such-term-here"), (2, "ab"), (None, "bb cc"), (7, "É é 日本語 1 K")]
+    expected = plain_search(docs, items)
+    assert searched(spark, scratch, docs, items) == expected and len(expected) > 80
+    for name, size in (("BUCKET", 16), ("FIRST_SHARE", 0.2), ("DOCUMENTS_PER_TASK", 40), ("PIECE", 10), ("QUERY_BYTES", 60)):
+        monkeypatch.setattr(lexical_search, name, size)
+    assert searched(spark, scratch, docs, items) == expected
+
+
+def test_search_of_nothing(spark, scratch):
+    assert searched(spark, scratch, [], [(1, "a")]) == []
+    assert searched(spark, scratch, [(1, "a"), (2, None)], []) == []
+    assert searched(spark, scratch, [(1, None), (2, " ")], [(1, "a")]) == []
+
+
+def test_buckets_are_skipped_and_bounds_hold():
+    """No document with a score at the threshold is lost to a bound, and bounds do cut."""
+    rng = np.random.default_rng(4)
+    root = np.sqrt(rng.integers(1, 9000, 60))
+    rows = []
+    for i in range(400):
+        terms = np.sort(rng.choice(60, rng.integers(1, 30), replace=False)).astype("<u4")
+        impact = rng.integers(1, 90_000, len(terms)).astype("<u4")
+        length = float(np.linalg.norm(root[terms] * impact))
+        rows.append({"doc_id": i, "length": length, "terms": terms.tobytes(), "impact": impact.tobytes()})
+    bucket = lexical_search.Bucket(rows, root)
+    weights = np.round(root**2).astype(np.int64)
+    picked = rng.choice(60, 8, replace=False)
+    query = lexical_search.Query(picked, weights[picked], root[picked])
+    scores = bucket.scores(query, np.arange(400))
+    least = int(np.sort(scores)[-20])
+    survivors = bucket.survivors(query, least)
+    assert set(np.flatnonzero(scores >= least)) <= set(survivors) and len(survivors) < 300
+    assert (scores <= query.norm * bucket.length * lexical_search.SLACK).all()
+
+
+@pytest.mark.parametrize("name", ["op12_hard_negatives", "op13_lexical_search"])
+def test_queries_equal_their_sql(spark, name):
+    db = duckdb.connect()
+    for table in ("documents", "embeddings", "benchmark"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF001}/{table}.parquet'")
+    found = queries.QUERIES[name](spark, SF001)
+    answer = db.execute(queries.ORACLES[name])
+    assert sorted(found.columns) == sorted(c[0] for c in answer.description)
+    columns = [c[0] for c in answer.description]
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(answer.fetchall())
