@@ -31,6 +31,14 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like this one that no column has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_remainder(key: Column | str, modulus: int) -> Column:
     """crc32 of a key written as text, modulo a number; NULL keys give NULL."""
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")) % modulus

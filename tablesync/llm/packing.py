@@ -23,6 +23,7 @@ import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablesync.llm.common import map_batches, texts_of, worker_cache
 from tablesync.session import Scratch
@@ -321,17 +322,15 @@ def packed(
 
     names = windows.columns
     number = pa.int64()
+    key_kind = to_arrow_schema(tokens.select("doc_id").schema).field(0).type
     arrow = pa.schema(
-        [("doc_id", arrow_kind(kind)), *((n, number) for n in names[1:-1]), ("ids", pa.binary())]
+        [("doc_id", key_kind), *((n, number) for n in names[1:-1]), ("ids", pa.binary())]
     )
     schema = f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names[1:-1]) + ", ids binary"
     order = ["theme", "second", F.xxhash64("tail"), F.xxhash64("doc_id"), "n"]
     tasks = max(1, -(-corpus.units // UNITS_PER_TASK))
     ranged = tails.mapInArrow(themes, f"doc_id {kind}, n bigint, tail binary, theme int, second int")
+    ranged = scratch.write(ranged, "units")  # ranges are found from a sample, a pass of its own
     ranged = ranged.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     both = windows.unionByName(ranged.mapInArrow(pack, schema))
     return both if keep_ids else both.drop("ids")
-
-
-def arrow_kind(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]

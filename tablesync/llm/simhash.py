@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import map_batches
+from tablesync.llm.common import fresh, map_batches
 from tablesync.llm.components import components
 from tablesync.session import Scratch
 
@@ -203,12 +203,16 @@ def keep_one(df: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "
     repeated = named.join(first, ["doc_id", "group"])
     lost = found.where("doc_id <> component_id").select("doc_id", "digest")
     lost = lost.unionByName(repeated.where("digest <> first").select("doc_id", "digest")).distinct()
-    lost = lost.select(F.col("doc_id").alias("_key"), F.col("digest").alias("_text"))
-    stay = df.join(lost, (df[key] == F.col("_key")) & (digest(df[text]) == F.col("_text")), "left_anti")
+    names = fresh(df, "_key"), fresh(df, "_text")
+    lost = lost.select(F.col("doc_id").alias(names[0]), F.col("digest").alias(names[1]))
+
+    def same(rows: DataFrame) -> Column:
+        return (rows[key] == F.col(names[0])) & (digest(rows[text]) == F.col(names[1]))
+
+    stay = df.join(lost, same(df), "left_anti")
     twice = repeated.where("digest = first AND count > 1")
-    twice = twice.select(F.col("doc_id").alias("_key"), F.col("digest").alias("_text"))
+    twice = twice.select(F.col("doc_id").alias(names[0]), F.col("digest").alias(names[1]))
     if twice.isEmpty():
         return stay
-    same = (stay[key] == F.col("_key")) & (digest(stay[text]) == F.col("_text"))
-    one = stay.join(twice, same).dropDuplicates(["_key", "_text"]).select(*df.columns)
-    return stay.join(twice, same, "left_anti").unionByName(one)
+    one = stay.join(twice, same(stay)).dropDuplicates(list(names)).select(*df.columns)
+    return stay.join(twice, same(stay), "left_anti").unionByName(one)

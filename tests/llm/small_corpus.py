@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 # names that operators use inside
 CLASHING = (
     "id node label fingerprint digest pii secrets winner run n ids tail size count key "
-    "component start end kind score directory vector fp segment at own ask"
+    "component start end kind score directory vector fp segment at own ask "
+    "_key _text _lost _lost_id bucket block marks names which position rank query length"
 ).split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 

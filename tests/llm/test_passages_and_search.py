@@ -82,7 +82,8 @@ def test_passages_of_nothing(spark, scratch):
 
 def vectors(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    clashing = [c for c in [*CLASHING, "cluster", "positives", "block", "dim", "rank", "anchor"] if c not in df.columns]
+    names = dict.fromkeys([*CLASHING, "cluster", "positives", "dim", "anchor"])
+    clashing = [c for c in names if c not in df.columns]
     return df.select("*", *(F.lit(None).cast("string").alias(c) for c in clashing))
 
 

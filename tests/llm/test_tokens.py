@@ -7,9 +7,11 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 import public_tokenizers
 import sentencepiece
 import tokenizers
+from pyspark.sql import functions as F
 from small_corpus import frame, texts, words
 
 from tablesync.llm import packing, pieces
@@ -114,3 +116,16 @@ def test_neighbours_share_windows():
     units = [rng.integers(1000 * (i % 3) + 1, 1000 * (i % 3) + 900, 256).astype(np.uint16) for i in range(24)]
     windows = packing.pack_units(units, Known)
     assert all(len({unit % 3 for unit, _, _ in window}) == 1 for window in windows)
+
+
+@pytest.mark.parametrize("kind", ["smallint", "date", "decimal(12,2)", "string", "int"])
+def test_packing_takes_keys_of_any_type(spark, kind):
+    rows = spark.createDataFrame([("2024-01-05", "some text"), (None, "more")], "doc_id string, text string")
+    key = F.year("doc_id") if kind in ("smallint", "int", "decimal(12,2)") else F.col("doc_id")
+    rows = rows.withColumn("doc_id", key.cast(kind))
+    scratch = Scratch(spark)
+    found = packing.packed(rows, scratch, BYTES)
+    assert found.schema["doc_id"].dataType == rows.schema["doc_id"].dataType
+    keys = {r.doc_id for r in found.collect()}
+    assert keys == {r.doc_id for r in rows.collect()}
+    scratch.clear()
