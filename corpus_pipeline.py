@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.llm import exact_dedup, packing, quality_knn, secret_scan, simhash
 from tablesync.llm.common import documents, labels
-from tablesync.session import Scratch, scratch_path
+from tablesync.session import Scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,10 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again."""
-    docs = documents(spark, sf_dir)
+    """All stages over the documents, each written and read again.
+
+    What a stage wrote goes as soon as the next one is written, the last when the program
+    ends.
+    """
+    docs, scratch = documents(spark, sf_dir), Scratch(spark)
     for name, stage in STAGES:
-        path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before = list(scratch.paths)
+        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        for path in before:
+            scratch.drop(path)
     return docs

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import logging
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +16,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a local session without the setting gets a folder of its own, in its warehouse.
     """
     path = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="tablesync-")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
         spark.conf.set(CHECKPOINT_DIR, path)
     return path.rstrip("/")
 
