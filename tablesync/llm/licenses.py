@@ -21,7 +21,6 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -30,16 +29,19 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "publish, distribute, sublicense, and/or sell copies of the Software",
     ),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     (
         "Apache-2.0",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file '
         "except in compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0",
     ),
+    (
+        "Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
+        "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "Released under the GNU General Public License v3.0."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
     (
         "GPL-3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms of "
@@ -47,11 +49,46 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "3 of the License, or (at your option) any later version.",
     ),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version "
+        "2 of the License, or (at your option) any later version.",
+    ),
+    (
+        "GPL-2.0",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software "
+        "Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this "
+        "license document, but changing it is not allowed.",
+    ),
+    (
+        "GPL-3.0",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software "
+        "Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this "
+        "license document, but changing it is not allowed.",
+    ),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version.",
+    ),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
     ("BSD-3-Clause", "Released under the 3-clause BSD License."),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     (
         "BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are "
@@ -59,6 +96,12 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ),
     ("BSD-2-Clause", "Released under the 2-clause BSD License."),
     ("ISC", "Released under the ISC License."),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies.",
+    ),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -71,11 +114,21 @@ THRESHOLD = 0.8
 CUE = re.compile("licen[sc]|copyright|spdx|permission|redistribut|public domain", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+|[0-9]+")
 ANY_WORD = re.compile(r"[A-Za-z]+|[0-9]+")
-# Words that tell licences apart: a window has those of its template, and no others.
-NAMING = frozenset(
-    "mit apache gnu lesser affero gpl lgpl agpl bsd clause isc mozilla mpl cc sa nc nd creative commons "
-    "unencumbered 0 1 2 3 4".split()
+# Words that tell licences apart, and marks of Creative Commons licences.
+FAMILY = frozenset("mit apache gnu lesser affero gpl lgpl agpl bsd isc mozilla mpl cc creative commons unencumbered".split())
+CC, CC_MARKS = frozenset(("cc", "creative")), frozenset(("sa", "nc", "nd"))
+# A number is a version behind such a word, or before "clause".
+VERSION = re.compile(
+    r"(?<![a-z0-9])(?:version|v|licen[sc]e|by|sa|nc|nd|cc0?|attribution|sharealike|noncommercial|"
+    r"(?:[al]?gpl|mpl|apache)v?)[\s,-]{0,2}(?:v\.?\s*)?([0-9]+(?:\.[0-9]+)*)|([0-9])[\s-]clause"
 )
+SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*", re.IGNORECASE)
+SPDX_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?)")
+SPDX_ENDINGS = ("-only", "-or-later", "+")
+# Two members of one family open alike; the third clause, if any, follows within so much text.
+BSD_OPENING, BSD_CLAUSE = "redistribution and use", "redistributions of source code"
+BSD_THIRD = re.compile(r"neither\s+the\s+names?|endorse\s+or\s+promote", re.IGNORECASE)
+BSD_REACH = 2_500
 # Characters around a cue that windows are taken from, as a multiple of the longest template.
 REACH = 3
 BLOCK = 4096
@@ -90,11 +143,54 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def naming(text: str) -> frozenset[str]:
+    """Words and versions that say which licence a passage is about; 2.0 is version 2."""
+    lower = text.lower()
+    words = set(WORD.findall(lower))
+    named = words & FAMILY
+    if named & CC:
+        named |= words & CC_MARKS
+    for found in VERSION.finditer(lower):
+        version, clauses = found.groups()
+        named.add(f"{clauses} clauses" if clauses else re.sub(r"(\.0+)+$", "", version))
+    return frozenset(named)
+
+
+def spdx(text: str, known: dict[str, str]) -> tuple[list[tuple[str, int, int]], list[tuple[int, int]]]:
+    """(licence, start, end) of every known identifier in SPDX lines, and where these lines are.
+
+    An expression joins identifiers with AND and OR, in any letters; each of them counts.
+    What follows WITH is an exception, no licence. Endings that only say which later
+    versions hold are left out of the licence's name.
+    """
+    found, places = [], []
+    for line in SPDX.finditer(text):
+        at, wants_name, skip = line.end(), True, False
+        while token := SPDX_TOKEN.match(text, at):
+            word = token.group(1)
+            joins = word.upper() in ("AND", "OR", "WITH")
+            if word not in "()":
+                if joins == wants_name:
+                    break
+                if not joins and not skip:
+                    name = word
+                    for ending in SPDX_ENDINGS:
+                        name = name[: -len(ending)] if name.lower().endswith(ending) else name
+                    if name.lower() in known:
+                        found.append((known[name.lower()], token.start(1), token.end(1)))
+                skip = word.upper() == "WITH"
+                wants_name = joins
+            at = token.end()
+        places.append((line.start(), at))
+    return found, places
+
+
 class Matcher:
     """Unit vectors of the templates, with inverted lists of their words."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...], frequency: dict[str, int], rows: int) -> None:
         self.ids = [name for name, _ in templates]
+        self.known = {name.lower(): name for name in self.ids}
         def weight(n: int) -> float:
             return log((rows + 1) / (max(n, rows * LEAST_SHARE) + 1)) + 1
 
@@ -108,7 +204,7 @@ class Matcher:
         self.sizes = [sorted({n, n + max(1, n // 4), *([n - 1] if n > 4 else [])}) for n in sizes]
         self.longest = max((max(s) for s in self.sizes), default=0)
         self.reach = REACH * max((len(text) for _, text in templates), default=0)
-        self.naming = [NAMING.intersection(words_of(text)) for _, text in templates]
+        self.naming = [naming(text) for _, text in templates]
         # what a word adds to the product with each template; the last column is for other words
         self.column = {word: i for i, word in enumerate(self.lists)}
         self.gain = np.zeros((len(templates), len(self.column) + 1))
@@ -122,11 +218,13 @@ class Matcher:
         return {w: v / norm for w, v in weights.items()}
 
     def best(self, text: str) -> tuple[float, str]:
-        """Highest cosine of a passage to a template; of equal ones the first template."""
+        """Highest cosine of a passage to a template that names the same; of equal ones the first."""
         scores: dict[int, float] = {}
+        named = naming(text)
         for word, weight in sorted(self.vector(words_of(text)).items()):
             for at, other in self.lists.get(word, ()):
-                scores[at] = scores.get(at, 0.0) + weight * other
+                if self.naming[at] == named:
+                    scores[at] = scores.get(at, 0.0) + weight * other
         if not scores:
             return 0.0, ""
         at = min(scores, key=lambda a: (-round(scores[a], 9), a))
@@ -138,9 +236,9 @@ class Matcher:
         # words that the limits may have cut
         words = words[bool(begin) : len(words) - (end < len(text))]
         for at in range(0, max(1, len(words) - self.longest + 1), BLOCK):
-            yield from self._windows(words[at : at + BLOCK + self.longest - 1])
+            yield from self._windows(text, words[at : at + BLOCK + self.longest - 1])
 
-    def _windows(self, words: list[tuple[int, int, str]]) -> Iterator[tuple[float, int, int, int]]:
+    def _windows(self, text: str, words: list[tuple[int, int, str]]) -> Iterator[tuple[float, int, int, int]]:
         columns = [self.column.get(w, -1) for _, _, w in words]
         products = np.cumsum(self.gain[:, columns], axis=1)
         products = np.concatenate([np.zeros((len(self.ids), 1)), products], axis=1)
@@ -154,7 +252,7 @@ class Matcher:
                 most = product / np.sqrt(squares[size:] - squares[:-size])
                 for at in np.flatnonzero(most >= THRESHOLD - 1e-9).tolist():
                     found = [w for _, _, w in words[at : at + size]]
-                    if self.naming[template] != NAMING.intersection(found):
+                    if self.naming[template] != naming(text[words[at][0] : words[at + size - 1][1]]):
                         continue
                     norm = sqrt(sum((n * self.idf.get(w, self.rare)) ** 2 for w, n in Counter(found).items()))
                     score = round(min(1.0, float(product[at]) / norm), 9)
@@ -164,11 +262,16 @@ class Matcher:
     def detect(self, text: str) -> list[tuple[str, float, int, int]]:
         """(licence, cosine, start, end) of each licence of a whole text that reaches THRESHOLD.
 
-        Passages are the lines that carry a cue, the paragraphs around them, and windows
+        SPDX lines are read as expressions, exactly, with a score of 1. Elsewhere passages are the lines that carry a cue, the paragraphs around them, and windows
         of words around each cue, wherever they stand. Of passages that overlap, the one
         of the highest cosine counts, then lines and paragraphs before windows, then the
         first. Each licence comes once, with its best passage, the best licence first.
         """
+        declared, places = spdx(text, self.known)
+        passages = [(-1.0, -1, start, name, start, end) for name, start, end in declared]
+        whole = text
+        for start, end in places:
+            text = text[:start] + " " * (end - start) + text[end:]
         found, paragraphs, regions = [], set(), []
         at = 0
         for cue in CUE.finditer(text):
@@ -189,7 +292,6 @@ class Matcher:
                 paragraphs.add(around)
                 found.append(around)
             at = end
-        passages = []
         for order, (start, end) in enumerate(found):
             score, name = self.best(text[start:end])
             if score >= THRESHOLD:
@@ -205,10 +307,26 @@ class Matcher:
             if before or place < len(taken) and taken[place][0] < end:
                 continue
             taken.insert(place, (start, end))
+            name = bsd_member(whole, start, end) if name.startswith("BSD-") else name
             kept.setdefault(name, (name, -score, start, end))
         return list(kept.values())
 
 
+def bsd_member(text: str, start: int, end: int) -> str:
+    """Which licence a notice of the family is: named by its clauses, or told by the third one.
+
+    An opening without any clause behind it counts as the licence with three.
+    """
+    passage = text[start:end].lower()
+    if BSD_OPENING not in " ".join(passage.split()):
+        return "BSD-2-Clause" if "2 clauses" in naming(passage) else "BSD-3-Clause"
+    after = " ".join(text[start : end + BSD_REACH].split())
+    more = after.lower().find(BSD_OPENING, len(BSD_OPENING))  # the next notice
+    after = after[:more] if more > 0 else after
+    two = BSD_CLAUSE in after.lower() and not BSD_THIRD.search(after)
+    return "BSD-2-Clause" if two else "BSD-3-Clause"
+
+
 def word_frequencies(docs: DataFrame, scratch: Scratch, text: str = "text") -> tuple[dict[str, int], int]:
     """In how many of all documents each word occurs, and how many documents there are.
 

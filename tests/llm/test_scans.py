@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,24 +149,41 @@ def test_scans_of_empty_and_repeated(spark, module):
     assert len(rows) == 3 and len({r.spans for r in rows}) == 1
 
 
+def plain_vector(words: list[str], frequency: dict[str, int], n: int) -> dict[str, float]:
+    least = n * licenses.LEAST_SHARE
+    weight = {w: c * (math.log((n + 1) / (max(frequency.get(w, 0), least) + 1)) + 1) for w, c in Counter(words).items()}
+    norm = math.sqrt(sum(x * x for x in weight.values()))
+    return {w: x / norm for w, x in weight.items()}
+
+
 def brute_licenses(files: list[tuple[str | None, str | None]]) -> list[tuple]:
-    """Every line and paragraph against every template, every directory by walking up."""
+    """Every line, paragraph and window of words against every template; directories by walking up."""
     n = len(files)
-    seen = [set(licenses.words_of(t or "")) for _, t in files]
-    frequency = {w: sum(w in s for s in seen) for s in seen for w in s}
-    matcher = licenses.Matcher(licenses.TEMPLATES, frequency, n)
-    vectors = [(name, matcher.vector(licenses.words_of(t))) for name, t in licenses.TEMPLATES]
+    words = lambda t: re.findall("[a-z]+|[0-9]+", (t or "").lower())
+    frequency = Counter(w for _, t in files for w in set(words(t)))
+    templates = [(name, plain_vector(words(t), frequency, n), len(words(t)), licenses.naming(t)) for name, t in licenses.TEMPLATES]
+
+    def cosine(passage, other):
+        return round(sum(v * other.get(w, 0) for w, v in plain_vector(words(passage), frequency, n).items()), 9)
 
     def own(text):
-        best = (None, 0.0)
-        for passage in [*(text or "").split("\n"), *(text or "").split("\n\n")]:
+        text, best = text or "", (None, 0.0)
+        for passage in [*text.split("\n"), *text.split("\n\n")]:
             if not licenses.CUE.search(passage):
                 continue
-            vector = matcher.vector(licenses.words_of(passage))
-            for name, other in vectors:
-                cosine = round(sum(v * other.get(w, 0) for w, v in vector.items()), 9)
-                if cosine >= licenses.THRESHOLD and cosine > best[1]:
-                    best = (name, cosine)
+            for name, other, _, named in templates:
+                score = cosine(passage, other) if named == licenses.naming(passage) else 0
+                if score >= licenses.THRESHOLD and score > best[1]:
+                    best = (name, score)
+        if len(text) < 1000 and licenses.CUE.search(text) and best[1] < 1:
+            at = [m.span() for m in re.finditer("[A-Za-z]+|[0-9]+", text)]
+            for name, other, size, named in templates:
+                for length in {size, size + max(1, size // 4), size - 1 if size > 4 else size}:
+                    for i in range(len(at) - length + 1):
+                        passage = text[at[i][0] : at[i + length - 1][1]]
+                        score = cosine(passage, other) if named == licenses.naming(passage) else 0
+                        if score >= licenses.THRESHOLD and score > best[1]:
+                            best = (name, score)
         return best
 
     found = [own(t) for _, t in files]
@@ -201,6 +220,9 @@ def test_licenses_equal_plain_search(spark):
         (None, "Released under the ISC License."),
         (None, "plain"),
         ("LICENSES/x", "copyright someone, all rights reserved"),
+        ("w/1", "as of May this thing is licensed under the terms of the MIT license, with love to you all"),
+        ("w/2", "one\ntwo, licensed under the Apache\nLicense, Version 2.0, three"),
+        ("w/3", "this old work is licensed under the GNU General Public License, version 4, of course"),
         ("a/x.txt", "nothing"),
         *((f"r{i % 3}/{'LICENSE' if i % 5 == 0 else i}", licenses.TEMPLATES[i][1]) for i in range(len(licenses.TEMPLATES))),
     ]
@@ -214,6 +236,68 @@ def test_licenses_equal_plain_search(spark):
     scratch.clear()
 
 
+CLAUSES = """Redistribution and use in source and binary forms, with or without modification, are
+permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation.
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to
+endorse or promote products derived from this software without specific prior permission.
+"""
+HEADER = """/* This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU {}General Public License as published by
+ * the Free Software Foundation; either version {} of the License, or
+ * (at your option) any later version. */"""
+NOTICES = [
+    ("Copyright 2020, Someone\n\n" + CLAUSES, ["BSD-2-Clause"]),
+    ("Copyright 2020, Someone\n\n" + CLAUSES + THIRD, ["BSD-3-Clause"]),
+    ("Released under the 2-clause BSD License.", ["BSD-2-Clause"]),
+    (HEADER.format("", 2), ["GPL-2.0"]),
+    (HEADER.format("", 3), ["GPL-3.0"]),
+    (HEADER.format("Affero ", 3), ["AGPL-3.0"]),
+    (HEADER.format("Lesser ", 3), ["LGPL-3.0"]),
+    (HEADER.format("Lesser ", "2.1"), ["LGPL-2.1"]),
+    (HEADER.format("", 7), []),
+    ("# SPDX-License-Identifier: GPL-3.0-only", ["GPL-3.0"]),
+    ("/* SPDX-License-Identifier: GPL-2.0+ */", ["GPL-2.0"]),
+    ("SPDX-License-Identifier: MPL-2.0", ["MPL-2.0"]),
+    ("SPDX-License-Identifier: BSD-2-Clause", ["BSD-2-Clause"]),
+    ("SPDX-License-Identifier: ISC", ["ISC"]),
+    ("SPDX-License-Identifier: AGPL-3.0-only\nint x;", ["AGPL-3.0"]),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]),
+    ("spdx-license-identifier:(GPL-2.0-or-later WITH MIT) and (mit or Unheard-1.0) Apache-2.0", ["GPL-2.0", "MIT"]),
+    ("SPDX-License-Identifier: OR MIT", []),
+    ("SPDX-License-Identifier:", []),
+    (
+        "ISC License\n\nCopyright (c) 2021 Someone\n\nPermission to use, copy, modify, and/or distribute this "
+        "software for any purpose with or without fee is hereby granted, provided that the above copyright "
+        "notice and this permission notice appear in all copies.",
+        ["ISC"],
+    ),
+    (
+        "                 Apache License\n           Version 2.0, January 2004\n        http://www.apache.org/licenses/"
+        "\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.",
+        ["Apache-2.0"],
+    ),
+]
+
+
+@pytest.mark.parametrize("rows", [1_000, 6_000_000])
+@pytest.mark.parametrize("common", [{}, {"the": 1.0, "of": 0.5, "and": 0.9, "license": 0.05}])
+def test_licenses_are_told_apart(rows, common):
+    """What a reader would say, for either table of words."""
+    matcher = licenses.Matcher(licenses.TEMPLATES, {w: int(rows * share) for w, share in common.items()}, rows)
+    for text, want in NOTICES:
+        found = matcher.detect(text)
+        assert [f[0] for f in found] == want, (text[:70], found)
+        assert all(text[start:end].strip() == text[start:end] or score < 1 for _, score, start, end in found)
+
+
 def test_licenses_of_empty_and_repeated(spark):
     scratch = Scratch(spark)
     empty = frame(spark, []).withColumn("path", F.lit("a/b"))
