@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,34 +15,64 @@ from tablesync.llm.components import components
 from tablesync.session import Scratch
 
 COSINE = 0.93
-# Each code's filters are all sums of one code word from each half of a rotated vector:
-# CODE_SIZE squared directions. Several codes even out how many filters a vector has.
+# Each code's filters are all sums of one code word from each half of a rotated vector, so
+# there are as many as the square of the words. Several codes even out how many filters a
+# vector has.
 CODES = 8
-CODE_SIZE = 256
-# The cap's height is such that a random vector exceeds so many filters on average.
-FILTERS = 32
+# Words and filters of a vector for labels of up to so many vectors. For larger ones words
+# grow as the rows to the power GROWTH, so that the vectors a filter brings together do not
+# become more, and filters as the words to the power MORE, so that recall stays.
+BASE_ROWS, CODE_SIZE, FILTERS = 1_000, 256, 32
+GROWTH, MORE = 0.75, 0.35
+# Words are bounded by what a worker holds; beyond some 40,000 vectors of a label candidates
+# grow with the rows again.
+MOST_WORDS = 4096
 SEED = 11
 # Members of one filter that are compared at once; larger groups are cut into blocks.
 BLOCK = 1024
 ROWS = 512
 
 
+@dataclass(frozen=True)
+class Size:
+    """Words of a code's halves, and filters that a random vector has on average."""
+
+    words: int = CODE_SIZE
+    filters: int = FILTERS
+
+    @classmethod
+    def of(cls, rows: int) -> Size:
+        """For the largest number of vectors that share a label."""
+        words = min(MOST_WORDS, CODE_SIZE * max(1.0, rows / BASE_ROWS) ** GROWTH)
+        return cls(round(words), round(FILTERS * (words / CODE_SIZE) ** MORE))
+
+
 class Code:
     """Product code of one dimension: a rotation, and unit code words for both halves."""
 
-    def __init__(self, dim: int, number: int) -> None:
-        random = np.random.default_rng((SEED, dim, number))
+    def __init__(self, dim: int, number: int, size: Size) -> None:
+        random = np.random.default_rng((SEED, dim, number, size.words))
         self.rotation, _ = np.linalg.qr(random.standard_normal((dim, dim)))
         self.half = (dim + 1) // 2
         self.words = []
-        for size in (self.half, dim - self.half):
-            words = random.standard_normal((CODE_SIZE, max(size, 1)))
+        for part in (self.half, dim - self.half):
+            words = random.standard_normal((size.words, max(part, 1)))
             self.words.append(words / np.linalg.norm(words, axis=1, keepdims=True) / np.sqrt(2))
-        self.first_id = number * CODE_SIZE**2
+        self.size = size.words
+        self.first_id = number * size.words**2
         some = random.standard_normal((64, dim))
-        left, right = self.cosines(some / np.linalg.norm(some, axis=1, keepdims=True))
-        sums = (left[:, :, None] + right[:, None, :]).ravel()
-        self.cap = np.partition(sums, -len(some) * FILTERS // CODES)[-len(some) * FILTERS // CODES]
+        self.cap = self.cap_for(some / np.linalg.norm(some, axis=1, keepdims=True), size.filters / CODES)
+
+    def cap_for(self, units: np.ndarray, filters: float) -> float:
+        """The height that these vectors exceed with so many filters on average."""
+        left, right = self.cosines(units)
+        right = np.sort(right, axis=1)
+        low, high = -2.0, 2.0
+        for _ in range(40):
+            cap = (low + high) / 2
+            above = sum(self.size * self.size - np.searchsorted(r, cap - a).sum() for a, r in zip(left, right))
+            low, high = (cap, high) if above > filters * len(units) else (low, cap)
+        return high
 
     def cosines(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         turned = units @ self.rotation
@@ -64,15 +95,15 @@ class Code:
             count = np.searchsorted(-b, a[first] - self.cap, side="right")
             start = np.repeat(np.cumsum(count) - count, count)
             second = by[np.arange(len(start)) - start]
-            found.append(np.repeat(first, count) * CODE_SIZE + second + self.first_id)
+            found.append(np.repeat(first, count) * self.size + second + self.first_id)
         return found
 
 
-def decode(units: np.ndarray) -> list[np.ndarray]:
+def decode(units: np.ndarray, size: Size = Size()) -> list[np.ndarray]:
     """The filters of each vector over all codes, ascending."""
     dim = units.shape[1]
     codes = worker_cache(
-        f"codes {SEED} {CODES} {CODE_SIZE} {FILTERS} {dim}", lambda: [Code(dim, n) for n in range(CODES)]
+        f"codes {SEED} {CODES} {size} {dim}", lambda: [Code(dim, n, size) for n in range(CODES)]
     )
     found = []
     for at in range(0, len(units), ROWS):
@@ -98,8 +129,8 @@ def _matrix(column: pa.ListArray) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-def filters_of(nodes: DataFrame) -> DataFrame:
-    """(label, dim, filter, node) for every filter of every node's vector."""
+def with_filters(nodes: DataFrame, size: Size) -> DataFrame:
+    """Nodes with the length of their vector and all filters that it exceeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -107,28 +138,29 @@ def filters_of(nodes: DataFrame) -> DataFrame:
                 batch = whole.slice(at, ROWS)
                 vectors = _matrix(batch.column("vector"))
                 dims = np.array([len(v) for v in vectors])
+                lists = [None] * len(vectors)
                 for dim in np.unique(dims):
                     at_dim = np.flatnonzero(dims == dim)
-                    lists = decode(unit(np.stack([vectors[i] for i in at_dim])))
-                    take = pa.array(np.repeat(at_dim, [len(x) for x in lists]))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("label").take(take),
-                            pa.array(np.full(len(take), dim, np.int32)),
-                            pa.array(np.concatenate(lists).astype(np.int32)),
-                            batch.column("node").take(take),
-                        ],
-                        names=["label", "dim", "filter", "node"],
-                    )
+                    found = decode(unit(np.stack([vectors[i] for i in at_dim])), size)
+                    for i, one in zip(at_dim, found):
+                        lists[i] = one
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(dims, pa.int32()), pa.array(lists, pa.list_(pa.int32()))],
+                    names=[*batch.schema.names, "dim", "filters"],
+                )
 
-    kind = nodes.schema["label"].dataType.simpleString()
-    return nodes.select("node", "label", "vector").mapInArrow(
-        run, f"label {kind}, dim int, filter int, node bigint"
-    )
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema.fields)
+    return nodes.mapInArrow(run, f"{kinds}, dim int, filters array<int>")
 
 
 def compare(
-    filter_id: int, left: np.ndarray, right: np.ndarray, units: np.ndarray, nodes: np.ndarray, copies: np.ndarray
+    filter_id: int,
+    left: np.ndarray,
+    right: np.ndarray,
+    units: np.ndarray,
+    nodes: np.ndarray,
+    copies: np.ndarray,
+    filters: list[np.ndarray],
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Verified links among the members of one filter, or between two blocks of them.
 
@@ -140,7 +172,7 @@ def compare(
     if not linked.any():
         return None
     used = np.unique(np.concatenate([left[linked.any(axis=1)], right[linked.any(axis=0)]]))
-    earlier = [f[f < filter_id] for f in decode(units[used])]
+    earlier = [filters[i][filters[i] < filter_id] for i in used]
     known, column = np.unique(np.concatenate(earlier), return_inverse=True)
     shared = np.bincount(column, minlength=len(known)) > 1
     where = np.cumsum(shared) - 1
@@ -182,7 +214,7 @@ def verified(members: DataFrame) -> DataFrame:
         found = []
         if len(edges) > 1:
             table = table.slice(0, edges[-1]).combine_chunks()
-            vectors = _matrix(table.column("vector").chunk(0))
+            vectors, filters = (_matrix(table.column(c).chunk(0)) for c in ("vector", "filters"))
             nodes, copies, block = (table.column(n).to_numpy() for n in ("node", "copies", "block"))
             ids, i, j = (table.column(n).to_numpy() for n in ("filter", "i", "j"))
             for a, b in zip(edges[:-1], edges[1:]):
@@ -191,7 +223,7 @@ def verified(members: DataFrame) -> DataFrame:
                     left, right = (side, side) if i[a] == j[a] else (
                         np.flatnonzero(block[a:b] == i[a]), np.flatnonzero(block[a:b] == j[a])
                     )
-                    one = compare(int(ids[a]), left, right, unit(np.stack(vectors[a:b])), nodes[a:b], copies[a:b])
+                    one = compare(int(ids[a]), left, right, unit(np.stack(vectors[a:b])), nodes[a:b], copies[a:b], filters[a:b])
                     found += [one] if one else []
         if found:
             yield pa.RecordBatch.from_arrays(
@@ -238,7 +270,9 @@ def similar_vectors(
         F.min("vec_id").alias("class_id"), F.count("*").alias("copies")
     )
     nodes = scratch.write(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    filters = scratch.write(filters_of(nodes), "filters")
+    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    nodes = scratch.write(with_filters(nodes, Size.of(largest)), "filters")
+    filters = nodes.select("label", "dim", "node", F.explode("filters").alias("filter"))
     same = ["label", "dim", "filter"]
     sizes = filters.groupBy(*same).count().where("count > 1")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
@@ -249,9 +283,9 @@ def similar_vectors(
         *same, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node"
     )
     # the planner does not see how often a row is dealt, so it must not be broadcast
-    members = dealt.hint("merge").join(nodes.select("node", "copies", "vector"), "node")
+    members = dealt.hint("merge").join(nodes.select("node", "copies", "vector", "filters"), "node")
     group = [*same, "i", "j"]
-    members = members.select(*group, "block", "node", "copies", "vector")
+    members = members.select(*group, "block", "node", "copies", "vector", "filters")
     members = members.repartition(*group).sortWithinPartitions(*group, "node")
     found = scratch.write(verified(members), "links")
     linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)

@@ -214,17 +214,29 @@ def test_vectors_equal_every_pair(spark, scratch, monkeypatch, block):
     assert all(got[9000 + i].n_links == 0 and got[9000 + i].kept for i in range(7))
 
 
-def test_filter_recall():
+@pytest.mark.parametrize("rows", [100, 5_000, 40_000])
+def test_filter_recall(rows):
     """Recall at the lowest cosine that links, in the dimension of the given table."""
-    rng = np.random.default_rng(3)
+    rng, size = np.random.default_rng(3), spherical.Size.of(rows)
     a = spherical.unit(rng.standard_normal((800, 64)))
     side = rng.standard_normal((800, 64))
     side = spherical.unit(side - (side * a).sum(axis=1, keepdims=True) * a)
     b = 0.93 * a + np.sqrt(1 - 0.93**2) * side
-    hits = [np.intersect1d(x, y).size > 0 for x, y in zip(spherical.decode(a), spherical.decode(b))]
+    hits = [np.intersect1d(x, y).size > 0 for x, y in zip(spherical.decode(a, size), spherical.decode(b, size))]
     assert np.mean(hits) >= 0.97
 
 
+def test_candidates_of_a_vector_stay_about_the_same():
+    """Random vectors of one label: eight times the rows, not eight times the candidates."""
+    rng, found = np.random.default_rng(6), []
+    for rows in (1_000, 8_000):
+        units = spherical.unit(rng.standard_normal((rows, 64)))
+        filters = np.concatenate(spherical.decode(units, spherical.Size.of(rows)))
+        _, members = np.unique(filters, return_counts=True)
+        found.append((members * (members - 1)).sum() / rows)
+    assert found[1] < 1.5 * found[0]
+
+
 def test_vectors_empty_table(spark, scratch):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert spherical.similar_vectors(df, scratch).collect() == []
