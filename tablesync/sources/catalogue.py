@@ -83,6 +83,7 @@ def key_columns(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     for shown, table in tables.items():
         columns = columns_of(spark, table)
         key = spec_of(spark, table, "t").key
+        listed = key_list(columns).first()["key_columns"]
         counts = spark.table(table).agg(
             F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in key]
         )
@@ -91,11 +92,9 @@ def key_columns(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
             F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_nulls")) for c in key])),
         )
         parts.append(
-            columns.join(held, "column")
-            .crossJoin(key_list(columns))  # one row
-            .select(
+            columns.join(held, "column").select(
                 F.lit(shown).alias("table"), "column", "ordinal", "key_ordinal", "type",
-                "key_columns", "n_rows", "n_nulls",
+                F.lit(listed).alias("key_columns"), "n_rows", "n_nulls",
             )
         )
     return reduce(DataFrame.unionByName, parts)
