@@ -159,7 +159,9 @@ class Runs:
 
 
 def bucket_of(name: np.ndarray, buckets: int) -> np.ndarray:
-    return ((name >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Sampled names are the smallest of many, so a product spreads them first."""
+    spread = name * ODD[1] >> np.uint64(32)
+    return (spread * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass

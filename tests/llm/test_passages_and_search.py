@@ -65,6 +65,14 @@ def test_passages_equal_plain_search(spark, scratch, shared_texts, monkeypatch):
     assert passages(spark, scratch, shared_texts, ids) == expected
 
 
+def test_buckets_get_about_the_same():
+    data = np.random.default_rng(2).integers(97, 107, 200_000).astype(np.uint8)
+    block = suffix_dedup.Block(np.array([1]), np.array([True]), np.array([len(data)]), data)
+    named = suffix_dedup.Named.joined([runs.sample(8) for runs in block.runs()])
+    sizes = np.bincount(named.bucket, minlength=8)
+    assert sizes.min() > 0.9 * sizes.mean() and sizes.max() < 1.1 * sizes.mean()
+
+
 def test_passages_of_given_documents(spark, scratch):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
