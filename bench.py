@@ -23,8 +23,15 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tablesync import SnapshotTarget, SyncOptions, TableSpec, link_sync, sync_table  # noqa: E402
-from tablesync.operators import classify, duplicates, merge, prune  # noqa: E402
+from tablesync import (  # noqa: E402
+    BucketedTarget,
+    SnapshotTarget,
+    SyncOptions,
+    TableSpec,
+    link_sync,
+    sync_table,
+)
+from tablesync.operators import classify, duplicates, merge, prune, references  # noqa: E402
 from tablesync.operators.insert_only import accepted_rows  # noqa: E402
 from tablesync.operators.watermark import Watermark  # noqa: E402
 from tablesync.queries.inputs import table  # noqa: E402
@@ -113,6 +120,11 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
         sync_table(spark, ORDERS, given["orders"], made)
         return made
 
+    def bucketed():
+        made = BucketedTarget(spark, scratch_path(spark, "bench-bucketed"), buckets=CPUS)
+        link_sync(spark, ORDERS, given["orders"], made)
+        return made
+
     def empty_events():
         made = target(spark, EVENTS, None)
         made.create(EVENTS, given["events"].schema)
@@ -125,6 +137,9 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
         "changed_rows": frame(lambda: classify.changed_rows(given["orders"], orders_tgt, key)),
         "prune_keys": frame(lambda: prune.prune_keys(orders_tgt, given["orders"], key)),
         "dedup_last": frame(lambda: duplicates.dedup(given["lineitem"], LINE_KEY, ("l_shipdate",))),
+        "orphan_rows": frame(
+            lambda: references.orphan_rows(lines, orders_tgt, ("l_orderkey",), ORDERS.key)
+        ),
         "upsert_wide": frame(lambda: merge.upsert(lines, lines_tgt, LINES.key)),
         "insert_only": (nothing, insert_only),
         "insert_only_multi": (nothing, insert_only_multi),
@@ -153,6 +168,7 @@ def jobs(spark: SparkSession) -> dict[str, tuple[Callable[[], object], Callable[
             lambda: target(spark, ORDERS, given["orders"]),
             run(ORDERS, given["orders"]),
         ),
+        "no_change_bucketed": (bucketed, run(ORDERS, given["orders"])),
         "incremental_published": (
             since_newest,
             run(ORDERS, given["orders"], incremental_col="o_orderdate"),
