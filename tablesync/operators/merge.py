@@ -18,7 +18,7 @@ from tablesync.operators.classify import (
     classify_part,
     merged_columns,
 )
-from tablesync.operators.prune import prune_keys
+from tablesync.operators.prune import dealt_keys, prune_keys
 
 
 def upsert(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -37,7 +37,7 @@ def mirror(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFram
 
 def upsert_keys(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Upsert of a table that is all key: target rows and the keys it lacks."""
-    new = source.select(*key).distinct().join(target.select(*key), list(key), "left_anti")
+    new = source.select(*key).distinct().join(dealt_keys(target, key), list(key), "left_anti")
     return target.select(*key).unionByName(new)
 
 

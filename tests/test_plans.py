@@ -60,6 +60,15 @@ def test_prune_reads_keys_only(large):
     assert count(df, r"Exchange hashpartitioning") == 2  # distinct and join share theirs
 
 
+def test_prune_deals_keys_to_all_tasks(large):
+    """Adaptive execution merges tasks by bytes, and keys are few bytes but many rows."""
+    s, t = table(large, SF01, "orders"), table(large, SF01, "orders_tgt")
+    tasks = int(large.conf.get("spark.sql.shuffle.partitions"))
+    assert prune.prune_keys(t, s, ("o_orderkey",)).rdd.getNumPartitions() == tasks
+    both = merge.upsert_keys(s.select("o_orderkey"), t.select("o_orderkey"), ("o_orderkey",))
+    assert both.rdd.getNumPartitions() >= tasks
+
+
 def test_changed_rows_prunes_columns(large):
     s, t = table(large, SF01, "orders"), table(large, SF01, "orders_tgt")
     df = cl.changed_rows(s.select("o_orderkey", "o_totalprice"), t, ("o_orderkey",))
