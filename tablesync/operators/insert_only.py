@@ -3,14 +3,17 @@
 Rows count in source order: a row is accepted unless an accepted earlier row or a
 target row holds one of its keys. A skipped row blocks nobody. NULL never clashes.
 
-Order matters only inside the source, so the work is done in three steps:
-
-1. anti-joins against the target, one per key;
-2. candidates that share no key value with another candidate are accepted;
-3. the contested rest becomes one table of incidences, a group (a key and one of its
-   values) and a position each, whatever the number and types of the keys. Rounds of one
-   aggregate by group and one by position settle it: rows that come first in all their
-   groups win, and the rows of a group with a winner go.
+With one key this is an anti-join against the target and a de-duplication. With several,
+whole rows move once:
+
+1. the source is sorted and written with its positions;
+2. for each key, its values and positions alone meet the values of the target. What comes
+   out is one table of incidences, a group (a key and one of its values) and a position
+   each, whatever the number and types of the keys; rows of a value that the target holds
+   go, and values that one row has leave no trace;
+3. rounds of one aggregate by group and one by position settle the rest: rows that come
+   first in all their groups win, and the rows of a group with a winner go;
+4. the positions that went become bitmaps, which the written rows are read against.
 
 A row depends on the undecided rows before it in its groups. Where a round decides only a
 few, single dependencies are followed too: they form trees, which pointer doubling settles
@@ -25,7 +28,7 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.operators.constraints import any_null
@@ -98,72 +101,74 @@ def accepted_rows(
     ``narrow`` suits a source that is small beside the target (see ``without_clash``).
     """
     keys = all_keys(key, unique_keys)
-    candidates = clash_free(source, target, keys, narrow)
     if len(keys) == 1:
-        return dedup(candidates, key, order_by, keep="first")
-    numbered = candidates.withColumn("__id", F.monotonically_increasing_id())
-    numbered = scratch.write(numbered, "candidates")  # written, the numbers are fixed
-    contested = _contested(numbered, keys, scratch)
-    if contested is None:
-        return numbered.drop("__id")
-    rows = numbered.join(contested, "__id", "left_semi")
-    rows = _ordered(rows, keys, applied_order(candidates, key, order_by), scratch)
-    losers = _losers(_incidences(rows, keys), scratch)
-    lost = rows.join(losers, "__pos", "left_semi").select("__id")
-    return numbered.join(lost, "__id", "left_anti").select(*candidates.columns)
-
-
-def _contested(
-    rows: DataFrame, keys: Sequence[Sequence[str]], scratch: Scratch
-) -> DataFrame | None:
-    """Numbers of the rows that may share a key value with another row, or None.
-
-    Values are told apart by one long, so that all keys go through one aggregate. Two
-    values with one hash only send a row to the rounds that need not go there.
-    """
-    names = [f"__h{i}" for i in range(len(keys))]
-    hashes = [
-        F.when(~any_null(k), F.xxhash64(F.lit(i), *k)).alias(names[i]) for i, k in enumerate(keys)
-    ]
-    held = rows.select("__id", *hashes).unpivot("__id", names, "__key", "__hash")
-    held = held.where("__hash IS NOT NULL").select("__id", "__hash")
-    counted = held.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n"))
-    repeated = scratch.write(counted.where(F.col("__n") > 1).select("__hash"), "repeated")
-    if repeated.isEmpty():
-        return None
-    found = held.join(repeated, "__hash", "left_semi").select("__id").distinct()
-    return scratch.write(found, "contested_ids")
-
-
-def _ordered(
-    rows: DataFrame, keys: Sequence[Sequence[str]], order: Sequence[str], scratch: Scratch
-) -> DataFrame:
-    """Numbers, keys and place in source order, as one long, of some rows.
+        return dedup(clash_free(source, target, keys, narrow), key, order_by, keep="first")
+    rows = _placed(source, applied_order(source, key, order_by), scratch)
+    met = scratch.write(_incidences(rows, target, keys, narrow), "incidences")
+    clashing = met.where("__taken").select("__pos").distinct()
+    contested = met.where("NOT __taken").select("__group", "__pos")
+    losers = _losers(contested.join(clashing, "__pos", "left_anti"), scratch)
+    return _without(rows, clashing.unionAll(losers), scratch).select(*source.columns)
+
+
+def _placed(rows: DataFrame, order: Sequence[str], scratch: Scratch) -> DataFrame:
+    """Whole rows with their place in source order as one long.
 
     Repeats of a whole row follow each other and lose against the first. The range sort
     places rows in order; written once, the places are fixed.
     """
-    columns = list(dict.fromkeys(c for k in keys for c in k))
     placed = rows.orderBy(*order).withColumn("__pos", F.monotonically_increasing_id())
-    return scratch.write(placed.select("__id", "__pos", *columns), "contested")
+    return scratch.write(placed, "candidates")
 
 
-def _incidences(rows: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
-    """(__group, __pos): groups of several rows, of all keys in one table.
+def _incidences(
+    rows: DataFrame, target: DataFrame, keys: Sequence[Sequence[str]], narrow: bool
+) -> DataFrame:
+    """(__group, __pos, __taken): groups of several rows or of a value in the target.
 
     A group is named by its first row and the number of its key, so whatever types keys
-    have, rounds only handle longs.
+    have, rounds only handle longs. Values and positions move once a key; rows of the
+    target have no position.
     """
     parts = []
     for i, k in enumerate(keys):
-        held = rows.where(~any_null(k)).select("__pos", *k)
-        groups = held.groupBy(*k).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
+        given = rows.where(~any_null(k)).select(*k, "__pos")
+        known = target.where(~any_null(k)).select(*k)
+        if narrow:  # a small source leaves the target where it is
+            known = known.join(given.select(*k).distinct(), list(k), "left_semi").select(*k)
+        both = given.unionAll(known.withColumn("__pos", F.lit(None).cast("long")))
+        same = Window.partitionBy(*k)
+        marked = both.select(
+            "__pos",
+            F.min("__pos").over(same).alias("__first"),
+            F.count("__pos").over(same).alias("__n"),
+            F.count(F.lit(1)).over(same).alias("__all"),
+        ).where("__pos IS NOT NULL AND __all > 1")
         number = (F.col("__first") * len(keys) + i).alias("__group")
-        groups = groups.where(F.col("__n") > 1).select(*k, number)
-        parts.append(held.join(groups, list(k)).select("__group", "__pos"))
+        parts.append(marked.select(number, "__pos", (F.col("__all") > F.col("__n")).alias("__taken")))
     return reduce(DataFrame.unionAll, parts)
 
 
+# Bits of one bitmap of Spark's.
+CHUNK_BITS = 15
+
+
+def _without(rows: DataFrame, gone: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows whose position is not among ``gone``.
+
+    Positions travel as a bit each, so millions of them are small enough to be broadcast
+    and whole rows need not move.
+    """
+    chunk = F.shiftright("__pos", CHUNK_BITS).alias("__chunk")
+    at = F.col("__pos").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+    maps = gone.select(chunk, at.alias("__at")).repartition("__chunk").groupBy("__chunk")
+    maps = scratch.write(maps.agg(F.bitmap_construct_agg("__at").alias("__bits")), "gone")
+    byte = F.substring("__bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), at.bitwiseAND(F.lit(7)).cast("int"))
+    met = rows.withColumn("__chunk", chunk).join(maps, "__chunk", "left")
+    return met.where(F.col("__bits").isNull() | (bit == 0)).select(*rows.columns)
+
+
 # A round that leaves more than this share of its rows is followed by one that also follows
 # single dependencies.
 SLOW = 0.75

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablesync import SyncOptions, TableSpec, link_sync, sync_table
 from tablesync.operators import classify as cl
 from tablesync.operators import duplicates, keys, merge, prune
-from tablesync.operators.insert_only import without_clash
+from tablesync.operators.insert_only import accepted_rows, without_clash
 from tablesync.operators.watermark import Watermark, read_since, watermark_max
 from tablesync.queries.inputs import table
 from tablesync.queries.registry import ORDERS
@@ -69,6 +69,33 @@ def test_prune_deals_keys_to_all_tasks(large):
     assert both.rdd.getNumPartitions() >= tasks
 
 
+def test_insert_only_moves_whole_rows_once(large, scratch, monkeypatch):
+    """With several keys, only the sort moves columns that are no keys."""
+    plans, write = {}, scratch.write
+
+    def watched(df, label):
+        plans.setdefault(label, plan(df))
+        return write(df, label)
+
+    monkeypatch.setattr(scratch, "write", watched)
+    schema = "k long, u double, w long, wide string"
+    source = large.createDataFrame(
+        [(i, -0.0 if i == 7 else float(i % 50), None if i % 3 else i % 40, "wide") for i in range(200)], schema
+    )
+    target = large.createDataFrame([(3, 0.0, None), (4, 0.0, None), (4, None, 9)], "k long, u double, w long")
+    got = accepted_rows(source, target, ("k",), scratch, (("u",), ("w",)), ("k",))
+    taken, want = [{3, 4}, {0.0}, {9}], []
+    for row in source.orderBy("k").collect():
+        values = (row.k, row.u, row.w)
+        if not any(v in seen for v, seen in zip(values, taken) if v is not None):
+            want.append(row.k)
+            for v, seen in zip(values, taken):
+                seen.add(v)
+    assert sorted(r.k for r in got.collect()) == want
+    assert len(re.findall(r"Exchange ", plans["candidates"])) == 1
+    assert all("wide" not in text for label, text in plans.items() if label != "candidates")
+
+
 def test_changed_rows_prunes_columns(large):
     s, t = table(large, SF01, "orders"), table(large, SF01, "orders_tgt")
     df = cl.changed_rows(s.select("o_orderkey", "o_totalprice"), t, ("o_orderkey",))
