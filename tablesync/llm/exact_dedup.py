@@ -1,8 +1,7 @@
 """Exact duplicates: runs of digests that meet as a tree, with SQL functions alone.
 
 Each round aggregates by digest; runs are neither sorted nor merged in order. What one
-partition has of a digest collapses before it moves, which is the run of that partition,
-and so many runs meet at once that one round is enough for most tables.
+partition has of a digest collapses before it moves, which is the run of that partition.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from tablesync.llm.common import fresh
 from tablesync.session import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-FAN_IN = 4096
+# Runs that meet in a round: two rounds for up to 256 partitions, five for a million.
+FAN_IN = 16
 
 
 def normalized(text: Column) -> Column:
@@ -46,6 +46,8 @@ def tree_merge(runs: DataFrame, count: int, scratch: Scratch, keep: str, fan_in:
     moves, so a text with very many copies is one entry per task. The last round's result
     is written to the shared folder sorted by digest.
     """
+    if fan_in < 2:
+        raise ValueError(f"at least two runs must meet in a round, not {fan_in}")
     best = F.max if keep == "largest" else F.min
     same = ("digest", "bytes", "check")
     while True:

@@ -78,6 +78,20 @@ def test_exact(spark, scratch, keep, fan_in):
     assert stay.columns == df.columns
 
 
+def test_exact_runs_meet_in_rounds(spark, scratch, monkeypatch):
+    """Forty runs meet in groups, and what is left of them in a second round."""
+    plans, write = {}, scratch.write
+    monkeypatch.setattr(
+        scratch, "write",
+        lambda df, label: (plans.update({label: df._jdf.queryExecution().toString()}), write(df, label))[1],
+    )
+    df = frame(spark, ["a", "b", "A"] * 40).repartition(40)
+    assert exact_dedup.exact_duplicates(df, scratch).where("kept").count() == 2
+    assert plans["digests"].split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 2
+    with pytest.raises(ValueError, match="two runs"):
+        exact_dedup.exact_duplicates(df, scratch, fan_in=1)
+
+
 def test_exact_odd_keys(spark, scratch):
     df = frame(spark, ["a", "A", "a", "b", "c"], [1, 1, None, None, 1])
     rows = exact_dedup.exact_duplicates(df, scratch, keep="largest").collect()
