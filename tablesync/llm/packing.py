@@ -56,6 +56,11 @@ def splitting_rule() -> re.Pattern:
 
 
 WORD = splitting_rule()
+# The same rule for texts of ASCII alone, whose classes are cheaper to match.
+ASCII_WORD = re.compile(
+    r" ?[A-Za-z]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\t\n\v\f\r A-Za-z0-9]+"
+    r"|[\t\n\v\f\r ]+(?![^\t\n\v\f\r ])|[\t\n\v\f\r ]+"
+)
 BEYOND = re.compile(f"[^\0-{chr(LAST)}]")
 
 
@@ -100,10 +105,12 @@ class WordTable(dict):
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text, as the tokenizer gives them without special ids, and END_ID."""
-        if BEYOND.search(text) or any(s in text for s in self.special):
+        ascii_only = text.isascii()
+        if not ascii_only and BEYOND.search(text) or any(s in text for s in self.special):
             whole = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array([*whole, END_ID], "<u2")
-        return np.frombuffer(b"".join(map(self.__getitem__, WORD.findall(text))) + self.end, "<u2")
+        words = (ASCII_WORD if ascii_only else WORD).findall(text)
+        return np.frombuffer(b"".join(map(self.__getitem__, words)) + self.end, "<u2")
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -188,8 +195,21 @@ class Shard:
         length = np.array([len(ids) for ids in units], np.float32)[unit]
         weight = corpus.idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * length / corpus.mean))
         order = np.argsort(term, kind="stable")
-        self.unit, self.weight = unit[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange((1 << 16) + 1))
+        self._index(term[order], unit[order], weight[order])
+        self.held = len(units)
+
+    def _index(self, term: np.ndarray, unit: np.ndarray, weight: np.ndarray) -> None:
+        self.term, self.unit, self.weight = term, unit, weight
+        self.first = np.searchsorted(term, np.arange((1 << 16) + 1))
+
+    def unused(self, left: np.ndarray) -> np.ndarray:
+        """Units with tokens left; entries of the others go when a quarter of them is used."""
+        units = np.flatnonzero(left)
+        if len(units) < 0.75 * self.held:
+            kept = left[self.unit] > 0
+            self._index(self.term[kept], self.unit[kept], self.weight[kept])
+            self.held = len(units)
+        return units
 
     def scores(self, seed: int) -> np.ndarray:
         terms = self.terms[seed].astype(np.int64)
@@ -216,7 +236,9 @@ def pack_units(units: list[np.ndarray], corpus: Corpus) -> list[list[tuple[int,
                 space -= take
                 if space:
                     if ranked is None:
-                        ranked = iter(np.argsort(-shard.scores(seed), kind="stable").tolist())
+                        unused = shard.unused(left)
+                        best = np.argsort(-shard.scores(seed)[unused], kind="stable")
+                        ranked = iter(unused[best].tolist())
                     at = next((u for u in ranked if left[u]), None)
                     if at is None:
                         break

@@ -108,6 +108,27 @@ def test_scores_are_bm25():
             assert abs(shard.scores(seed)[other] - score) < 1e-5
 
 
+def test_used_units_leave_the_index():
+    """Entries of used units go, and the scores of the others stay as they are."""
+
+    class Known:
+        mean, idf = 40.0, np.linspace(0.5, 2.0, 1 << 16, dtype=np.float32)
+
+    rng = np.random.default_rng(2)
+    units = [rng.integers(1, 60, 40).astype(np.uint16) for _ in range(32)]
+    shard, whole = packing.Shard(units, Known), packing.Shard(units, Known)
+    left = np.array([0 if i % 2 else 40 for i in range(32)])
+    unused = shard.unused(left)
+    assert unused.tolist() == list(range(0, 32, 2)) and len(shard.unit) < len(whole.unit)
+    for seed in range(32):
+        assert (shard.scores(seed)[unused] == whole.scores(seed)[unused]).all()
+
+
+@pytest.mark.parametrize("text", ["a\x1cb \x1f c", "it's  'll 12a\n\n b\t", "x" * 5 + " " * 9, "\x00\x7f ~!"])
+def test_ascii_rule_is_the_whole_rule(text):
+    assert packing.ASCII_WORD.findall(text) == packing.WORD.findall(text)
+
+
 def test_neighbours_share_windows():
     class Known:
         mean, idf = 300.0, np.ones(1 << 16, np.float32)
