@@ -146,6 +146,15 @@ def tokenized(df: DataFrame, vocabulary: str, key: str, text: str, keep_ids: boo
     return map_batches(rows, run, schema, "text")
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order and how often each is there."""
+    ids = np.sort(ids)
+    edge = np.ones(len(ids) + 1, bool)
+    np.not_equal(ids[1:], ids[:-1], out=edge[1:-1])
+    at = np.flatnonzero(edge)
+    return ids[at[:-1]], np.diff(at)
+
+
 class Corpus:
     """Document frequencies and mean length of all units; bounded by the vocabulary."""
 
@@ -155,7 +164,7 @@ class Corpus:
             for batch in batches:
                 for tail in batch.column("tail").to_pylist():
                     ids = np.frombuffer(tail, "<u2")
-                    seen[np.unique(ids)] += 1
+                    seen[counted(ids)[0]] += 1
                     units, tokens = units + 1, tokens + len(ids)
             at = np.flatnonzero(seen)
             yield pa.RecordBatch.from_arrays(
@@ -177,21 +186,24 @@ class Corpus:
 
     def theme(self, tail: bytes) -> tuple[int, int]:
         """The two most telling terms: units that share them become neighbours in the range."""
-        terms, times = np.unique(np.frombuffer(tail, "<u2"), return_counts=True)
+        terms, times = counted(np.frombuffer(tail, "<u2"))
         weight = self.idf[terms] * times / (times + K1)
-        best = np.argsort(-weight, kind="stable")[:2]
-        return int(terms[best[0]]), int(terms[best[-1]])
+        first = second = int(np.argmax(weight))
+        if len(weight) > 1:
+            weight[first] = -np.inf
+            second = int(np.argmax(weight))
+        return int(terms[first]), int(terms[second])
 
 
 class Shard:
     """Inverted index over some units: for each term, the units that have it and their weights."""
 
     def __init__(self, units: list[np.ndarray], corpus: Corpus) -> None:
-        counted = [np.unique(ids, return_counts=True) for ids in units]
-        self.terms = [terms for terms, _ in counted]
+        found = [counted(ids) for ids in units]
+        self.terms = [terms for terms, _ in found]
         unit = np.repeat(np.arange(len(units)), [len(t) for t in self.terms])
         term = np.concatenate(self.terms)
-        times = np.concatenate([n for _, n in counted]).astype(np.float32)
+        times = np.concatenate([n for _, n in found]).astype(np.float32)
         length = np.array([len(ids) for ids in units], np.float32)[unit]
         weight = corpus.idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * length / corpus.mean))
         order = np.argsort(term, kind="stable")

@@ -129,6 +129,13 @@ def test_ascii_rule_is_the_whole_rule(text):
     assert packing.ASCII_WORD.findall(text) == packing.WORD.findall(text)
 
 
+def test_theme_is_the_two_heaviest_terms():
+    corpus = packing.Corpus.__new__(packing.Corpus)
+    corpus.idf = np.ones(1 << 16, np.float32)
+    for ids, want in [([5], (5, 5)), ([9, 4, 9], (9, 4)), ([7, 3, 5], (3, 5)), ([2, 8, 8, 2, 1], (2, 8))]:
+        assert corpus.theme(np.array(ids, "<u2").tobytes()) == want
+
+
 def test_neighbours_share_windows():
     class Known:
         mean, idf = 300.0, np.ones(1 << 16, np.float32)
